@@ -156,8 +156,9 @@ class ValueCounts:
             out[c] = []
             for p in probs:
                 pos = p * (self.rows[c] - 1)
-                lo, hi = at(c, math.floor(pos)), at(c, math.ceil(pos))
-                out[c].append(lo + (hi - lo) * (pos - math.floor(pos)))
+                lo, hi, t = at(c, math.floor(pos)), at(c, math.ceil(pos)), pos - math.floor(pos)
+                # Measured from the nearer end, as numpy does, so that results agree to the last bit.
+                out[c].append(lo + (hi - lo) * t if t < 0.5 else hi - (hi - lo) * (1 - t))
         return out
 
     def one(self, column: str) -> DataFrame:

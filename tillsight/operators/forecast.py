@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from bisect import bisect_right
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
+from datetime import date
+from itertools import accumulate
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import FeatureHasher, StandardScaler, VectorAssembler
 from pyspark.ml.regression import (
@@ -73,19 +76,43 @@ def scaler_stats(train: DataFrame, features: Sequence[str] = FEATURES) -> DataFr
 # --- time-ordered cross validation -------------------------------------------------
 
 
+def block_starts(train: DataFrame, folds: int = FOLDS) -> list[tuple[date, str]]:
+    """Key (YearMonth, StockCode) of the first row of blocks 1 to ``folds``.
+
+    Row counts per month tell which months hold a block border; only the product
+    codes of those months, at most ``folds`` of them, are put in order.
+    """
+    months = train.groupBy("YearMonth").agg(F.count(F.lit(1)).alias("n")).orderBy("YearMonth").collect()
+    total = sum(m["n"] for m in months)
+    size = total // (folds + 1)
+    if size == 0:
+        raise ValueError(f"{total} rows are too few for {folds} folds")
+    ends = list(accumulate(m["n"] for m in months))
+    borders = [total - size * (folds - i) for i in range(folds)]
+    touched = sorted({bisect_right(ends, b) for b in borders})
+    wanted, skipped = [], 0
+    for i in touched:
+        first = ends[i] - months[i]["n"]
+        wanted += [skipped + b - first for b in borders if first <= b < ends[i]]
+        skipped += months[i]["n"]
+    keys = train.where(F.col("YearMonth").isin([months[i]["YearMonth"] for i in touched])).select("YearMonth", "StockCode")
+    placed = with_position(keys, "YearMonth", "StockCode").where(F.col("position").isin(wanted))
+    return [(r["YearMonth"], r["StockCode"]) for r in placed.orderBy("position").collect()]
+
+
 def cv_blocks(train: DataFrame, folds: int = FOLDS) -> DataFrame:
     """Cut the rows, ordered by (YearMonth, StockCode), into ``folds + 1`` blocks.
 
-    Block 0 takes the remainder; fold i tests block i and trains on all blocks before it.
+    Block 0 takes the remainder; fold i tests block i and trains on all blocks
+    before it. The rows themselves are neither sorted nor moved.
     """
-    placed = with_position(train, "YearMonth", "StockCode")
-    n = placed.count()
-    size = n // (folds + 1)
-    if size == 0:
-        raise ValueError(f"{n} rows are too few for {folds} folds")
-    head = n - folds * size
-    late = F.floor((F.col("position") - head) / size) + 1
-    return placed.withColumn("block", F.when(F.col("position") < head, 0).otherwise(late).cast("int"))
+    block = F.lit(0)
+    for month, code in block_starts(train, folds):
+        at_or_after = (F.col("YearMonth") > F.lit(month)) | (
+            (F.col("YearMonth") == F.lit(month)) & (F.col("StockCode") >= F.lit(code))
+        )
+        block = block + at_or_after.cast("int")
+    return train.withColumn("block", block)
 
 
 @dataclass(frozen=True)
@@ -110,20 +137,28 @@ def block_moments(blocked: DataFrame, features: Sequence[str], label: str = "tar
     origin = np.array([first[c] for c in names])
     side = len(names) + 2
 
-    def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[int, np.ndarray] = {}
-        for pdf in batches:
-            rows = np.column_stack([np.ones(len(pdf)), pdf[names].to_numpy() - origin, pdf[label].to_numpy()])
-            block = pdf["block"].to_numpy()
+        for batch in batches:
+            rows = np.ones((batch.num_rows, side))
+            for i, c in enumerate(columns, start=1):
+                rows[:, i] = batch.column(c).to_numpy(zero_copy_only=False)
+            rows[:, 1:-1] -= origin
+            block = batch.column("block").to_numpy(zero_copy_only=False)
             for b in np.unique(block):
                 part = rows[block == b]
                 sums[int(b)] = sums.get(int(b), 0.0) + part.T @ part
         for b, m in sums.items():
-            yield pd.DataFrame({"block": b, "cell": np.arange(side * side), "value": m.ravel()})
+            yield pa.RecordBatch.from_pydict({
+                "block": pa.array(np.full(side * side, b, np.int32)),
+                "cell": pa.array(np.arange(side * side, dtype=np.int32)),
+                "value": pa.array(m.ravel()),
+            })
 
-    doubles = blocked.select("block", *[dbl(c).alias(c) for c in [*names, label]])
+    columns = [*names, label]
     cells = (
-        doubles.mapInPandas(partial, "block int, cell int, value double")
+        blocked.select("block", *[dbl(c).alias(c) for c in columns])
+        .mapInArrow(partial, "block int, cell int, value double")
         .groupBy("block", "cell")
         .agg(F.sum("value").alias("value"))
         .collect()

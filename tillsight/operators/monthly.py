@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.columns import dbl, mean_of, ratio, total
+from ..functions.columns import dbl, ratio, total
 
 FEATURES = (
     "MonthlyQuantity", "AvgUnitPrice", "HolidayCount", "MonthlyRevenue",
@@ -14,21 +14,33 @@ FEATURES = (
 )
 
 
-def monthly_product(sales: DataFrame) -> DataFrame:
-    """Quantity, mean price, holiday lines, revenue and holiday quantity per product and month."""
+def monthly_measures(sales: DataFrame) -> DataFrame:
+    """Sums per product and month, with the price moments that the product level needs."""
+    price = F.col("UnitPrice")
     return (
         sales.where("StockCode IS NOT NULL AND YearMonth IS NOT NULL")
         .groupBy("StockCode", "YearMonth")
         .agg(
             total("Quantity").alias("MonthlyQuantity"),
-            mean_of("UnitPrice").alias("AvgUnitPrice"),
             total("isholiday").alias("HolidayCount"),
             total("Revenue").alias("MonthlyRevenue"),
             total("HolidayQuantity").alias("TotalHolidayQuantity"),
+            F.count(price).alias("PricedLines"),
+            F.sum(price).alias("PriceSum"),
+            F.sum(price * price).alias("PriceSquares"),
         )
     )
 
 
+def monthly_product(sales: DataFrame) -> DataFrame:
+    """Quantity, mean price, holiday lines, revenue and holiday quantity per product and month."""
+    return monthly_measures(sales).select(
+        "StockCode", "YearMonth", "MonthlyQuantity",
+        ratio(F.col("PriceSum"), F.col("PricedLines")).alias("AvgUnitPrice"),
+        "HolidayCount", "MonthlyRevenue", "TotalHolidayQuantity",
+    )
+
+
 def _series() -> Window:
     # One row per product and existing month: a group never exceeds the number of months.
     return Window.partitionBy("StockCode").orderBy("YearMonth")

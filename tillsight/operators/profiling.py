@@ -53,7 +53,7 @@ def duplicate_profile(df: DataFrame, key: Sequence[str]) -> DataFrame:
 def describe_numeric(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """count, mean, std, min, quartiles and max per column, all exact.
 
-    Moments come from the value counts too, so the rows are read once.
+    Moments are decimal sums over the rows, order statistics come from the value counts.
     """
     counts = ValueCounts.of(df, columns)
     quartiles = counts.quantiles({c: [0.25, 0.5, 0.75] for c in counts.rows})

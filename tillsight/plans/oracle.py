@@ -21,6 +21,14 @@ def _quartiles(column: str, source: str) -> str:
     )
 
 
+def _quantile(column: str, p: float, source: str) -> str:
+    """Scalar subquery for one quantile, interpolated from the nearer order statistic."""
+    return f"""(SELECT CASE WHEN t < 0.5 THEN lo + (hi - lo) * t ELSE hi - (hi - lo) * (1 - t) END FROM (
+      SELECT x[CAST(floor(pos) AS BIGINT) + 1] AS lo, x[CAST(ceil(pos) AS BIGINT) + 1] AS hi, pos - floor(pos) AS t
+      FROM (SELECT list_sort(list(CAST({column} AS DOUBLE))) AS x, CAST({p} AS DOUBLE) * (count({column}) - 1) AS pos
+        FROM {source}) AS o) AS q)"""
+
+
 # Named steps in the order in which they build on each other.
 STEPS = {
     "retail_base": """
@@ -138,9 +146,8 @@ STEPS = {
     "kpi": f"""
         SELECT CustomerID, TotalOrders, ActiveMonth,
           {", ".join(f"least(greatest(CAST({c} AS DOUBLE), lo_{c}), hi_{c}) AS {c}" for c in ("AvgOrderValue", "Recency", "PurchaseFrequency"))}
-        FROM kpi_raw, (SELECT {", ".join(f"quantile_cont(CAST({c} AS DOUBLE), {p}) AS {n}_{c}"
-          for c in ("AvgOrderValue", "Recency", "PurchaseFrequency") for p, n in ((0.01, "lo"), (0.99, "hi")))}
-          FROM kpi_raw) AS b""",
+        FROM kpi_raw, (SELECT {", ".join(f"{_quantile(c, p, 'kpi_raw')} AS {n}_{c}"
+          for c in ("AvgOrderValue", "Recency", "PurchaseFrequency") for p, n in ((0.01, "lo"), (0.99, "hi")))}) AS b""",
     "z": f"""
         SELECT CustomerID, {", ".join(f"({c} - m_{c}) / s_{c} AS {c}" for c in KPIS)}
         FROM kpi, (SELECT {", ".join(f"avg({c}) AS m_{c}, stddev_pop({c}) AS s_{c}" for c in KPIS)} FROM kpi) AS s""",

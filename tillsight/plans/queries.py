@@ -206,7 +206,7 @@ def product_reach(t: Tables):
 
 @query
 def product_kpis(t: Tables):
-    return products.product_kpis(t.clean, t.monthly)
+    return products.product_kpis(t.clean)
 
 
 # --- customers ---------------------------------------------------------------------
@@ -566,7 +566,8 @@ def representative_error(t: Tables):
 
 @query
 def customer_zscores(t: Tables):
-    return rounded(segments.zscores(t.customers), *segments.CLUSTER_FEATURES)
+    scaled = segments.zscores(t.customers).select("CustomerID", *[F.col(f"z_{c}").alias(c) for c in segments.CLUSTER_FEATURES])
+    return rounded(scaled, *segments.CLUSTER_FEATURES)
 
 
 @query

@@ -73,7 +73,7 @@ class Tables:
 
     @cached_property
     def product_kpis(self) -> DataFrame:
-        return stage(products.product_kpis(self.clean, self.monthly), "product_kpis")
+        return stage(products.product_kpis(self.clean), "product_kpis")
 
     @cached_property
     def customers(self) -> DataFrame:
@@ -107,10 +107,8 @@ class Tables:
     @cached_property
     def fixed_segments(self) -> DataFrame:
         """Customers assigned to fixed centroids in z-space, which SQL can repeat."""
-        scaled = segments.assign(segments.zscores(self.customers), FIXED_CENTROIDS)
-        labelled = segments.label_customers(
-            segments.add_churn(segments.attach_clusters(self.customers, scaled)), segments.names_by_rank(FIXED_CENTROIDS)
-        )
+        assigned = segments.drop_scores(segments.assign(segments.zscores(self.customers), FIXED_CENTROIDS))
+        labelled = segments.label_customers(segments.add_churn(assigned), segments.names_by_rank(FIXED_CENTROIDS))
         return stage(labelled, "fixed_segments")
 
 
