@@ -93,15 +93,16 @@ def value_counts(df: DataFrame, column: str) -> DataFrame:
 
 
 def auto_bins(n: int, low: float, high: float, q1: float, q3: float) -> int:
-    """Number of equal bins: the finer of the Sturges and the Freedman-Diaconis widths."""
+    """Number of equal bins by the 'auto' rule of numpy.
+
+    The finer of the Sturges and the Freedman-Diaconis widths, where the latter
+    is at least half the square-root width: never more than 2 sqrt(n) bins.
+    """
     span = high - low
     if n == 0 or span == 0:
         return 1
-    width = span / (math.log2(n) + 1)
-    spread = 2.0 * (q3 - q1) / n ** (1.0 / 3.0)
-    if spread > 0:
-        width = min(width, spread)
-    return max(1, math.ceil(span / width))
+    spread = max(2.0 * (q3 - q1) / n ** (1.0 / 3.0), span / math.sqrt(n) / 2)
+    return math.ceil(span / min(spread, span / (math.log2(n) + 1.0)))
 
 
 def histogram(df: DataFrame, column: str, bins: int | None = None) -> DataFrame:

@@ -186,9 +186,8 @@ def _histogram(column: str, source: str, step: str) -> str:
     guess = "least(CAST(floor((v - lo) / (hi - lo) * bins) AS BIGINT), bins - 1)"
     return _sql(f"""
         , s AS ({_quartiles(column, source)}),
-        b AS (SELECT lo, hi, CAST(ceil((hi - lo) / CASE WHEN q3 > q1
-            THEN least((hi - lo) / (log2(n) + 1), 2.0 * (q3 - q1) / pow(n, 1.0E0 / 3.0E0))
-            ELSE (hi - lo) / (log2(n) + 1) END) AS BIGINT) AS bins FROM s),
+        b AS (SELECT lo, hi, CAST(ceil((hi - lo) / least((hi - lo) / (log2(n) + 1),
+            greatest(2.0E0 * (q3 - q1) / pow(n, 1.0E0 / 3.0E0), (hi - lo) / sqrt(n) / 2))) AS BIGINT) AS bins FROM s),
         e AS (SELECT *, (hi - lo) / bins AS step FROM b),
         g AS (SELECT v, lo, hi, bins, step, {guess} AS i FROM (SELECT CAST({column} AS DOUBLE) AS v FROM {source}) AS x, e),
         p AS (SELECT i - CASE WHEN v < {edge.format(i='i')} THEN 1 ELSE 0 END
