@@ -99,6 +99,12 @@ def test_country_aliases(spark):
     assert out == ["Ireland", "South Africa", "United States", "Czech", "France"]
 
 
+def test_title_case_as_python(spark):
+    words = ["new year's day", "ST. PATRICK'S", " côte d'ivoire ", "a-b 3rd x_y", ""]
+    df = spark.createDataFrame([(w,) for w in words], "w string")
+    assert [r[0] for r in df.select(holidays.title_case("w")).collect()] == [w.strip().title() for w in words]
+
+
 def test_column_names(spark):
     df = spark.createDataFrame([(1, 2)], "` Unnamed: 0` int, `countryOrRegion` int")
     assert holidays.normalize_names(df).columns == ["unnamed: 0", "countryorregion"]

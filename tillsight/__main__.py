@@ -7,6 +7,7 @@ import inspect
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .functions.staging import drop_staged
 from .plans import jobs
 
 JOBS = {
@@ -29,9 +30,14 @@ def main(argv: list[str] | None = None) -> None:
                 sub.add_argument(f"--{p.name.replace('_', '-')}", default=p.default, type=kind)
     options = vars(parser.parse_args(argv))
     job = JOBS[options.pop("job")]
-    out = job(SparkSession.builder.appName("tillsight").getOrCreate(), **options)
+    shared = SparkSession.getActiveSession() is not None
+    spark = SparkSession.builder.appName("tillsight").getOrCreate()
+    out = job(spark, **options)
     if isinstance(out, DataFrame):
         out.show(truncate=False)
+    if not shared:
+        drop_staged(spark)
+        spark.stop()
 
 
 if __name__ == "__main__":

@@ -35,3 +35,9 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     path = f"{staging_root(spark)}/{PACKAGE}/{app}/{name}-{uuid.uuid4().hex[:12]}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def drop_staged(spark: SparkSession) -> None:
+    """Delete the tables staged by this application, once nothing reads them any more."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{staging_root(spark)}/{PACKAGE}/{spark.sparkContext.applicationId}")
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import month_start, strip
 from ..functions.ranking import ValueCounts
+from ..functions.staging import stage
 
 LINE_KEY = ("InvoiceNo", "StockCode", "Quantity", "UnitPrice")
 REQUIRED = ("InvoiceNo", "StockCode", "Quantity", "UnitPrice", "InvoiceDate", "Revenue")
@@ -137,9 +138,12 @@ def add_cohort(sales: DataFrame) -> DataFrame:
     """Attach the cohort month.
 
     The minimum is aggregated and joined back, not computed in a window: one
-    customer may own a third of the lines, and a skewed join can be split.
+    customer may own a third of the lines. The customer table is written first,
+    so that both join inputs are plain shuffles, the form in which Spark splits
+    a skewed key; below the broadcast size it is broadcast anyway.
     """
-    return sales.join(first_months(sales), "CustomerID", "left").select(*sales.columns, "CohortMonth")
+    first = stage(first_months(sales), "first_months")
+    return sales.join(first, "CustomerID", "left").select(*sales.columns, "CohortMonth")
 
 
 def purchases_of(sales: DataFrame) -> DataFrame:

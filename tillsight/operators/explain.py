@@ -88,6 +88,12 @@ def shap_importance(rows: DataFrame, forecast: LinearForecast, means: dict[str,
     return long.select(rank.alias("Rank"), "*")
 
 
+def strongest(values: DataFrame, importance: DataFrame, top: int = 10) -> DataFrame:
+    """Attributions of the ``top`` features: the points of a beeswarm plot."""
+    ranked = importance.where(F.col("Rank") <= top).select("Rank", "Feature")  # a row per feature
+    return values.join(F.broadcast(ranked), "Feature").select(*values.columns, "Rank")
+
+
 def representative(rows: DataFrame, predicted: Column | str, actual: str = "target") -> DataFrame:
     """The row in the middle when ordered by absolute error (ties by key), found without a one-task sort."""
     scored = rows.select(

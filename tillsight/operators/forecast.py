@@ -278,8 +278,12 @@ def dummies(rows: DataFrame) -> DataFrame:
 
 
 def aligned_dummies(train: DataFrame, test: DataFrame) -> DataFrame:
-    """Indicators of the test rows that also exist in training; the others are dropped, absent means 0."""
-    known = dummies(train).select("indicator").distinct()
+    """Indicators of the test rows that also exist in training; the others are dropped, absent means 0.
+
+    A month's indicator can be on a third of the rows; the known indicators are
+    written first, so that the join can split such a key.
+    """
+    known = stage(dummies(train).select("indicator").distinct(), "indicators")
     return dummies(test).join(known, "indicator", "left_semi").select("StockCode", "YearMonth", "indicator")
 
 

@@ -27,8 +27,9 @@ def normalize_names(df: DataFrame, underscore: bool = False) -> DataFrame:
 
 
 def title_case(col: Column | str) -> Column:
-    """First letter of each blank-separated word in upper case (punctuation starts no word)."""
-    return F.initcap(strip(col))
+    """Each run of letters with its first letter in upper case, the rest lower."""
+    pieces = F.regexp_extract_all(F.lower(strip(col)), F.lit(r"\p{L}+|\P{L}+"), F.lit(0))
+    return F.array_join(F.transform(pieces, F.initcap), "")
 
 
 def _calendar_flags(days: DataFrame) -> DataFrame:

@@ -532,6 +532,18 @@ def shap_importance(t: Tables):
     return explain.shap_importance(t.test, fit, means)
 
 
+@query
+def shap_top_features(t: Tables):
+    fit, means = _explained(t)
+    return explain.shap_importance(t.test, fit, means).where("Rank <= 10")
+
+
+@query
+def shap_beeswarm(t: Tables):
+    fit, means = _explained(t)
+    return explain.strongest(explain.shap_values(t.test, fit, means), explain.shap_importance(t.test, fit, means))
+
+
 @query
 def shap_representative(t: Tables):
     return explain.representative(forecast.predict(t.model, t.test), "Predicted")
