@@ -6,7 +6,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from tillsight.operators import cleaning, holidays, monthly, products
+from tillsight.operators import cleaning, customers, holidays, monthly, products
 from tillsight.plans.tables import clean_sales
 
 LINE = ("1", "A", " Red MUG ", 2, "2011-01-03 10:00:00", 2.5, 7, "EIRE")
@@ -51,6 +51,12 @@ def test_fractional_cap_and_strict_price_fence(sales_of):
     assert [float(r.UnitPrice) for r in cleaning.filter_price(on_fence, fences.price).collect()] == [5.49]
 
 
+def test_nulls_pass_through_caps(spark, sales_of):
+    assert cleaning.cap_quantity(sales_of(line(Quantity=None)), cleaning.iqr_fence(1, 2)).first().Quantity is None
+    df = spark.sql("SELECT * FROM VALUES (CAST(NULL AS DOUBLE)), (0.5D), (9D) AS t(v)")
+    assert [r.v for r in customers.clip(df, {"v": [1.0, 2.0]}).collect()] == [None, 1.0, 2.0]
+
+
 def test_fences_from_keys_equal_fences_from_lines(t):
     keys = cleaning.fit_fences(cleaning.purchase_measures(t.raw))
     assert keys == cleaning.fit_fences(t.purchases.select("Quantity", "UnitPrice"))

@@ -93,8 +93,8 @@ def fit_fences(purchases: DataFrame, factor: float = 1.5) -> Fences:
 
 def cap_quantity(sales: DataFrame, fence: Fence) -> DataFrame:
     """Cap from above only; the cap may be fractional."""
-    cap = F.lit(fence.upper).cast(QUANTITY_TYPE)
-    return sales.withColumn("Quantity", F.least(F.col("Quantity").cast(QUANTITY_TYPE), cap))
+    cap, quantity = F.lit(fence.upper).cast(QUANTITY_TYPE), F.col("Quantity").cast(QUANTITY_TYPE)
+    return sales.withColumn("Quantity", F.when(quantity > cap, cap).otherwise(quantity))
 
 
 def filter_price(sales: DataFrame, fence: Fence) -> DataFrame:

@@ -80,8 +80,9 @@ def clip_bounds(df: DataFrame, columns: Sequence[str], low: float = 0.01, high:
 
 
 def clip(df: DataFrame, bounds: Mapping[str, Sequence[float]]) -> DataFrame:
+    """Hold each column inside its bounds; NULL stays NULL."""
     return df.withColumns({
-        c: F.least(F.greatest(dbl(c), F.lit(lo)), F.lit(hi)) for c, (lo, hi) in bounds.items()
+        c: F.when(dbl(c) < lo, F.lit(lo)).when(dbl(c) > hi, F.lit(hi)).otherwise(dbl(c)) for c, (lo, hi) in bounds.items()
     })
 
 

@@ -20,11 +20,11 @@ def weekday_name(col: str):
 
 
 def weekday_revenue(sales: DataFrame) -> DataFrame:
-    return sales.groupBy(weekday_name("day_of_week").alias("Days")).agg(dbl(F.sum("Revenue")).alias("Revenue"))
+    return sales.where("day_of_week IS NOT NULL").groupBy(weekday_name("day_of_week").alias("Days")).agg(dbl(F.sum("Revenue")).alias("Revenue"))
 
 
 def customer_orders(sales: DataFrame) -> DataFrame:
-    return sales.groupBy("CustomerID").agg(F.count_distinct("InvoiceNo").alias("Orders"))
+    return sales.where("CustomerID IS NOT NULL").groupBy("CustomerID").agg(F.count_distinct("InvoiceNo").alias("Orders"))
 
 
 def customer_revenue(sales: DataFrame) -> DataFrame:
