@@ -54,6 +54,19 @@ def test_quantiles_skip_null_and_nan(spark):
     assert ValueCounts.of(df, ["v"]).quantiles({"v": [0.5]}) == {"v": [2.0]}
 
 
+def test_describe(spark, frame, values):
+    both = frame.withColumn("none", F.lit(None).cast("double"))
+    row, empty = profiling.describe_numeric(both, ["v", "none"]).collect()
+    x = np.array(values)
+    assert (row["count"], row["min"], row["max"]) == (len(x), x.min(), x.max())
+    assert (row["mean"], row["std"]) == pytest.approx((x.mean(), x.std(ddof=1)))
+    assert [row["q25"], row["q50"], row["q75"]] == list(np.quantile(x, [0.25, 0.5, 0.75]))
+    assert (empty["count"], empty["mean"], empty["std"]) == (0, None, None)
+    # A large offset does not wash out a small spread.
+    far = spark.sql("SELECT 1e12 + id AS v FROM range(3)")
+    assert profiling.describe_numeric(far, ["v"]).first()["std"] == 1.0
+
+
 def test_histogram_equals_numpy(frame, values):
     rows = sorted(profiling.histogram(frame, "v").collect(), key=lambda r: r.bin)
     counts, edges = np.histogram(values, bins="auto")

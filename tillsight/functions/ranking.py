@@ -133,6 +133,8 @@ class ValueCounts:
 
     def quantiles(self, wanted: Mapping[str, Sequence[float]]) -> dict[str, list[float]]:
         """Exact quantiles with linear interpolation between neighbouring order statistics."""
+        if not wanted:
+            return {}
         ranks = {
             (c, r)
             for c, probs in wanted.items()
@@ -161,5 +163,19 @@ class ValueCounts:
                 out[c].append(lo + (hi - lo) * t if t < 0.5 else hi - (hi - lo) * (1 - t))
         return out
 
+    def moments(self) -> tuple[dict[str, float], dict[str, float | None]]:
+        """Mean and sample standard deviation per column."""
+        def per_column(x: Column) -> dict[str, float]:
+            sums = self.table.groupBy("column").agg(F.sum(x * F.col("rows")).alias("s")).collect()
+            return {r["column"]: r["s"] for r in sums}
+
+        mean = {c: s / self.rows[c] for c, s in per_column(F.col("value")).items()}
+        center = F.lit(None).cast("double")
+        for c, m in mean.items():
+            center = F.when(F.col("column") == c, F.lit(m)).otherwise(center)
+        squares = per_column((F.col("value") - center) * (F.col("value") - center))
+        n = self.rows
+        return mean, {c: math.sqrt(s / (n[c] - 1)) if n[c] > 1 else None for c, s in squares.items()}
+
     def one(self, column: str) -> DataFrame:
         return self.table.where(F.col("column") == column).select("value", "rows")

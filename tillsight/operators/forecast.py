@@ -6,7 +6,9 @@ from bisect import bisect_right
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 from datetime import date
+from functools import reduce
 from itertools import accumulate
+from multiprocessing.pool import ThreadPool
 
 import numpy as np
 import pyarrow as pa
@@ -288,7 +290,7 @@ def aligned_dummies(train: DataFrame, test: DataFrame) -> DataFrame:
 
 
 def compare_models(train: DataFrame, test: DataFrame, features: Sequence[str] = FEATURES, hashed: int = 256,
-                   trees: int = 20, rounds: int = 20, depth: int = 5) -> DataFrame:
+                   trees: int = 20, rounds: int = 20, depth: int = 5, parallelism: int = 3) -> DataFrame:
     """MAE and RMSE of six regressors on the same hold-out.
 
     StockCode and YearMonth enter one-hot through feature hashing, which needs
@@ -304,7 +306,7 @@ def compare_models(train: DataFrame, test: DataFrame, features: Sequence[str] =
         return df.withColumn("month_key", F.date_format("YearMonth", "yyyy-MM"))
 
     fitted = prepare.fit(keyed(train))
-    # Eight estimators make many passes over the assembled rows.
+    # The estimators make many passes over the assembled rows.
     ready = stage(fitted.transform(keyed(train)).select("features", "target"), "model_train")
     held = stage(fitted.transform(keyed(test)).select("features", "target"), "model_test")
     common = {"labelCol": "target", "predictionCol": "Predicted"}
@@ -317,11 +319,14 @@ def compare_models(train: DataFrame, test: DataFrame, features: Sequence[str] =
         "Random Forest": RandomForestRegressor(**common, numTrees=trees, maxDepth=depth, seed=42),
         "Gradient Boosting": GBTRegressor(**common, maxIter=rounds, maxDepth=depth, seed=42),
     }
-    out = None
-    for name, estimator in estimators.items():
-        scored = metrics(estimator.fit(ready).transform(held), "Predicted").select(F.lit(name).alias("model"), "MAE", "RMSE")
-        out = scored if out is None else out.unionByName(scored)
-    return out
+    # Independent fits share the cluster, as in a parallel grid search.
+    with ThreadPool(parallelism) as pool:
+        models = dict(zip(estimators, pool.map(lambda e: e.fit(ready), estimators.values())))
+    scored = [
+        metrics(model.transform(held), "Predicted").select(F.lit(name).alias("model"), "MAE", "RMSE")
+        for name, model in models.items()
+    ]
+    return reduce(DataFrame.unionByName, scored)
 
 
 def best_model(comparison: DataFrame) -> DataFrame:

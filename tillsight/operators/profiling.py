@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import dbl, mean_of, variance
+from ..functions.columns import dbl, mean_of
 from ..functions.ranking import ValueCounts
 
 
@@ -51,34 +51,22 @@ def duplicate_profile(df: DataFrame, key: Sequence[str]) -> DataFrame:
 
 
 def describe_numeric(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """count, mean, std, min, quartiles and max per column, all exact.
+    """count, mean, std, min, quartiles and max per column.
 
-    Moments are decimal sums over the rows, order statistics come from the value counts.
+    The rows are read once, into value counts. The deviation is taken around
+    the mean in a second pass over those, which loses no digits to cancellation.
     """
     counts = ValueCounts.of(df, columns)
     quartiles = counts.quantiles({c: [0.25, 0.5, 0.75] for c in counts.rows})
-    moments = []
-    for c in columns:
-        x = F.col(c).cast("decimal(19,3)")
-        moments += [F.count(x).alias(f"{c}|n"), F.sum(x).alias(f"{c}|s"), F.sum(x * x).alias(f"{c}|ss")]
-    wide = df.agg(*moments)
-
-    def stat(c):
-        n, s, ss = F.col(f"{c}|n"), F.col(f"{c}|s"), F.col(f"{c}|ss")
-        q = quartiles.get(c, [None] * 3)
-        return F.struct(
-            F.lit(c).alias("column"),
-            n.alias("count"),
-            F.try_divide(dbl(s), dbl(n)).alias("mean"),
-            F.sqrt(variance(s, ss, n)).alias("std"),
-            F.lit(counts.low.get(c)).cast("double").alias("min"),
-            F.lit(q[0]).cast("double").alias("q25"),
-            F.lit(q[1]).cast("double").alias("q50"),
-            F.lit(q[2]).cast("double").alias("q75"),
-            F.lit(counts.high.get(c)).cast("double").alias("max"),
-        )
-
-    return wide.select(F.inline(F.array(*[stat(c) for c in columns])))
+    mean, std = counts.moments()
+    rows = [
+        (c, counts.rows[c], mean[c], std[c], counts.low[c], *quartiles[c], counts.high[c]) if c in counts.rows
+        else (c, 0, *[None] * 7)
+        for c in columns
+    ]
+    return df.sparkSession.createDataFrame(
+        rows, "column string, count long, mean double, std double, min double, q25 double, q50 double, q75 double, max double"
+    )
 
 
 def center(df: DataFrame, column: str) -> DataFrame:

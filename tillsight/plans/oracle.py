@@ -210,10 +210,8 @@ def _box(column: str) -> str:
 
 def _describe(source: str, step: str, *columns: str) -> str:
     def one(c):
-        x = f"CAST({c} AS DECIMAL(18,3))"
-        return f"""SELECT '{c}' AS "column", count({c}) AS count, CAST(sum({x}) AS DOUBLE) / count({c}) AS mean,
-          sqrt(CAST(CAST(count({c}) AS DECIMAL(12,0)) * sum({x} * {x}) - sum({x}) * sum({x}) AS DOUBLE)
-            / (CAST(count({c}) AS DOUBLE) * (CAST(count({c}) AS DOUBLE) - 1))) AS std,
+        return f"""SELECT '{c}' AS "column", count({c}) AS count, round(avg(CAST({c} AS DOUBLE)), 6) AS mean,
+          round(stddev_samp(CAST({c} AS DOUBLE)), 6) AS std,
           CAST(min({c}) AS DOUBLE) AS min, quantile_cont(CAST({c} AS DOUBLE), 0.25) AS q25,
           quantile_cont(CAST({c} AS DOUBLE), 0.5) AS q50, quantile_cont(CAST({c} AS DOUBLE), 0.75) AS q75,
           CAST(max({c}) AS DOUBLE) AS max FROM {source}"""

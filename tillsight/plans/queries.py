@@ -380,12 +380,12 @@ def holiday_duplicate_profile(t: Tables):
 
 @query
 def describe_numeric(t: Tables):
-    return profiling.describe_numeric(t.raw, ["Quantity", "UnitPrice", "CustomerID"])
+    return rounded(profiling.describe_numeric(t.raw, ["Quantity", "UnitPrice", "CustomerID"]), "mean", "std")
 
 
 @query
 def describe_revenue(t: Tables):
-    return profiling.describe_numeric(t.clean, ["Revenue"])
+    return rounded(profiling.describe_numeric(t.clean, ["Revenue"]), "mean", "std")
 
 
 @query
