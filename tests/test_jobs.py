@@ -74,6 +74,15 @@ def test_unreadable_values_become_null(spark, tmp_path):
     assert bad.Quantity is None and bad.InvoiceDate is None and bad.CustomerID is None and bad.UnitPrice is None
 
 
+def test_small_prices_are_kept_and_headers_checked(spark, tmp_path):
+    head = "InvoiceNo,StockCode,Description,Quantity,InvoiceDate,UnitPrice,CustomerID,Country\n"
+    (tmp_path / "s.csv").write_text(head + "1,A,x,1,2011-01-01 08:00:00,0.001,5,EIRE\n")
+    assert float(files.read_sales(spark, str(tmp_path / "s.csv")).first().UnitPrice) == 0.001
+    (tmp_path / "t.csv").write_text(head.replace("StockCode,Description", "Description,StockCode") + "1,A,x,1,,1,5,EIRE\n")
+    with pytest.raises(Exception, match="header"):
+        files.read_sales(spark, str(tmp_path / "t.csv")).collect()
+
+
 def test_csv_sink(spark, t, tmp_path):
     files.write_table(t.features, str(tmp_path / "f"), fmt="csv")
     again = files.read_table(spark, str(tmp_path / "f"), t.features.schema, "csv")

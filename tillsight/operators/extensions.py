@@ -36,7 +36,7 @@ def purchase_rhythm(sales: DataFrame) -> DataFrame:
 
 def revenue_concentration(sales: DataFrame) -> DataFrame:
     """Products by falling revenue with their cumulative share of all revenue."""
-    totals = sales.where("StockCode IS NOT NULL").groupBy("StockCode").agg(F.sum("Revenue").cast("decimal(38,5)").alias("revenue"))
+    totals = sales.where("StockCode IS NOT NULL").groupBy("StockCode").agg(F.sum("Revenue").cast("decimal(28,7)").alias("revenue"))
     running = with_running_totals(totals, [F.desc("revenue"), F.col("StockCode")], {"cumulative": "revenue"})
     whole = running.agg(F.max("cumulative").alias("t")).first()["t"]
     return running.select(

@@ -10,29 +10,33 @@ from .schemas import HOLIDAYS_RAW, RETAIL_RAW
 
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None, fmt: str = "parquet",
-               timestamp_format: str | None = None) -> DataFrame:
-    """Typed read of a CSV file with header or of a Parquet table."""
+               timestamp_format: str | None = None, check_header: bool = False) -> DataFrame:
+    """Typed read of a CSV file with header or of a Parquet table; CSV columns go by position."""
     reader = spark.read if schema is None else spark.read.schema(schema)
     if fmt == "csv":
         if schema is None:
             raise ValueError("a CSV source needs a declared schema")
-        reader = reader.option("header", True).option("escape", '"').option("multiLine", False)
+        reader = reader.option("header", True).option("escape", '"').option("enforceSchema", not check_header)
         if timestamp_format:
             reader = reader.option("timestampNTZFormat", timestamp_format)
     return reader.format(fmt).load(path)
 
 
 def read_sales(spark: SparkSession, path: str, fmt: str = "csv", timestamp_format: str | None = None) -> DataFrame:
-    """Raw sale lines. CSV ids written as ``17850.0`` and unparsable dates become NULL-safe values."""
+    """Raw sale lines.
+
+    In CSV, ids may be written as ``17850.0``, prices keep four decimals, and
+    values that cannot be read become NULL.
+    """
     if fmt != "csv":
         return read_table(spark, path, RETAIL_RAW, fmt)
     text = T.StructType([T.StructField(f.name, T.StringType()) for f in RETAIL_RAW])
-    raw = read_table(spark, path, text, "csv")
+    raw = read_table(spark, path, text, "csv", check_header=True)
     return raw.select(
         "InvoiceNo", "StockCode", "Description",
         F.col("Quantity").try_cast("double").cast("bigint").alias("Quantity"),
         parse_timestamp("InvoiceDate", timestamp_format, coerce=True).alias("InvoiceDate"),
-        F.col("UnitPrice").try_cast("decimal(12,2)").alias("UnitPrice"),
+        F.col("UnitPrice").try_cast("decimal(14,4)").alias("UnitPrice"),
         F.col("CustomerID").try_cast("double").cast("bigint").alias("CustomerID"),
         "Country",
     )
