@@ -10,17 +10,22 @@ from pyspark.sql import DataFrame, SparkSession
 PACKAGE = "tillsight"
 
 
+_local_roots: dict[str, str] = {}
+
+
 def staging_root(spark: SparkSession) -> str:
-    """Folder for staged tables: ``spark.checkpoint.dir``, which all executors share.
+    """Folder for staged tables: ``spark.checkpoint.dir``, or the context's checkpoint folder.
 
-    Only a local session without that setting gets a folder of its own.
+    Both are shared by all executors. Only a local session with neither gets a
+    folder of its own.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    root = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
+        if not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-        root = tempfile.mkdtemp(prefix=f"{PACKAGE}-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        app = context.applicationId
+        root = _local_roots.setdefault(app, _local_roots.get(app) or tempfile.mkdtemp(prefix=f"{PACKAGE}-"))
     return root.rstrip("/")
 
 
