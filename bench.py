@@ -16,7 +16,7 @@ from tillsight.session import local_session
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 WARM_DIR = os.path.join(os.path.dirname(SF_DIR.rstrip("/")), "sf0.001")
-STAGES = ("raw", "calendar", "fences", "clean", "features", "dataset", "customers", "trained", "fixed_segments", "segmented")
+STAGES = ("raw", "calendar", "purchases", "fences", "clean", "features", "dataset", "customers", "trained", "fixed_segments", "segmented")
 QUERIES = (
     "dedup_lines", "split_counts", "iqr_fences", "filter_price", "holiday_enrich", "cohort_month", "duplicate_profile",
     "describe_numeric", "null_profile", "dataset_card", "monthly_product", "product_kpis", "customer_kpis",

@@ -57,9 +57,8 @@ def test_nulls_pass_through_caps(spark, sales_of):
     assert [r.v for r in customers.clip(df, {"v": [1.0, 2.0]}).collect()] == [None, 1.0, 2.0]
 
 
-def test_fences_from_keys_equal_fences_from_lines(t):
-    keys = cleaning.fit_fences(cleaning.purchase_measures(t.raw))
-    assert keys == cleaning.fit_fences(t.purchases.select("Quantity", "UnitPrice"))
+def test_fences_are_those_of_the_folded_lines(t):
+    assert cleaning.fit_fences(cleaning.purchases_of(t.raw)) == t.fences
 
 
 def test_iso_week_and_monday_zero(sales_of):

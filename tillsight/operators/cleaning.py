@@ -83,8 +83,8 @@ def iqr_fence(q1: float, q3: float, factor: float = 1.5) -> Fence:
 def fit_fences(purchases: DataFrame, factor: float = 1.5) -> Fences:
     """Exact IQR fences of Quantity and UnitPrice, both taken before either is applied.
 
-    ``purchases`` only has to carry the two columns; the fitted fences are plain
-    numbers, so applying them needs no join.
+    Only the two columns are read; the fitted fences are plain numbers, so
+    applying them needs no join.
     """
     columns = ["Quantity", "UnitPrice"]
     q = ValueCounts.of(purchases, columns).quantiles({c: [0.25, 0.75] for c in columns})
@@ -152,16 +152,6 @@ def purchases_of(sales: DataFrame) -> DataFrame:
     return standardize_text(bought)
 
 
-def purchase_measures(sales: DataFrame) -> DataFrame:
-    """Quantity and price of every purchase, from the key columns alone.
-
-    Both measures are part of the line key, so the fences need only the distinct
-    keys, a much narrower shuffle than the full lines.
-    """
-    keys = drop_anonymous(sales).where("Quantity > 0 AND StockCode IS NOT NULL").select(*LINE_KEY).distinct()
-    return keys.select("Quantity", "UnitPrice")
-
-
 def revenue_sign_check(sales: DataFrame) -> DataFrame:
     return sales.agg(
         F.count_if(F.col("Revenue") < 0).alias("negative_lines"),

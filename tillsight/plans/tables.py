@@ -6,7 +6,7 @@ starts from the nearest stage and the stages below it are not recomputed.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 from functools import cached_property
 
 from pyspark.ml import PipelineModel
@@ -17,24 +17,30 @@ from ..operators import cleaning, customers, forecast, holidays, monthly, produc
 from ..sources import bridge
 
 
-def clean_sales(sales: DataFrame, calendar: DataFrame, fences: cleaning.Fences | None = None,
-                aliases: dict[str, str] = holidays.COUNTRY_ALIASES) -> DataFrame:
-    """Raw sale lines and a holiday calendar to clean, enriched purchases."""
-    if fences is None:
-        fences = cleaning.fit_fences(cleaning.purchase_measures(sales))
-    # Read twice below (cohort months and lines), and the shuffle of all lines lies behind it.
-    bought = stage(
-        cleaning.filter_price(cleaning.cap_quantity(cleaning.purchases_of(sales), fences.quantity), fences.price),
-        "purchases",
-    )
-    enriched = holidays.add_holidays(cleaning.add_cohort(cleaning.calendar_parts(cleaning.add_revenue(bought))), calendar, aliases)
+def enrich_purchases(bought: DataFrame, fences: cleaning.Fences, calendar: DataFrame,
+                     aliases: Mapping[str, str] = holidays.COUNTRY_ALIASES) -> DataFrame:
+    """Capped and filtered purchases with revenue, calendar parts, cohort month and holidays."""
+    priced = cleaning.filter_price(cleaning.cap_quantity(bought, fences.quantity), fences.price)
+    dated = cleaning.add_cohort(cleaning.calendar_parts(cleaning.add_revenue(priced)))
     return (
-        enriched.dropna(subset=list(cleaning.REQUIRED))
+        holidays.add_holidays(dated, calendar, aliases)
+        .dropna(subset=list(cleaning.REQUIRED))
         .withColumnRenamed("Month", "Month_num")
         .withColumn("YearMonth", cleaning.month_start("InvoiceDate"))
     )
 
 
+def clean_sales(sales: DataFrame, calendar: DataFrame, fences: cleaning.Fences | None = None,
+                aliases: Mapping[str, str] = holidays.COUNTRY_ALIASES) -> DataFrame:
+    """Raw sale lines and a holiday calendar to clean, enriched purchases.
+
+    The purchases are written once, behind the shuffle that folds repeated
+    lines; fences, cohort months and the result then read only what they need.
+    """
+    bought = stage(cleaning.purchases_of(sales), "purchases")
+    return enrich_purchases(bought, fences or cleaning.fit_fences(bought), calendar, aliases)
+
+
 class Tables:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir.rstrip("/")
@@ -52,16 +58,16 @@ class Tables:
         return stage(holidays.holiday_calendar(self.holidays_raw), "holidays")
 
     @cached_property
-    def fences(self) -> cleaning.Fences:
-        return cleaning.fit_fences(cleaning.purchase_measures(self.raw))
-
-    @property
     def purchases(self) -> DataFrame:
-        return cleaning.purchases_of(self.raw)
+        return stage(cleaning.purchases_of(self.raw), "purchases")
+
+    @cached_property
+    def fences(self) -> cleaning.Fences:
+        return cleaning.fit_fences(self.purchases)
 
     @cached_property
     def clean(self) -> DataFrame:
-        return stage(clean_sales(self.raw, self.calendar, self.fences, bridge.COUNTRY_ALIASES), "retail_clean")
+        return stage(enrich_purchases(self.purchases, self.fences, self.calendar, bridge.COUNTRY_ALIASES), "retail_clean")
 
     @property
     def monthly(self) -> DataFrame:
