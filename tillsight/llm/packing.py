@@ -9,11 +9,13 @@ token is shuffled.
 
 from __future__ import annotations
 
+import unicodedata
 import zlib
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -121,30 +123,115 @@ def offsets(bins: np.ndarray, tokens: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return offset, segment
 
 
-def word_encoder(tokenizer_json: str, most_words: int = 500_000):
-    """Text to ids (bytes of little-endian unsigned 32-bit numbers), encoding each white-space chunk of a task once.
+class ChunkEncoder:
+    """Texts to ids (bytes of little-endian unsigned 32-bit numbers), encoding each white-space chunk once.
 
-    Right for tokenizers whose normaliser and pre-tokenizer never look across
-    white space, as that of word_bpe_49k.json: only space, tab and newline
-    separate chunks here, every other character is left to the tokenizer.
+    Right for tokenizers that compose characters, fold case and white space, and
+    then cut words of letters, single digits and runs of other signs, as
+    word_bpe_49k.json does: none of these steps looks across white space, and a
+    sign behind a whole word is a token run of its own. Only space, tab and
+    newline separate chunks here; any other character is left to the tokenizer.
+    Texts whose case folding depends on more than the character, or that are not
+    composed, go to it whole. A bounded number of chunks is remembered.
     """
-    from tokenizers import Tokenizer
 
-    tokenizer = Tokenizer.from_str(tokenizer_json)
-    tokenizer.encode_special_tokens = True
-    known: dict[str, bytes] = {}
-
-    def encode(text: str) -> bytes:
-        chunks = text.replace("\n", " ").replace("\t", " ").split(" ")
-        new = [w for w in set(chunks) if w not in known]
-        if new:
-            if len(known) + len(new) > most_words:
-                known.clear()
-                new = list(set(chunks))
-            known.update((w, np.array(e.ids, "<u4").tobytes()) for w, e in zip(new, tokenizer.encode_batch(new, add_special_tokens=False), strict=True))
-        return b"".join([known[w] for w in chunks])
-
-    return encode
+    _made: dict[int, ChunkEncoder] = {}
+
+    def __init__(self, tokenizer_json: str, most: int):
+        from tokenizers import Tokenizer, normalizers, pre_tokenizers
+
+        self.tokenizer = Tokenizer.from_str(tokenizer_json)
+        self.tokenizer.encode_special_tokens = True
+        # the model behind white space alone, for words that need no folding and no cutting
+        self.words = Tokenizer.from_str(tokenizer_json)
+        self.words.normalizer = normalizers.Sequence([])
+        self.words.pre_tokenizer = pre_tokenizers.Sequence(
+            [pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.closes = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.closes[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
+        self.known: dict[str, bytes] = {"": b""}
+        self.most = most
+
+    @classmethod
+    def of(cls, tokenizer_json: str, most: int = 1_000_000) -> ChunkEncoder:
+        """The encoder of this worker process: tasks that follow each other share what it knows."""
+        key = hash((tokenizer_json, most))
+        if key not in cls._made:
+            cls._made[key] = cls(tokenizer_json, most)
+        return cls._made[key]
+
+    def _learn_words(self, words: list[str]) -> None:
+        """Encode many words of letters as one text, by the model alone: each of them is folded and one word already."""
+        for k in range(0, len(words), 20_000):
+            part = words[k : k + 20_000]
+            ids = np.array(self.words.encode(" ".join(part), add_special_tokens=False).ids, "<u4")
+            ends = 4 * (np.flatnonzero(self.closes[ids]) + 1)
+            if len(ends) != len(part):
+                raise RuntimeError("a word has more or less than one closing token")
+            self._keep(part, ids.tobytes(), ends)
+
+    def _learn(self, chunks: list[str]) -> None:
+        """Encode any chunks as one text; a token belongs to the chunk that its first character lies in."""
+        for k in range(0, len(chunks), 20_000):
+            part = chunks[k : k + 20_000]
+            found = self.tokenizer.encode(" ".join(part), add_special_tokens=False)
+            sizes = np.fromiter(map(len, part), np.int64, len(part)) + 1
+            begins = np.array(found.offsets, np.int64).reshape(-1, 2)[:, 0]
+            self._keep(part, np.array(found.ids, "<u4").tobytes(), 4 * np.searchsorted(begins, np.cumsum(sizes)))
+
+    def _keep(self, chunks: list[str], ids: bytes, ends: np.ndarray) -> None:
+        stops = ends.tolist()
+        self.known.update(zip(chunks, [ids[a:b] for a, b in zip([0, *stops[:-1]], stops, strict=True)], strict=True))
+
+    def _ids_of(self, chunks: list[str]) -> list[bytes]:
+        known = self.known
+        if len(known) > self.most:
+            known.clear()
+            known[""] = b""
+        new = set(chunks).difference(known)
+        signed = [c for c in new if c[-1] in ",.;:!?" and c[:-1].isalnum()]
+        bodies = (new.difference(signed) | {c[:-1] for c in signed} | {c[-1] for c in signed}).difference(known)
+        words = [c for c in bodies if c.isalpha()]
+        self._learn_words(words)
+        self._learn(list(bodies.difference(words)))
+        known.update([(c, known[c[:-1]] + known[c[-1]]) for c in signed])
+        return list(map(known.__getitem__, chunks))
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """Chunks are numbered by Arrow; each distinct one is looked up once, and the texts are put together by number."""
+        folded: list[str] = []
+        whole: dict[int, bytes] = {}
+        for k, text in enumerate(texts):
+            low = text.lower()
+            if text.isascii() or (len(low) == len(text) and "\u03a3" not in text
+                                  and unicodedata.is_normalized("NFC", text) and unicodedata.is_normalized("NFC", low)):
+                folded.append(low.replace("\n", " ").replace("\t", " "))
+            else:
+                folded.append("")
+                whole[k] = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        split = pc.split_pattern(pa.array(folded, pa.large_string()), " ")
+        numbered = split.values.dictionary_encode()
+        found = self._ids_of(numbered.dictionary.to_pylist())
+        sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        begins = np.cumsum(sizes) - sizes
+        ids = np.frombuffer(b"".join(found), "<u4")
+        number = numbered.indices.to_numpy()
+        n = sizes[number]
+        ends = np.cumsum(n)
+        out = ids[np.repeat(begins[number] - (ends - n), n) + np.arange(int(ends[-1]) if len(n) else 0)].tobytes()
+        upto = np.concatenate([[0], ends])[split.offsets.to_numpy()] * 4
+        return [whole.get(k) or out[a:b] for k, (a, b) in enumerate(zip(upto[:-1].tolist(), upto[1:].tolist(), strict=True))]
+
+
+def portions(batch: pa.RecordBatch, column: int = 1, most_bytes: int = 48 << 20):
+    """Slices of a batch of at most about ``most_bytes`` of text, or one row."""
+    size = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    part = np.cumsum(size) // most_bytes
+    cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), batch.num_rows]
+    for a, b in zip(cuts, cuts[1:], strict=False):
+        if b > a:
+            yield batch.slice(a, b - a)
 
 
 PIECES = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, "
@@ -188,7 +275,7 @@ def pack_documents(df: DataFrame, tokenizer_json: str, end_id: int = 1, limits:
         return doc, start, length, np.array(bins, np.int64)
 
     def packed(batches):
-        encode = word_encoder(shared.value)
+        encoder = ChunkEncoder.of(shared.value)
         base, used = TaskContext.get().partitionId() << 33, 0
         group, held = [], 0
 
@@ -205,14 +292,18 @@ def pack_documents(df: DataFrame, tokenizer_json: str, end_id: int = 1, limits:
                 yield pa.RecordBatch.from_arrays([pa.array(c[k : k + 4000], f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
             return int(bins.max()) + 1
 
-        for batch in batches:
-            for i, t in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                ids = encode(t.as_py() or "") + tail
-                group.append((i, ids))
-                held += len(ids) // 4
-                if held >= group_ids or len(group) >= group_rows:
-                    used += yield from finish()
-                    group, held = [], 0
+        def encoded():
+            for batch in batches:
+                for part in portions(batch):
+                    yield from zip(part.column(0).to_pylist(), encoder.encode([t or "" for t in part.column(1).to_pylist()]), strict=True)
+
+        for i, ids in encoded():
+            ids += tail
+            group.append((i, ids))
+            held += len(ids) // 4
+            if held >= group_ids or len(group) >= group_rows:
+                used += yield from finish()
+                group, held = [], 0
         if group:
             yield from finish()
 
