@@ -107,6 +107,7 @@ def exact_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     rows = text_identity(df, id_col, text_col, block)
     rows = rows.withColumn("rank", F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "row"))
     groups = rows.groupBy("blocks", "name").agg(F.min("rank").alias("best"), F.count(F.lit(1)).alias("group_size"))
+    groups = stage(groups, "identity_groups")  # both sides of the join are then plain shuffles, which split a hot group
     return rows.join(groups, ["blocks", "name"]).select(
         "doc_id",
         F.col("best.doc_id").alias("keep_id"),
