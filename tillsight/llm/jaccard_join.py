@@ -108,7 +108,8 @@ def _split(rows: DataFrame, roots: list[int] | None) -> DataFrame:
 def _crowded(paths: DataFrame) -> DataFrame:
     """Rows of buckets of two or more, with the bucket's size."""
     sizes = paths.groupBy("path").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    return paths.join(sizes, "path")
+    # both sides of the join are then plain shuffles, which split a hot bucket
+    return paths.join(stage(sizes, "bucket_sizes"), "path")
 
 
 def _in_blocks(rows: DataFrame, key: str, blocks) -> DataFrame:

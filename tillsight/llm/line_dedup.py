@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.staging import stage
+
 WINDOW = 3
 
 
@@ -39,6 +41,7 @@ def repeated_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     # NULL ids sort last
     rank = F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "row_key", "line")
     first = spots.groupBy("digest").agg(F.min(rank).alias("first"), F.count(F.lit(1)).alias("times")).filter("times > 1")
+    first = stage(first, "first_windows")  # both sides of the join are then plain shuffles, which split a hot window
     later = spots.join(first.select("digest", "first"), "digest").filter(
         ~(F.col("first.doc_id").eqNullSafe(F.col("doc_id")) & (F.col("first.row_key") == F.col("row_key"))
           & (F.col("first.line") == F.col("line"))))

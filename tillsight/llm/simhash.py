@@ -91,7 +91,7 @@ def near_fingerprints(values: DataFrame, radius: int = 3, blocks: int = 6) -> Da
     table = values.select("fingerprint", F.posexplode(keys).alias("table", "key"))
     # keys without a partner, nearly all of them, go before the join
     crowded = table.groupBy("table", "key").count().filter("count > 1").select("table", "key")
-    table = table.join(crowded, ["table", "key"])
+    table = stage(table.join(stage(crowded, "crowded_keys"), ["table", "key"]), "table_rows")
     left = table.select("table", "key", F.col("fingerprint").alias("a"))
     right = table.select("table", "key", F.col("fingerprint").alias("b"))
     met = left.join(right, ["table", "key"]).filter((F.col("a") < F.col("b")) & (hamming("a", "b") <= radius))
