@@ -19,14 +19,10 @@ def _lines(text: Column) -> Column:
     return F.split(F.coalesce(text, F.lit("")), "\n", -1)
 
 
-def _digests(lines: Column, window: int) -> Column:
-    """128 bits per window, NULL for one of blank lines only; empty for a text of fewer lines."""
-    def one(at: Column) -> Column:
-        run = F.array_join(F.slice(lines, at, window), "\n")
-        return F.when(F.length(F.regexp_replace(run, r"\s+", "")) > 0, F.unhex(F.md5(run.cast("binary"))))
-
-    starts = F.sequence(F.lit(1), F.size(lines) - (window - 1))
-    return F.when(F.size(lines) >= window, F.transform(starts, one)).otherwise(F.array().cast("array<binary>"))
+def _runs(lines: Column, window: int) -> Column:
+    """The ``window`` consecutive lines from each line on, as structs a0, a1, ...; none for a text of fewer lines."""
+    many = F.greatest(F.size(lines) - (window - 1), F.lit(0))
+    return F.arrays_zip(*[F.slice(lines, k + 1, many).alias(f"a{k}") for k in range(window)])
 
 
 def repeated_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW) -> DataFrame:
@@ -36,8 +32,10 @@ def repeated_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     (doc_id, line); NULL ids come last. Rows with the same id and text are one.
     """
     rows = df.select(F.col(id_col).alias("doc_id"), F.md5(F.coalesce(F.col(text_col), F.lit("")).cast("binary")).alias("row_key"),
-                     _digests(_lines(F.col(text_col)), window).alias("digests"))
-    spots = rows.select("doc_id", "row_key", F.posexplode("digests").alias("line", "digest")).filter("digest IS NOT NULL")
+                     F.posexplode(_runs(_lines(F.col(text_col)), window)).alias("line", "run"))
+    run = F.concat_ws("\n", *[F.col(f"run.a{k}") for k in range(window)])
+    spots = rows.select("doc_id", "row_key", "line", run.alias("run")).filter(F.col("run").rlike(r"\S"))
+    spots = spots.select("doc_id", "row_key", "line", F.unhex(F.md5(F.col("run").cast("binary"))).alias("digest"))
     # NULL ids sort last
     rank = F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "row_key", "line")
     first = spots.groupBy("digest").agg(F.min(rank).alias("first"), F.count(F.lit(1)).alias("times")).filter("times > 1")
