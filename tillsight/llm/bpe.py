@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import base64
 import zlib
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -25,6 +26,7 @@ from pyspark.sql import functions as F
 _SPACE = r"\t-\r \x85\xa0  -     　"
 BATCH_CHARS = 28 << 20
 BATCH_TEXTS = 50_000
+STEP_CHARS = 3 << 20
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -39,18 +41,22 @@ def splitter(pattern: str):
     return regex.compile(inside.replace(r"\s", f"[{_SPACE}]").replace(r"\S", f"[^{_SPACE}]"))
 
 
-def to_varint(numbers: np.ndarray) -> bytes:
-    """Non-negative numbers below 2^28 as 7-bit groups, lowest first."""
+def to_varint(numbers: np.ndarray, counts: np.ndarray | None = None) -> bytes | list[bytes]:
+    """Non-negative numbers below 2^28 as 7-bit groups, lowest first; in parts of ``counts`` numbers, if given."""
     n = numbers.astype(np.uint32)
     width = 1 + (n >= 1 << 7) + (n >= 1 << 14) + (n >= 1 << 21).astype(np.int64)
     ends = np.cumsum(width)
     out = np.zeros(int(ends[-1]) if len(n) else 0, np.uint8)
     starts = ends - width
     for k in range(4):
-        has = width > k
+        has = np.flatnonzero(width > k)
         more = (width[has] > k + 1).astype(np.uint8) << 7
         out[starts[has] + k] = ((n[has] >> (7 * k)) & 127).astype(np.uint8) | more
-    return out.tobytes()
+    data = out.tobytes()
+    if counts is None:
+        return data
+    stops = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(counts)])].tolist()
+    return [data[a:b] for a, b in zip(stops, stops[1:], strict=False)]
 
 
 def from_varint(data: bytes) -> np.ndarray:
@@ -75,60 +81,78 @@ class PreTokens:
     def __init__(self, pattern: str):
         self.find = splitter(pattern).findall
         self.odd = regex.compile(f" (?:[{_SPACE}]|$)").search
-
-    def number(self, texts: list[str]) -> tuple[list[bytes], list[str]]:
-        """The code of each text (its numbers), and the words by number, frequent ones first."""
-        words: dict[str, int] = {}
-        known = lambda text: [words.setdefault(w, len(words)) for w in self.find(text)]
+        self.clear()
+
+    def clear(self) -> None:
+        self.words: dict[str, int] = {}
+        self.cuts: dict[str, int] = {}  # place of a cut in the three arrays
+        self.flat, self.begins, self.sizes = array("i"), array("q"), array("i")
+
+    def _place(self, text: str) -> int:
+        words = self.words
+        found = [words.setdefault(w, len(words)) for w in self.find(text)]
+        self.begins.append(len(self.flat))
+        self.flat.extend(found)
+        self.sizes.append(len(found))
+        return len(self.sizes) - 1
+
+    def add(self, texts: list[str], coded: bool = True) -> list[bytes]:
+        """Number the words of some texts of the batch; the code of each text, its numbers, if ``coded``.
+
+        The pattern sees each distinct cut once. Numbers do not depend on ``coded``.
+        """
         whole = {k: t for k, t in enumerate(texts) if self.odd(t)}
         split = pc.split_pattern(pa.array(["" if k in whole else t for k, t in enumerate(texts)], pa.large_string()), " ")
         numbered = split.values.dictionary_encode()
-        cuts = numbered.dictionary.to_pylist()
-        begin = split.offsets.to_numpy()[:-1]  # the first cut of a text has no space before it
-        # cuts with their space, then the first ones of the texts, then whole texts
-        parts = [known(" " + c) for c in cuts]
-        order = numbered.indices.to_numpy().astype(np.int64)
-        heads = order[begin]
-        order[begin] = len(parts) + np.arange(len(texts))
-        parts += [known(whole[k] if k in whole else cuts[h]) for k, h in enumerate(heads.tolist())]
-        sizes = np.fromiter(map(len, parts), np.int64, len(parts))
-        begins = np.cumsum(sizes) - sizes
-        flat = np.fromiter((n for p in parts for n in p), np.int32, int(sizes.sum()))
-        n = sizes[order]
+        cuts, known = numbered.dictionary.to_pylist(), self.cuts
+        for c in cuts:
+            if c not in known:
+                known[c] = self._place(" " + c)
+        offsets = split.offsets.to_numpy()
+        begin = offsets[:-1]
+        # the first cut of a text has no space before it
+        heads = numbered.indices.to_numpy()[begin].tolist()
+        first = [self._place(whole[k] if k in whole else cuts[h]) for k, h in enumerate(heads)]
+        if not coded:
+            return []
+        place = np.fromiter(map(known.__getitem__, cuts), np.int32, len(cuts))
+        order = place[numbered.indices.to_numpy()]
+        order[begin] = first
+        # what numpy sees of a growing array must not outlive the call
+        n = np.frombuffer(self.sizes, np.int32)[order].astype(np.int64)
         ends = np.cumsum(n)
-        numbers = flat[np.repeat(begins[order] - (ends - n), n) + np.arange(int(ends[-1]) if len(n) else 0)]
-        times = np.bincount(numbers, minlength=len(words))
-        frequent = np.argsort(-times, kind="stable")
-        used = int((times > 0).sum())  # a cut that only begins texts leaves a word without a use
-        rank = np.empty(len(words), np.int32)
-        rank[frequent] = np.arange(len(words), dtype=np.int32)
-        numbers = rank[numbers]
-        stops = np.concatenate([[0], ends])[split.offsets.to_numpy()].tolist()
-        listed = list(words)
-        return [to_varint(numbers[a:b]) for a, b in zip(stops[:-1], stops[1:], strict=True)], [listed[k] for k in frequent[:used].tolist()]
-
-
-def _numbered(batches, pattern: str):
+        at = np.repeat(np.frombuffer(self.begins, np.int64)[order] - (ends - n), n)
+        at += np.arange(len(at))
+        numbers = np.frombuffer(self.flat, np.int32)[at] if len(at) else np.zeros(0, np.int32)
+        return to_varint(numbers, np.diff(np.concatenate([[0], ends])[offsets]))
+
+
+def _numbered(batches, pattern: str, coded: bool):
     """Per batch of texts: its number, the ids, the code of each text, its words by number, and a checksum of these."""
     task, cutter = TaskContext.get(), PreTokens(pattern)
     base = (task.partitionId() if task else 0) << 33
 
-    def cut(ids, texts, count):
-        codes, words = cutter.number(texts)
-        return base + count, ids, codes, words, zlib.crc32(b"".join(codes))
+    def cut(ids, codes, count):
+        words = list(cutter.words)
+        cutter.clear()
+        return base + count, ids, codes, words, zlib.crc32("\0".join(words).encode())
 
-    ids, texts, chars, count = [], [], 0, 0
+    ids, texts, codes, held, chars, count = [], [], [], 0, 0, 0
     for batch in batches:
         for i, t in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
             t = t.as_py() or ""
             ids.append(i)
             texts.append(t)
-            chars += len(t)
-            if chars >= BATCH_CHARS or len(texts) >= BATCH_TEXTS:
-                yield cut(ids, texts, count)
-                ids, texts, chars, count = [], [], 0, count + 1
-    if texts:
-        yield cut(ids, texts, count)
+            held += len(t)
+            if held >= STEP_CHARS or len(ids) >= BATCH_TEXTS:
+                codes += cutter.add(texts, coded)
+                chars, texts, held = chars + held, [], 0
+            if chars >= BATCH_CHARS or len(ids) >= BATCH_TEXTS:
+                yield cut(ids, codes, count)
+                ids, codes, chars, count = [], [], 0, count + 1
+    if ids:
+        codes += cutter.add(texts, coded)
+        yield cut(ids, codes, count)
 
 
 def _table(schema: pa.Schema, *columns):
@@ -155,14 +179,14 @@ def encode(df: DataFrame, ranks: dict[bytes, int], pattern: str, id_col: str = "
     id_rows = pa.schema([("batch", pa.int64()), ("sum", pa.int64()), ("numbers", pa.binary()), ("sizes", pa.binary()), ("ids", pa.binary())])
 
     def codes(batches):
-        for batch, ids, coded, _, check in _numbered(batches, pattern):
+        for batch, ids, coded, _, check in _numbered(batches, pattern, True):
             for k in range(0, len(ids), 5000):
                 part = slice(k, k + 5000)
                 n = len(ids[part])
                 yield _table(code_rows, _same(n, batch), _same(n, check), ids[part], coded[part])
 
     def words(batches):
-        for batch, _, _, known, check in _numbered(batches, pattern):
+        for batch, _, _, known, check in _numbered(batches, pattern, False):
             for k in range(0, len(known), 50_000):
                 part = known[k : k + 50_000]
                 yield _table(word_rows, _same(len(part), batch), _same(len(part), check),
