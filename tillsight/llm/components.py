@@ -25,9 +25,11 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", most_rounds: int =
     for _ in range(most_rounds):
         both = known.unionByName(known.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy(F.col("u").alias("c")).agg(F.least(F.min("v"), F.first("u")).alias("m"))
+        least = stage(least, "least")  # both sides of the joins are then plain shuffles, which split a hot node
         large = both.join(least, both.u == least.c).filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         large = stage(large, "edges")
         least = large.groupBy(F.col("u").alias("c")).agg(F.min("v").alias("m"))
+        least = stage(least, "least")
         hung = large.join(least, large.u == least.c).filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         known = stage(hung.unionByName(least.select(F.col("c").alias("u"), F.col("m").alias("v"))).distinct(), "edges")
         before, state = state, _state(known)

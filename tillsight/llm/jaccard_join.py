@@ -29,7 +29,8 @@ from .words import Hasher, groups, mixed, split_words
 TOKENS = 128
 BUCKET = 64
 DEPTH = 4
-BLOCK = 128
+COMPARED = 1024
+BLOCK = 512
 BLOCK_SHINGLES = 1 << 21
 _SECOND = 0.25  # a bucket samples a second position this often: 1.25 = 1 / 0.8 on average
 
@@ -135,7 +136,7 @@ def _forest(close: np.ndarray, ids: np.ndarray) -> list[tuple[int, int]]:
     return edges
 
 
-def _candidates(leaves: DataFrame, threshold: float, least: float, bucket: int) -> DataFrame:
+def _candidates(leaves: DataFrame, threshold: float, least: float) -> DataFrame:
     """Forest edges of the sketches that agree in a share ``least`` of positions, per leaf or pair of its blocks."""
     def compare(batches):
         for table in groups(batches, 3):
@@ -153,7 +154,7 @@ def _candidates(leaves: DataFrame, threshold: float, least: float, bucket: int)
             if edges:
                 yield pa.RecordBatch.from_pydict({"a": [e[0] for e in edges], "b": [e[1] for e in edges]})
 
-    blocks = F.ceil(F.col("n") / bucket)
+    blocks = F.ceil(F.col("n") / COMPARED)
     rows = _in_blocks(leaves, "path", blocks).select("path", "lo", "hi", "doc_id", "shingles", "bytes")
     return rows.repartition("path", "lo", "hi").sortWithinPartitions("path", "lo", "hi").mapInArrow(compare, "a long, b long")
 
@@ -182,7 +183,8 @@ def _verified(members: DataFrame, texts: DataFrame, shingle: int, threshold: flo
     sizes = members.groupBy("root").agg(F.count(F.lit(1)).alias("n"), F.sum("shingles").alias("total"))
     blocks = F.greatest(F.ceil(F.col("n") / block), F.ceil(F.col("total") / block_shingles))
     wanted = members.join(sizes, "root").withColumn("blocks", blocks).select("doc_id", "root", "blocks", "docs")
-    rows = wanted.join(texts.select("doc_id", "text"), "doc_id").select("root", "blocks", "docs", "doc_id", "text")
+    # by merging at every size: a small side that is broadcast would only hide what the join costs
+    rows = wanted.hint("merge").join(texts.select("doc_id", "text"), "doc_id").select("root", "blocks", "docs", "doc_id", "text")
     schema = pa.schema([("root", pa.int64()), ("blocks", pa.int64()), ("docs", pa.int64()), ("doc_id", pa.int64()), ("set", pa.binary())])
 
     def shingled(batches):
@@ -259,7 +261,7 @@ def jaccard_join(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     met = met.join(reps.select("doc_id", "shingles", F.unhex(low_bytes).alias("bytes")), "doc_id")
     # four standard deviations below the expected agreement at the threshold
     least = threshold - 4 * math.sqrt(threshold * (1 - threshold) / TOKENS)
-    near = components(_candidates(met, threshold, least, bucket))
+    near = components(_candidates(met, threshold, least))
     members = stage(near.join(reps.select(F.col("doc_id").alias("node"), "shingles", "docs"), "node")
                     .select(F.col("node").alias("doc_id"), "root", "shingles", "docs"), "members")
     links = stage(_verified(members, docs, shingle, threshold, BLOCK, BLOCK_SHINGLES), "links")
