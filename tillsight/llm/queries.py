@@ -48,7 +48,7 @@ def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = stage(simhash.edited_fingerprints(table(spark, sf_dir, "documents")), "edited_fingerprints")
-    near = simhash.near_counts(rows)
+    near = stage(simhash.near_counts(rows), "near_counts")
     return rows.join(near, "fingerprint").select(
         "doc_id", "n_chars", "edited_sha256",
         simhash.as_hex("fingerprint").alias("fingerprint"), simhash.as_hex("edited_fingerprint").alias("edited_fingerprint"),
