@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 
 # The white space of the pattern's own engine; Python's class has four control characters more.
 _SPACE = r"\t-\r \x85\xa0  -     　"
+_SIGNS = frozenset(",.;:!?")
 BATCH_CHARS = 28 << 20
 BATCH_TEXTS = 50_000
 STEP_CHARS = 3 << 20
@@ -88,9 +89,15 @@ class PreTokens:
         self.cuts: dict[str, int] = {}  # place of a cut in the three arrays
         self.flat, self.begins, self.sizes = array("i"), array("q"), array("i")
 
-    def _place(self, text: str) -> int:
+    def _place(self, text: str, cut: str = "") -> int:
+        """``cut`` is the text without the space before it: letters alone, or with one sign behind, need no pattern."""
         words = self.words
-        found = [words.setdefault(w, len(words)) for w in self.find(text)]
+        if cut.isalpha():
+            found = (words.setdefault(text, len(words)),)
+        elif cut[-1:] in _SIGNS and cut[:-1].isalpha():
+            found = (words.setdefault(text[:-1], len(words)), words.setdefault(cut[-1], len(words)))
+        else:
+            found = [words.setdefault(w, len(words)) for w in self.find(text)]
         self.begins.append(len(self.flat))
         self.flat.extend(found)
         self.sizes.append(len(found))
@@ -107,7 +114,7 @@ class PreTokens:
         cuts, known = numbered.dictionary.to_pylist(), self.cuts
         for c in cuts:
             if c not in known:
-                known[c] = self._place(" " + c)
+                known[c] = self._place(" " + c, c)
         offsets = split.offsets.to_numpy()
         begin = offsets[:-1]
         # the first cut of a text has no space before it
@@ -163,9 +170,12 @@ def _same(n, value):
     return pa.array(np.full(n, value))
 
 
-def encode(df: DataFrame, ranks: dict[bytes, int], pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def encode(df: DataFrame, ranks: dict[bytes, int], pattern: str, id_col: str = "doc_id", text_col: str = "text",
+           decoded: bool = False) -> DataFrame:
     """One row per row: doc_id, n_tokens, ids (little-endian unsigned 32-bit numbers). NULL is the empty text, which has no ids.
 
+    ``decoded`` adds the bytes that the ids stand for in the token-byte table, as :func:`decode` does.
+
     ``df`` is read twice and has to give its rows in the same order within the
     same partitions, as a scan does; a checksum of every batch stops the job
     otherwise. The vocabulary is broadcast: its size is fixed.
@@ -220,7 +230,8 @@ def encode(df: DataFrame, ranks: dict[bytes, int], pattern: str, id_col: str = "
                 rows = 0
         yield from flush()
 
-    out = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids", pa.binary())])
+    out = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids", pa.binary())] + [("decoded", pa.binary())] * decoded)
+    table = spark.sparkContext.broadcast(token_table(ranks)) if decoded else None
 
     def reassemble(texts: pa.Table, known: pa.Table) -> pa.Table:
         checks = set(texts.column("sum").to_pylist()) | set(known.column("sum").to_pylist())
@@ -231,29 +242,44 @@ def encode(df: DataFrame, ranks: dict[bytes, int], pattern: str, id_col: str = "
         ids = np.frombuffer(b"".join(known.column("ids").to_pylist()), small)
         begin, size = np.zeros(len(numbers), np.int64), np.zeros(len(numbers), np.int64)
         begin[numbers], size[numbers] = np.cumsum(sizes) - sizes, sizes
-        found, counts = [], []
-        for coded in texts.column("codes"):
-            word = from_varint(coded.as_py())
-            n = size[word]
-            total = int(n.sum())
-            at = np.repeat(begin[word] - (np.cumsum(n) - n), n) + np.arange(total)
-            found.append(ids[at].astype("<u4").tobytes())
-            counts.append(total)
-        return pa.table([texts.column("doc_id").combine_chunks(), pa.array(counts, pa.int64()), pa.array(found, pa.binary())], schema=out)
+        tokens, parts = table.value if table else None, []
+        for k in range(0, texts.num_rows, 250):  # small batches, so that what the JVM holds stays small
+            part, found, counts = texts.slice(k, 250), [], []
+            for coded in part.column("codes"):
+                word = from_varint(coded.as_py())
+                n = size[word]
+                total = int(n.sum())
+                at = np.repeat(begin[word] - (np.cumsum(n) - n), n) + np.arange(total)
+                found.append(ids[at].astype("<u4").tobytes())
+                counts.append(total)
+            columns = [part.column("doc_id").combine_chunks(), pa.array(counts, pa.int64()), pa.array(found, pa.binary())]
+            if table:
+                columns.append(pa.array([token_bytes(tokens, f) for f in found], pa.binary()))
+            parts.append(pa.RecordBatch.from_arrays(columns, schema=out))
+        return pa.Table.from_batches(parts, out)
 
     coded = docs.mapInArrow(codes, "batch long, sum long, doc_id long, codes binary")
     distinct = docs.mapInArrow(words, "batch long, sum long, number int, word string")
     ids = distinct.repartition("word").sortWithinPartitions("word").mapInArrow(
         word_ids, "batch long, sum long, numbers binary, sizes binary, ids binary")
-    return coded.groupBy("batch").cogroup(ids.groupBy("batch")).applyInArrow(reassemble, "doc_id long, n_tokens long, ids binary")
+    return coded.groupBy("batch").cogroup(ids.groupBy("batch")).applyInArrow(reassemble, "doc_id long, n_tokens long, ids binary" + ", decoded binary" * decoded)
 
 
-def decode(df: DataFrame, ranks: dict[bytes, int], ids_col: str = "ids", name: str = "decoded") -> DataFrame:
-    """Add ``name``: the bytes of the ids in ``ids_col``, looked up in the broadcast token-byte table. NULL stays NULL; an unknown id fails the job."""
+def token_table(ranks: dict[bytes, int]) -> list[bytes]:
+    """Bytes of each token by id; its size is that of the vocabulary."""
     table = [b""] * (max(ranks.values()) + 1)
     for token, rank in ranks.items():
         table[rank] = token
-    shared = df.sparkSession.sparkContext.broadcast(table)
+    return table
+
+
+def token_bytes(table: list[bytes], ids: bytes) -> bytes:
+    return b"".join([table[i] for i in np.frombuffer(ids, "<u4").tolist()])
+
+
+def decode(df: DataFrame, ranks: dict[bytes, int], ids_col: str = "ids", name: str = "decoded") -> DataFrame:
+    """Add ``name``: the bytes of the ids in ``ids_col``, looked up in the broadcast token-byte table. NULL stays NULL; an unknown id fails the job."""
+    shared = df.sparkSession.sparkContext.broadcast(token_table(ranks))
     kept = [c for c in df.columns if c != name]
     place = kept.index(ids_col)
 
@@ -263,7 +289,7 @@ def decode(df: DataFrame, ranks: dict[bytes, int], ids_col: str = "ids", name: s
             texts = []
             for value in batch.column(place):
                 raw = value.as_py()
-                texts.append(None if raw is None else b"".join([tokens[i] for i in np.frombuffer(raw, "<u4").tolist()]))
+                texts.append(None if raw is None else token_bytes(tokens, raw))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.binary())], names=[*kept, name])
 
     from pyspark.sql.types import BinaryType, StructField, StructType

@@ -76,8 +76,7 @@ def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = bpe.load_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
-    encoded = bpe.encode(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
-    return bpe.decode(encoded, ranks).select(
+    return bpe.encode(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN, decoded=True).select(
         "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
