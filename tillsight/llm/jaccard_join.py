@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from ..functions.staging import stage
 from .components import components
-from .words import Hasher, groups, mixed, split_words
+from .words import Hasher, groups, mixed, portions, split_words
 
 TOKENS = 128
 BUCKET = 64
@@ -77,13 +77,14 @@ def _signatures(df: DataFrame, shingle: int) -> DataFrame:
     def sign(batches):
         hasher = Hasher()
         for batch in batches:
-            out = []
-            for i, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                words = split_words(text.as_py())
-                s = np.unique(hasher.shingles(words, shingle))
-                key = xxhash.xxh3_128_digest("\n".join(words)) if words else b"none" + str(i).encode()
-                out.append((i, key, len(s), minhash(s).tobytes() if len(s) else b""))
-            yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], f.type) for k, f in enumerate(schema)], schema=schema)
+            for part in portions(batch):
+                out = []
+                listed = [split_words(t) for t in part.column(1).to_pylist()]
+                for i, words, s in zip(part.column(0).to_pylist(), listed, hasher.shingles_of(listed, shingle), strict=True):
+                    s = np.unique(s)
+                    key = xxhash.xxh3_128_digest("\n".join(words)) if words else b"none" + str(i).encode()
+                    out.append((i, key, len(s), minhash(s).tobytes() if len(s) else b""))
+                yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], f.type) for k, f in enumerate(schema)], schema=schema)
 
     return df.mapInArrow(sign, "doc_id long, key binary, shingles long, sketch binary")
 
@@ -190,8 +191,10 @@ def _verified(members: DataFrame, texts: DataFrame, shingle: int, threshold: flo
     def shingled(batches):
         hasher = Hasher()
         for batch in batches:
-            sets = [np.unique(hasher.shingles(split_words(t.as_py()), shingle)).tobytes() for t in batch.column(4)]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array(sets, pa.binary())], schema=schema)
+            for part in portions(batch, 4):
+                found = hasher.shingles_of([split_words(t) for t in part.column(4).to_pylist()], shingle)
+                sets = [np.unique(s).tobytes() for s in found]
+                yield pa.RecordBatch.from_arrays([*part.columns[:4], pa.array(sets, pa.binary())], schema=schema)
 
     def compare(batches):
         for table in groups(batches, 3):

@@ -20,6 +20,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .words import portions
+
 
 @dataclass(frozen=True)
 class Limits:
@@ -224,16 +226,6 @@ class ChunkEncoder:
         return [whole.get(k) or out[a:b] for k, (a, b) in enumerate(zip(upto[:-1].tolist(), upto[1:].tolist(), strict=True))]
 
 
-def portions(batch: pa.RecordBatch, column: int = 1, most_bytes: int = 48 << 20):
-    """Slices of a batch of at most about ``most_bytes`` of text, or one row."""
-    size = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
-    part = np.cumsum(size) // most_bytes
-    cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), batch.num_rows]
-    for a, b in zip(cuts, cuts[1:], strict=False):
-        if b > a:
-            yield batch.slice(a, b - a)
-
-
 PIECES = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, "
           "segment long, loss_tokens long, ids binary")
 
@@ -294,7 +286,7 @@ def pack_documents(df: DataFrame, tokenizer_json: str, end_id: int = 1, limits:
 
         def encoded():
             for batch in batches:
-                for part in portions(batch):
+                for part in portions(batch, 1, 48 << 20):
                     yield from zip(part.column(0).to_pylist(), encoder.encode([t or "" for t in part.column(1).to_pylist()]), strict=True)
 
         for i, ids in encoded():

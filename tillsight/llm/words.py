@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import re
+from itertools import chain
 
 import numpy as np
 import xxhash
 
 _WORD = re.compile(r"\w+")
+_SIGNS = {c: " " for c in range(128) if not _WORD.match(chr(c))}
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
 SHINGLE = 5
 
@@ -15,6 +17,8 @@ SHINGLE = 5
 def split_words(text: str | None) -> list[str]:
     """Lower-case runs of letters, digits and underscores; of a text without any, its white-space tokens."""
     text = text or ""
+    if text.isascii():
+        return text.lower().translate(_SIGNS).split() or text.lower().split()
     found = _WORD.findall(text) or text.split()
     return "\n".join(found).lower().split("\n") if found else []
 
@@ -44,26 +48,57 @@ class Hasher:
         self.most = most
 
     def words(self, words: list[str]) -> np.ndarray:
+        """Hash of each word; Arrow numbers them, so that each distinct word is looked up once."""
+        import pyarrow as pa
+
         known = self.known
         if len(known) > self.most:
             known.clear()
-        for w in set(words):
+        numbered = pa.array(words, pa.large_string()).dictionary_encode()
+        distinct = numbered.dictionary.to_pylist()
+        for w in distinct:
             if w not in known:
                 known[w] = xxhash.xxh3_64_intdigest(w)
-        return np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
+        hashes = np.fromiter(map(known.__getitem__, distinct), np.uint64, len(distinct))
+        return hashes[numbered.indices.to_numpy()]
 
     def shingles(self, words: list[str], size: int = SHINGLE) -> np.ndarray:
         """Hash of each run of ``size`` words; fewer words are one shingle, none are none."""
-        if not words:
-            return np.zeros(0, np.uint64)
-        h = self.words(words)
-        size = min(size, len(h))
-        n = len(h) - size + 1
-        out = np.full(n, size, np.uint64)
-        for k in range(size):
-            out = (out ^ h[k : k + n]) * _GOLD
-            out ^= out >> np.uint64(29)
-        return mixed(out)
+        return self.shingles_of([words], size)[0]
+
+    def shingles_of(self, texts: list[list[str]], size: int = SHINGLE) -> list[np.ndarray]:
+        """The shingles of many texts, given as words."""
+        h = self.words(list(chain.from_iterable(texts)))
+        runs = _runs(h, size)
+        out, at = [], 0
+        for words in texts:
+            n = len(words)
+            out.append(runs[at : at + n - size + 1] if n >= size else _runs(h[at : at + n], n))
+            at += n
+        return out
+
+
+def _runs(h: np.ndarray, size: int) -> np.ndarray:
+    n = len(h) - size + 1
+    if n < 1 or not size:
+        return np.zeros(0, np.uint64)
+    out = np.full(n, size, np.uint64)
+    for k in range(size):
+        out = (out ^ h[k : k + n]) * _GOLD
+        out ^= out >> np.uint64(29)
+    return mixed(out)
+
+
+def portions(batch, column: int = 1, most_bytes: int = 6 << 20):
+    """Slices of a batch of at most about ``most_bytes`` of text, or one row."""
+    import pyarrow.compute as pc
+
+    size = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    part = np.cumsum(size) // most_bytes
+    cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), batch.num_rows]
+    for a, b in zip(cuts, cuts[1:], strict=False):
+        if b > a:
+            yield batch.slice(a, b - a)
 
 
 def groups(batches, keys: int):
