@@ -22,6 +22,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .words import remembered
+
 # The white space of the pattern's own engine; Python's class has four control characters more.
 _SPACE = r"\t-\r \x85\xa0  -     　"
 _SIGNS = frozenset(",.;:!?")
@@ -136,7 +138,8 @@ class PreTokens:
 
 def _numbered(batches, pattern: str, coded: bool):
     """Per batch of texts: its number, the ids, the code of each text, its words by number, and a checksum of these."""
-    task, cutter = TaskContext.get(), PreTokens(pattern)
+    task, cutter = TaskContext.get(), remembered(f"pre-tokens {pattern}", lambda: PreTokens(pattern))
+    cutter.clear()
     base = (task.partitionId() if task else 0) << 33
 
     def cut(ids, codes, count):

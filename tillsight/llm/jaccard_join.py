@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from ..functions.staging import stage
 from .components import components
-from .words import Hasher, groups, mixed, portions, split_words
+from .words import Hasher, groups, mixed, portions, remembered, split_words
 
 TOKENS = 128
 BUCKET = 64
@@ -75,7 +75,7 @@ def _signatures(df: DataFrame, shingle: int) -> DataFrame:
     schema = pa.schema([("doc_id", pa.int64()), ("key", pa.binary()), ("shingles", pa.int64()), ("sketch", pa.binary())])
 
     def sign(batches):
-        hasher = Hasher()
+        hasher = remembered("hashes", Hasher)
         for batch in batches:
             for part in portions(batch):
                 out = []
@@ -189,7 +189,7 @@ def _verified(members: DataFrame, texts: DataFrame, shingle: int, threshold: flo
     schema = pa.schema([("root", pa.int64()), ("blocks", pa.int64()), ("docs", pa.int64()), ("doc_id", pa.int64()), ("set", pa.binary())])
 
     def shingled(batches):
-        hasher = Hasher()
+        hasher = remembered("hashes", Hasher)
         for batch in batches:
             for part in portions(batch, 4):
                 found = hasher.shingles_of([split_words(t) for t in part.column(4).to_pylist()], shingle)

@@ -16,6 +16,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .words import remembered
+
 
 COLUMNS = 8192
 NO_LANGUAGE = "und"
@@ -114,7 +116,7 @@ def _spherical_means(vectors: np.ndarray, k: int, rounds: int) -> np.ndarray:
 def document_frequencies(texts: DataFrame, columns: int = COLUMNS) -> tuple[np.ndarray, int]:
     """In how many texts each n-gram column occurs, over all rows; a task hands on one row of sums."""
     def sums(batches):
-        grams, total, n = Grams(columns), np.zeros(columns, np.int64), 0
+        grams, total, n = remembered(f"grams {columns}", lambda: Grams(columns)), np.zeros(columns, np.int64), 0
         for batch in batches:
             for text in batch.column(0):
                 counts = grams.counts(text.as_py())
@@ -154,7 +156,7 @@ def fit(train: DataFrame, lang_col: str = "lang", text_col: str = "text", id_col
     sample = rows.filter(draw < F.try_element_at(share, F.col("lang"))).select("lang", "text").limit(2 * sample_per_language * len(sizes))
 
     def sparse(batches):
-        grams = Grams(columns)
+        grams = remembered(f"grams {columns}", lambda: Grams(columns))
         for batch in batches:
             found = [(lang, grams.counts(text.as_py())) for lang, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True)]
             pairs = [(lang, *_sparse(c)) for lang, c in found if c is not None]
@@ -195,7 +197,8 @@ def predict(df: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
 
     def classify(batches):
         m = shared.value
-        grams = Grams(m.centroids.shape[1])
+        columns = m.centroids.shape[1]
+        grams = remembered(f"grams {columns}", lambda: Grams(columns))
         for whole in batches:
             for k in range(0, whole.num_rows, 256):
                 batch = whole.slice(k, 256)

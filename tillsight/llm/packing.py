@@ -20,7 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .words import portions
+from .words import portions, remembered
 
 
 @dataclass(frozen=True)
@@ -137,9 +137,7 @@ class ChunkEncoder:
     composed, go to it whole. A bounded number of chunks is remembered.
     """
 
-    _made: dict[int, ChunkEncoder] = {}
-
-    def __init__(self, tokenizer_json: str, most: int):
+    def __init__(self, tokenizer_json: str, most: int = 600_000):
         from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_str(tokenizer_json)
@@ -155,14 +153,6 @@ class ChunkEncoder:
         self.known: dict[str, bytes] = {"": b""}
         self.most = most
 
-    @classmethod
-    def of(cls, tokenizer_json: str, most: int = 1_000_000) -> ChunkEncoder:
-        """The encoder of this worker process: tasks that follow each other share what it knows."""
-        key = hash((tokenizer_json, most))
-        if key not in cls._made:
-            cls._made[key] = cls(tokenizer_json, most)
-        return cls._made[key]
-
     def _learn_words(self, words: list[str]) -> None:
         """Encode many words of letters as one text, by the model alone: each of them is folded and one word already."""
         for k in range(0, len(words), 20_000):
@@ -267,7 +257,8 @@ def pack_documents(df: DataFrame, tokenizer_json: str, end_id: int = 1, limits:
         return doc, start, length, np.array(bins, np.int64)
 
     def packed(batches):
-        encoder = ChunkEncoder.of(shared.value)
+        text = shared.value
+        encoder = remembered(f"chunks {hash(text)}", lambda: ChunkEncoder(text))
         base, used = TaskContext.get().partitionId() << 33, 0
         group, held = [], 0
 

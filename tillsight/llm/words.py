@@ -40,6 +40,27 @@ def mixed(values: np.ndarray) -> np.ndarray:
     return x
 
 
+_remembered: dict[str, object] = {}
+
+
+def remembered(kind: str, make):
+    """What this worker process remembers of ``kind``, made if it has none.
+
+    Worker processes outlive tasks, and tasks of one operator share it; what
+    another operator left behind is dropped first, so a worker holds one.
+    """
+    import gc
+
+    import pyarrow as pa
+
+    if kind not in _remembered:
+        _remembered.clear()
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        _remembered[kind] = make()
+    return _remembered[kind]
+
+
 class Hasher:
     """Word and shingle hashes; remembers a bounded number of words."""
 
