@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.staging import stage
+from .words import free_names
 
 WINDOW = 3
 
@@ -54,16 +55,17 @@ def without_repeated_lines(df: DataFrame, id_col: str = "doc_id", text_col: str
     covered whole becomes empty. A document of fewer than three lines has no
     window, and a window of blank lines covers nothing.
     """
+    mine, span_id, span_key, covered = free_names(df, 4)
     spans = repeated_lines(df, id_col, text_col, window).select(
-        F.col("doc_id").alias("_span_id"), F.col("row_key").alias("_span_key"), F.col("covered").alias("_span_covered"))
+        F.col("doc_id").alias(span_id), F.col("row_key").alias(span_key), F.col("covered").alias(covered))
     key = F.md5(F.coalesce(F.col(text_col), F.lit("")).cast("binary"))
-    keyed = df.drop("lines", "removed_lines").withColumn("_text_key", key)
-    joined = keyed.join(spans, F.col(id_col).eqNullSafe(F.col("_span_id")) & (F.col("_text_key") == F.col("_span_key")), "left")
+    keyed = df.drop("lines", "removed_lines").withColumn(mine, key)
+    joined = keyed.join(spans, F.col(id_col).eqNullSafe(F.col(span_id)) & (F.col(mine) == F.col(span_key)), "left")
     lines = _lines(F.col(text_col))
-    kept = F.filter(lines, lambda line, at: ~F.array_contains("_span_covered", at))
+    kept = F.filter(lines, lambda line, at: ~F.array_contains(covered, at))
     return (
         joined.withColumn("lines", F.size(lines))
-        .withColumn("removed_lines", F.coalesce(F.size("_span_covered"), F.lit(0)))
-        .withColumn(text_col, F.when(F.col("_span_covered").isNull(), F.col(text_col)).otherwise(F.array_join(kept, "\n")))
-        .drop("_text_key", "_span_id", "_span_key", "_span_covered")
+        .withColumn("removed_lines", F.coalesce(F.size(covered), F.lit(0)))
+        .withColumn(text_col, F.when(F.col(covered).isNull(), F.col(text_col)).otherwise(F.array_join(kept, "\n")))
+        .drop(mine, span_id, span_key, covered)
     )

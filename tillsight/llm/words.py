@@ -122,6 +122,12 @@ def portions(batch, column: int = 1, most_bytes: int = 6 << 20):
             yield batch.slice(a, b - a)
 
 
+def free_names(df, many: int) -> list[str]:
+    """Column names that ``df`` has not got, in any case."""
+    taken = {c.lower() for c in df.columns}
+    return [n for n in (f"own_{k}" for k in range(many + len(taken))) if n not in taken][:many]
+
+
 def groups(batches, keys: int):
     """Runs of rows with equal leading ``keys`` columns of sorted Arrow batches, as Arrow tables; a run may span batches."""
     import pyarrow as pa
