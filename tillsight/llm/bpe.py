@@ -22,7 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .words import remembered
+from .words import remembered, tidy
 
 # The white space of the pattern's own engine; Python's class has four control characters more.
 _SPACE = r"\t-\r \x85\xa0  -     　"
@@ -191,6 +191,7 @@ def encode(df: DataFrame, ranks: dict[bytes, int], pattern: str, id_col: str = "
     word_rows = pa.schema([("batch", pa.int64()), ("sum", pa.int64()), ("number", pa.int32()), ("word", pa.string())])
     id_rows = pa.schema([("batch", pa.int64()), ("sum", pa.int64()), ("numbers", pa.binary()), ("sizes", pa.binary()), ("ids", pa.binary())])
 
+    @tidy
     def codes(batches):
         for batch, ids, coded, _, check in _numbered(batches, pattern, True):
             for k in range(0, len(ids), 5000):
@@ -198,6 +199,7 @@ def encode(df: DataFrame, ranks: dict[bytes, int], pattern: str, id_col: str = "
                 n = len(ids[part])
                 yield _table(code_rows, _same(n, batch), _same(n, check), ids[part], coded[part])
 
+    @tidy
     def words(batches):
         for batch, _, _, known, check in _numbered(batches, pattern, False):
             for k in range(0, len(known), 50_000):
@@ -205,6 +207,7 @@ def encode(df: DataFrame, ranks: dict[bytes, int], pattern: str, id_col: str = "
                 yield _table(word_rows, _same(len(part), batch), _same(len(part), check),
                              np.arange(k, k + len(part), dtype=np.int32), part)
 
+    @tidy
     def word_ids(batches):
         """Sorted words: each is encoded where it first appears; ids are handed on packed by batch."""
         one = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=shared.value, special_tokens={})._encode_single_piece

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from ..functions.staging import stage
 from .components import components
-from .words import Hasher, groups, mixed, portions, remembered, split_words
+from .words import Hasher, groups, mixed, portions, remembered, split_words, tidy
 
 TOKENS = 128
 BUCKET = 64
@@ -74,6 +74,7 @@ def _signatures(df: DataFrame, shingle: int) -> DataFrame:
     """doc_id, key (128 bits of the word sequence), shingles (distinct), sketch."""
     schema = pa.schema([("doc_id", pa.int64()), ("key", pa.binary()), ("shingles", pa.int64()), ("sketch", pa.binary())])
 
+    @tidy
     def sign(batches):
         hasher = remembered("hashes", Hasher)
         for batch in batches:
@@ -93,6 +94,7 @@ def _split(rows: DataFrame, roots: list[int] | None) -> DataFrame:
     """path, doc_id of the children; rows: path, doc_id, sketch, or doc_id, sketch where ``roots`` are the buckets."""
     schema = pa.schema([("path", pa.int64()), ("doc_id", pa.int64())])
 
+    @tidy
     def split(batches):
         for batch in batches:
             if not batch.num_rows:
@@ -139,6 +141,7 @@ def _forest(close: np.ndarray, ids: np.ndarray) -> list[tuple[int, int]]:
 
 def _candidates(leaves: DataFrame, threshold: float, least: float) -> DataFrame:
     """Forest edges of the sketches that agree in a share ``least`` of positions, per leaf or pair of its blocks."""
+    @tidy
     def compare(batches):
         for table in groups(batches, 3):
             ids = table.column("doc_id").to_numpy()
@@ -188,6 +191,7 @@ def _verified(members: DataFrame, texts: DataFrame, shingle: int, threshold: flo
     rows = wanted.hint("merge").join(texts.select("doc_id", "text"), "doc_id").select("root", "blocks", "docs", "doc_id", "text")
     schema = pa.schema([("root", pa.int64()), ("blocks", pa.int64()), ("docs", pa.int64()), ("doc_id", pa.int64()), ("set", pa.binary())])
 
+    @tidy
     def shingled(batches):
         hasher = remembered("hashes", Hasher)
         for batch in batches:
@@ -196,6 +200,7 @@ def _verified(members: DataFrame, texts: DataFrame, shingle: int, threshold: flo
                 sets = [np.unique(s).tobytes() for s in found]
                 yield pa.RecordBatch.from_arrays([*part.columns[:4], pa.array(sets, pa.binary())], schema=schema)
 
+    @tidy
     def compare(batches):
         for table in groups(batches, 3):
             ids, own, docs = (table.column(c).to_numpy() for c in ("doc_id", "own", "docs"))

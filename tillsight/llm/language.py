@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .words import remembered
+from .words import remembered, tidy
 
 
 COLUMNS = 8192
@@ -115,6 +115,7 @@ def _spherical_means(vectors: np.ndarray, k: int, rounds: int) -> np.ndarray:
 
 def document_frequencies(texts: DataFrame, columns: int = COLUMNS) -> tuple[np.ndarray, int]:
     """In how many texts each n-gram column occurs, over all rows; a task hands on one row of sums."""
+    @tidy
     def sums(batches):
         grams, total, n = remembered(f"grams {columns}", lambda: Grams(columns)), np.zeros(columns, np.int64), 0
         for batch in batches:
@@ -155,6 +156,7 @@ def fit(train: DataFrame, lang_col: str = "lang", text_col: str = "text", id_col
     share = F.create_map(*[F.lit(x) for r in sizes for x in (r["lang"], min(1 << 30, (1 << 30) * sample_per_language // r["count"] + 1))])
     sample = rows.filter(draw < F.try_element_at(share, F.col("lang"))).select("lang", "text").limit(2 * sample_per_language * len(sizes))
 
+    @tidy
     def sparse(batches):
         grams = remembered(f"grams {columns}", lambda: Grams(columns))
         for batch in batches:
@@ -195,6 +197,7 @@ def predict(df: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     place = kept.index(text_col)
     names = [*kept, "lang_pred", "score", "rejected"]
 
+    @tidy
     def classify(batches):
         m = shared.value
         columns = m.centroids.shape[1]

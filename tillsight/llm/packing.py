@@ -20,7 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .words import portions, remembered
+from .words import portions, remembered, tidy
 
 
 @dataclass(frozen=True)
@@ -79,6 +79,7 @@ def pack(df: DataFrame, limits: Limits = Limits(), group_rows: int = 20_000) ->
     at_tokens, at_loss = kept.index("tokens"), kept.index("loss_tokens")
     most = limits.array()
 
+    @tidy
     def packed(batches):
         base, group, size, used = TaskContext.get().partitionId() << 33, [], 0, 0
 
@@ -256,6 +257,7 @@ def pack_documents(df: DataFrame, tokenizer_json: str, end_id: int = 1, limits:
             doc.append(d), start.append(at), length.append(n), bins.append(used + b)
         return doc, start, length, np.array(bins, np.int64)
 
+    @tidy
     def packed(batches):
         text = shared.value
         encoder = remembered(f"chunks {hash(text)}", lambda: ChunkEncoder(text))

@@ -43,20 +43,40 @@ def mixed(values: np.ndarray) -> np.ndarray:
 _remembered: dict[str, object] = {}
 
 
+def give_back() -> None:
+    """Return freed memory to the system: idle worker processes would else keep what their last task needed."""
+    import ctypes
+    import gc
+
+    import pyarrow as pa
+
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
+def tidy(task):
+    """A function over Arrow batches that gives its memory back at its end."""
+    def run(batches):
+        try:
+            yield from task(batches)
+        finally:
+            give_back()
+
+    return run
+
+
 def remembered(kind: str, make):
     """What this worker process remembers of ``kind``, made if it has none.
 
     Worker processes outlive tasks, and tasks of one operator share it; what
     another operator left behind is dropped first, so a worker holds one.
     """
-    import gc
-
-    import pyarrow as pa
-
     if kind not in _remembered:
         _remembered.clear()
-        gc.collect()
-        pa.default_memory_pool().release_unused()
+        give_back()
         _remembered[kind] = make()
     return _remembered[kind]
 
@@ -64,7 +84,7 @@ def remembered(kind: str, make):
 class Hasher:
     """Word and shingle hashes; remembers a bounded number of words."""
 
-    def __init__(self, most: int = 500_000):
+    def __init__(self, most: int = 200_000):
         self.known: dict[str, int] = {}
         self.most = most
 
@@ -110,7 +130,7 @@ def _runs(h: np.ndarray, size: int) -> np.ndarray:
     return mixed(out)
 
 
-def portions(batch, column: int = 1, most_bytes: int = 6 << 20):
+def portions(batch, column: int = 1, most_bytes: int = 4 << 20):
     """Slices of a batch of at most about ``most_bytes`` of text, or one row."""
     import pyarrow.compute as pc
 
