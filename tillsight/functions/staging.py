@@ -8,6 +8,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 PACKAGE = "tillsight"
+# The shuffle files behind a written table are not needed again; without this they wait for the driver's garbage collection.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 _local_roots: dict[str, str] = {}
@@ -38,7 +40,12 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     app = spark.sparkContext.applicationId
     path = f"{staging_root(spark)}/{PACKAGE}/{app}/{name}-{uuid.uuid4().hex[:12]}"
-    df.write.parquet(path)
+    before = spark.conf.get(_CLEANUP, "false")
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(_CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
