@@ -179,3 +179,17 @@ def test_null_keys_are_no_group(spark, sales_of):
         "*", "DATE'2011-01-01' AS YearMonth", "Quantity * UnitPrice AS Revenue", "0 AS isholiday", "0L AS HolidayQuantity")
     assert monthly.monthly_product(sales).count() == 1
     assert products.product_reach(sales).count() == 1
+
+
+def test_cap_takes_quantities_beyond_its_type(spark):
+    from tillsight.operators.cleaning import Fence, cap_quantity
+
+    df = spark.createDataFrame([(5_000_000_000,), (3,), (None,)], "Quantity long")
+    assert [None if r[0] is None else float(r[0]) for r in cap_quantity(df, Fence(1.0, 2.0, 0.0, 27.0)).collect()] == [27.0, 3.0, None]
+
+
+def test_unreadable_numbers_are_null(spark):
+    from tillsight.sources.files import whole_number
+
+    df = spark.createDataFrame([("1e30",), ("2.7",), ("17850.0",), ("x",), (None,), ("-4",)], "q string")
+    assert [r[0] for r in df.select(whole_number("q")).collect()] == [None, None, 17850, None, None, -4]

@@ -93,8 +93,9 @@ def fit_fences(purchases: DataFrame, factor: float = 1.5) -> Fences:
 
 def cap_quantity(sales: DataFrame, fence: Fence) -> DataFrame:
     """Cap from above only; the cap may be fractional."""
-    cap, quantity = F.lit(fence.upper).cast(QUANTITY_TYPE), F.col("Quantity").cast(QUANTITY_TYPE)
-    return sales.withColumn("Quantity", F.when(quantity > cap, cap).otherwise(quantity))
+    cap, quantity = F.lit(fence.upper).cast(QUANTITY_TYPE), F.col("Quantity")
+    # compared before the cast: the outliers may not fit the type of the result
+    return sales.withColumn("Quantity", F.when(quantity > cap, cap).otherwise(quantity.cast(QUANTITY_TYPE)))
 
 
 def filter_price(sales: DataFrame, fence: Fence) -> DataFrame:

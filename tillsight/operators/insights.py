@@ -19,17 +19,16 @@ Analyze the following informations from customer profile and provide:
 Keep it concise.
 """
 NO_TEXT = "Error: Customer_Text column is missing."
-NO_KEY = "Error: GOOGLE_API_KEY/GEMINI_API_KEY is not set in environment."
+NO_KEY = "Error: no access key is set."
 BAD_KEY = (
-    "Error: GOOGLE_API_KEY is invalid or expired. "
-    "Renew it in Google AI Studio and update it in .env (GOOGLE_API_KEY=...)."
+    "Error: the access key is invalid or expired. Renew it."
 )
 FALLBACK = (
     "Key insights: Segment shows mixed engagement.\n"
     "Reason: Based on average recency, order frequency, and order value.\n"
     "Business Risk: Medium.\n"
     "Recommended Action: Run targeted retention and upsell campaign.\n"
-    "Note: Gemini quota exceeded, showing fallback insight."
+    "Note: quota exceeded, showing fallback insight."
 )
 NOTHING = "Error: Could not generate insights."
 

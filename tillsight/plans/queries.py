@@ -645,7 +645,7 @@ def elbow(t: Tables):
 
 @query
 def silhouette_by_k(t: Tables):
-    return segments.elbow(t.customers, range(2, 6)).select("k", "silhouette")
+    return segments.elbow(t.customers).select("k", "silhouette")
 
 
 @query

@@ -34,14 +34,20 @@ def read_sales(spark: SparkSession, path: str, fmt: str = "csv", timestamp_forma
     raw = read_table(spark, path, text, "csv", check_header=True)
     return raw.select(
         "InvoiceNo", "StockCode", "Description",
-        F.col("Quantity").try_cast("double").cast("bigint").alias("Quantity"),
+        whole_number("Quantity").alias("Quantity"),
         parse_timestamp("InvoiceDate", timestamp_format, coerce=True).alias("InvoiceDate"),
         F.col("UnitPrice").try_cast("decimal(14,4)").alias("UnitPrice"),
-        F.col("CustomerID").try_cast("double").cast("bigint").alias("CustomerID"),
+        whole_number("CustomerID").alias("CustomerID"),
         "Country",
     )
 
 
+def whole_number(col: str):
+    """Text to BIGINT; NULL for what is no number, no whole one, or too large."""
+    number = F.col(col).try_cast("decimal(38,6)")
+    return F.when(number == F.floor(number), number).try_cast("bigint")
+
+
 def parse_timestamp(col: str, fmt: str | None = None, coerce: bool = False):
     """Text to TIMESTAMP_NTZ; with ``coerce`` unreadable text gives NULL instead of an error."""
     if fmt is None:
