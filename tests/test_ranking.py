@@ -39,9 +39,7 @@ def test_running_totals(frame, values):
     assert {r.id: r.upto for r in rows} == want
 
 
-@pytest.mark.parametrize("limit", [1_000_000, 0])
-def test_quantiles_equal_numpy(frame, values, limit, monkeypatch):
-    monkeypatch.setattr(ValueCounts, "in_task_limit", limit)  # 0: always range by range
+def test_quantiles_equal_numpy(frame, values):
     two = frame.withColumn("w", F.col("v") * 3 + 1)
     probs = [0, 0.01, 0.25, 0.5, 0.77, 0.99, 1]
     got = ValueCounts.of(two, ["v", "w"]).quantiles({"v": probs, "w": probs})

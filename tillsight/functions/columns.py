@@ -52,3 +52,8 @@ def variance(s1: Column, s2: Column, n: Column) -> Column:
 
 def variance_pop(s1: Column, s2: Column, n: Column) -> Column:
     return F.when(n > 0, _spread(s1, s2, n) / (dbl(n) * dbl(n)))
+
+
+def seeded_hash(seed: int, *columns: str) -> Column:
+    """Hash of a seed and the text of some columns, the same in every engine that has MD5."""
+    return F.md5(F.concat_ws("|", F.lit(str(seed)), *[F.col(c).cast("string") for c in columns]))

@@ -83,24 +83,17 @@ class ValueCounts:
     third of the rows costs one row per task.
     """
 
-    # Up to this many distinct values are numbered by one task per column;
-    # beyond it the values are numbered range by range.
-    in_task_limit = 1_000_000
-
     def __init__(self, table: DataFrame):
         self.table = table
         self.rows: dict[str, int] = {}
         self.low: dict[str, float] = {}
         self.high: dict[str, float] = {}
-        self.distinct = 0
         for r in table.groupBy("column").agg(
             F.sum("rows").alias("n"),
-            F.count(F.lit(1)).alias("d"),
             F.min("value").alias("lo"),
             F.max("value").alias("hi"),
         ).collect():
             self.rows[r["column"]], self.low[r["column"]], self.high[r["column"]] = r["n"], r["lo"], r["hi"]
-            self.distinct = max(self.distinct, r["d"])
 
     @classmethod
     def of(cls, df: DataFrame, columns: Sequence[str]) -> ValueCounts:
@@ -115,21 +108,12 @@ class ValueCounts:
 
     def _numbered(self) -> DataFrame:
         """Each value with the rows before it (``first``) and up to it (``last``), per column."""
-        if self.distinct <= self.in_task_limit:
-            upto = (
-                Window.partitionBy("column")
-                .orderBy("value")
-                .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-            )
-            out = self.table.withColumn("last", F.sum("rows").over(upto))
-        else:
-            out = with_running_totals(self.table, ["column", "value"], {"last": "rows"})
-            start, skip = F.lit(0), 0
-            for column in sorted(self.rows):
-                start = F.when(F.col("column") == column, F.lit(skip)).otherwise(start)
-                skip += self.rows[column]
-            out = out.withColumn("last", F.col("last") - start)
-        return out.withColumn("first", F.col("last") - F.col("rows"))
+        upto = with_running_totals(self.table, ["column", "value"], {"last": "rows"})
+        start, skip = F.lit(0), 0
+        for column in sorted(self.rows):
+            start = F.when(F.col("column") == column, F.lit(skip)).otherwise(start)
+            skip += self.rows[column]
+        return upto.withColumn("last", F.col("last") - start).withColumn("first", F.col("last") - F.col("rows"))
 
     def quantiles(self, wanted: Mapping[str, Sequence[float]]) -> dict[str, list[float]]:
         """Exact quantiles with linear interpolation between neighbouring order statistics."""

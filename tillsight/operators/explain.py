@@ -12,7 +12,7 @@ from pyspark.ml.regression import LinearRegressionModel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.columns import dbl
+from ..functions.columns import dbl, seeded_hash
 from ..functions.ranking import with_position
 from .monthly import FEATURES
 
@@ -55,11 +55,12 @@ def unfold(model: PipelineModel, train_rows: int, features: Sequence[str] = FEAT
 
 def background(train: DataFrame, size: int = 500, seed: int = 42) -> DataFrame:
     """Reproducible sample: the rows with the lowest seeded hash of their key."""
-    return train.orderBy(F.xxhash64(F.lit(seed), *KEYS), *KEYS).limit(size)
+    return train.orderBy(seeded_hash(seed, *KEYS), *KEYS).limit(size)
 
 
-def background_means(sample: DataFrame, features: Sequence[str] = FEATURES) -> dict[str, float]:
-    return sample.agg(*[F.avg(dbl(c)).alias(c) for c in features]).first().asDict()
+def background_means(rows: DataFrame, features: Sequence[str] = FEATURES) -> dict[str, float]:
+    """Mean of each feature over the background: by default all training rows, or a sample of them."""
+    return rows.agg(*[F.avg(dbl(c)).alias(c) for c in features]).first().asDict()
 
 
 def attributions(forecast: LinearForecast, means: dict[str, float]) -> tuple[float, dict[str, Column]]:

@@ -180,6 +180,107 @@ def _sql(final: str, *steps: str) -> str:
     return ("WITH " + ",\n".join(f"{n} AS ({s})" for n, s in chosen) + "\n" if chosen else "") + final
 
 
+def _ridge(final: str, label: str = "MonthlyQuantity") -> str:
+    """``final`` after a ridge fit: normal equations per (fold, alpha), solved by elimination in a recursive step.
+
+    ``fit`` has (fold, alpha, intercept, w raw-scale, z standardised), fold 6 being all training rows;
+    ``score`` has the fold errors, ``best`` the chosen fit, ``mu`` the training means as a list.
+    """
+    p = len(FEATURES)
+    x = [f"(CAST({f} AS DOUBLE) - o[{i}])" for i, f in enumerate(FEATURES, 1)]
+    cells = ["1.0E0", *x, "CAST(target AS DOUBLE)"]
+    gram = ", ".join("[" + ", ".join(f"sum(({a}) * ({b}))" for b in cells) + "]" for a in cells)
+    guess = _predicted("fit")
+    rows = f"""lb AS (SELECT * FROM (SELECT *, lead({label}, 1) {W} AS target FROM features
+      WHERE YearMonth < (SELECT max(YearMonth) FROM features)) AS d WHERE target IS NOT NULL),
+    tr AS MATERIALIZED (SELECT * EXCLUDE (rn, n), CASE WHEN rn < n - 5 * (n // 6) THEN 0
+        ELSE 1 + (rn - (n - 5 * (n // 6))) // (n // 6) END AS block
+      FROM (SELECT *, row_number() OVER (ORDER BY YearMonth, StockCode) - 1 AS rn, count(*) OVER () AS n
+        FROM lb WHERE YearMonth <= DATE '{CUT_OFF}') AS q),
+    te AS MATERIALIZED (SELECT * FROM lb WHERE YearMonth > DATE '{CUT_OFF}'),
+    mu AS MATERIALIZED (SELECT [{", ".join(f"avg(CAST({f} AS DOUBLE))" for f in FEATURES)}] AS o FROM tr),
+    gram AS MATERIALIZED (SELECT fold, [{gram}] AS g FROM tr, mu, (SELECT unnest(range(1, 7)) AS fold) AS f
+      WHERE block < fold GROUP BY fold),
+    stat AS (SELECT fold, g, g[1][1] AS n, list_transform(range(2, {p + 2}), lambda i: g[1][i] / g[1][1]) AS mx,
+        g[1][{p + 2}] / g[1][1] AS my,
+        list_transform(range(2, {p + 2}), lambda i: CASE WHEN g[i][i] / g[1][1] - pow(g[1][i] / g[1][1], 2) > 0
+          THEN sqrt(g[i][i] / g[1][1] - pow(g[1][i] / g[1][1], 2)) ELSE 1.0E0 END) AS sd FROM gram),
+    sys AS MATERIALIZED (SELECT fold, alpha, my, mx, sd, list_transform(range(1, {p + 1}), lambda i:
+        list_transform(range(1, {p + 2}), lambda j: CASE
+          WHEN j = {p + 1} THEN n * (g[i + 1][{p + 2}] / n - mx[i] * my) / sd[i]
+          ELSE n * (g[i + 1][j + 1] / n - mx[i] * mx[j]) / (sd[i] * sd[j]) + CASE WHEN i = j THEN alpha ELSE 0 END END)) AS m
+      FROM stat, (SELECT unnest([0.1E0, 1.0E0, 10.0E0, 50.0E0, 100.0E0]) AS alpha) AS a),
+    elim AS (SELECT fold, alpha, 1 AS k, m FROM sys
+      UNION ALL
+      SELECT fold, alpha, k + 1, list_transform(m, lambda r, i: CASE WHEN i = k THEN list_transform(r, lambda v: v / r[k])
+        ELSE list_transform(r, lambda v, j: v - r[k] * m[k][j] / m[k][k]) END) FROM elim WHERE k <= {p}),
+    sol AS (SELECT sys.*, list_transform(elim.m, lambda r: r[{p + 1}]) AS z
+      FROM sys JOIN elim USING (fold, alpha) WHERE k = {p + 1}),
+    wt AS (SELECT fold, alpha, my, mx, z, list_transform(z, lambda v, i: v / sd[i]) AS w FROM sol),
+    fit AS MATERIALIZED (SELECT fold, alpha, z, w, my - list_sum(list_transform(w, lambda v, i: v * (mx[i] + o[i]))) AS intercept
+      FROM wt, mu),
+    score AS MATERIALIZED (SELECT alpha, fold, count(*) AS test_rows, sqrt(avg(pow(target - ({guess}), 2))) AS rmse
+      FROM tr JOIN fit ON block = fold GROUP BY alpha, fold),
+    best AS MATERIALIZED (SELECT * FROM fit WHERE fold = 6 AND alpha = (SELECT alpha FROM
+      (SELECT alpha, avg(rmse) AS e FROM score GROUP BY alpha) AS s ORDER BY e, alpha LIMIT 1))"""
+    return _sql(f",\n{rows}\n{final}", "features").replace("WITH ", "WITH RECURSIVE ", 1)
+
+
+def _predicted(fit: str) -> str:
+    return f"{fit}.intercept + " + " + ".join(f"{fit}.w[{i}] * {f}" for i, f in enumerate(FEATURES, 1))
+
+
+def _ridge_queries() -> dict[str, str]:
+    guess = _predicted("best")
+    features = "unnest([" + ", ".join(f"'{f}'" for f in FEATURES) + "])"
+    metrics = f"""SELECT n AS rows, round(ae / n, 5) AS "MAE", round(sqrt(se / n), 5) AS "RMSE",
+        round(1 - se / (yy - y * y / n), 5) AS "R2" FROM (SELECT count(*) AS n, sum(abs(target - ({guess}))) AS ae,
+        sum(pow(target - ({guess}), 2)) AS se, sum(target) AS y, sum(target * target) AS yy FROM te, best) AS x"""
+    middle = f"""SELECT StockCode, YearMonth, target AS actual, {guess} AS guess FROM te, best
+        ORDER BY abs(target - ({guess})), StockCode, YearMonth LIMIT 1 OFFSET (SELECT count(*) // 2 FROM te)"""
+    long = ", shap AS (" + " UNION ALL ".join(
+        f"SELECT StockCode, YearMonth, {i} AS i, '{f}' AS \"Feature\", CAST({f} AS DOUBLE) AS \"Value\", w[{i}] * ({f} - o[{i}]) "
+        "AS phi, intercept + list_sum(list_transform(w, lambda v, j: v * o[j])) AS base FROM te, best, mu"
+        for i, f in enumerate(FEATURES, 1)
+    ) + """), imp AS (SELECT CAST(row_number() OVER (ORDER BY v DESC, "Feature") AS INTEGER) AS "Rank", "Feature",
+        round(v, 5) AS "MeanAbsoluteSHAP", round(z[i], 5) + 0.0E0 AS "StandardizedRidgeCoefficient"
+        FROM (SELECT i, "Feature", avg(abs(phi)) AS v FROM shap GROUP BY i, "Feature") AS a, best)"""
+    values = 'StockCode, YearMonth, round(base, 5) AS "BaseValue", "Feature", "Value", round(phi, 5) + 0.0E0 AS "SHAP"'
+    return {
+        "cv_scores": _ridge(
+            "SELECT alpha, CAST(fold AS INTEGER) AS fold, (SELECT count(*) FROM tr WHERE block < fold) AS train_rows, test_rows, "
+            "round(rmse, 5) AS rmse FROM score"),
+        "ridge_fit": _ridge(
+            f'SELECT {features} AS "Feature", unnest(list_transform(w, lambda v: round(v, 6) + 0.0E0)) AS weight, '
+            "unnest(list_transform(z, lambda v: round(v, 6) + 0.0E0)) AS standardized, round(intercept, 6) AS intercept, alpha FROM best"),
+        "predictions": _ridge(f'SELECT te.*, round({guess}, 5) AS "Predicted" FROM te, best'),
+        "model_metrics": _ridge(metrics),
+        "revenue_forecast": _ridge(metrics, "MonthlyRevenue"),
+        "next_month_forecast": _ridge(
+            f'SELECT StockCode, YearMonth, round({guess}, 5) AS "Predicted" FROM features, best '
+            "QUALIFY row_number() OVER (PARTITION BY StockCode ORDER BY YearMonth DESC) = 1"),
+        "shap_values": _ridge(f"{long} SELECT {values} FROM shap"),
+        "shap_importance": _ridge(f"{long} SELECT * FROM imp"),
+        "shap_top_features": _ridge(f'{long} SELECT * FROM imp WHERE "Rank" <= 10'),
+        "shap_beeswarm": _ridge(f'{long} SELECT {values}, "Rank" FROM shap JOIN imp USING ("Feature") WHERE "Rank" <= 10'),
+        "shap_representative": _ridge(
+            'SELECT StockCode, YearMonth, actual AS "ActualNextMonthQuantity", round(guess, 5) AS "PredictedNextMonthQuantity", '
+            f'round(abs(actual - guess), 5) AS "AbsoluteError" FROM ({middle}) AS x'),
+        "shap_local": _ridge(f"""{long},
+            one AS (SELECT shap.*, least(row_number() OVER (ORDER BY abs(phi) DESC, "Feature"), 10) AS r
+              FROM shap JOIN ({middle}) AS x USING (StockCode, YearMonth))
+            SELECT StockCode, YearMonth, round(base, 5) AS "BaseValue", CAST(r AS INTEGER) AS "Rank", CASE WHEN count(*) > 1
+              THEN concat(count(*), ' other features') ELSE max("Feature") END AS "Feature", round(sum(phi), 5) + 0.0E0 AS "SHAP"
+            FROM one GROUP BY StockCode, YearMonth, base, r"""),
+        "shap_background": _sql(
+            "SELECT * FROM train ORDER BY md5(concat('42|', StockCode, '|', CAST(YearMonth AS VARCHAR))), StockCode, YearMonth "
+            "LIMIT 500", "train"),
+        "sample_member": _sql(
+            f"SELECT * FROM segment WHERE segment = '{segments.FREQUENT}' ORDER BY md5(concat('42|', CustomerID)), CustomerID "
+            "LIMIT 1", "segment"),
+    }
+
+
 def _histogram(column: str, source: str, step: str) -> str:
     """Bins as numpy's 'auto' rule sets them, the last one closed."""
     edge = "CASE WHEN {i} = bins THEN hi ELSE lo + {i} * step END"
@@ -252,6 +353,7 @@ SUMMARY = ", ".join(f"round(avg({c}), 6) AS {c}" for c in segments.SUMMARY)
 def oracle() -> dict[str, str]:
     phi = {f: f"({w!r}) * ({f} - m_{f})" for f, w in zip(FEATURES, LITERAL_WEIGHTS)}
     return {
+        **_ridge_queries(),
         # sources and cleaning
         "retail_raw": _sql(f"SELECT {RAW_DOUBLE} FROM raw", "raw"),
         "holidays_raw": _sql("SELECT * FROM hol_raw", "hol_raw"),

@@ -451,26 +451,27 @@ def cv_folds(t: Tables):
 
 @query
 def cv_scores(t: Tables):
-    return forecast.cv_scores(forecast.cv_blocks(t.train))
+    return rounded(t.trained.scores, "rmse", digits=5)
 
 
 @query
 def ridge_fit(t: Tables):
-    fit = explain.unfold(t.model, t.train.count())
+    fit, _ = t.explained
     rows = [(f, w, s, fit.intercept, t.trained.alpha) for f, w, s in zip(fit.features, fit.weights, fit.standardized)]
-    return t.spark.createDataFrame(
+    out = t.spark.createDataFrame(
         rows, "Feature string, weight double, standardized double, intercept double, alpha double"
     )
+    return rounded(out, "weight", "standardized", "intercept")
 
 
 @query
 def predictions(t: Tables):
-    return forecast.predict(t.model, t.test)
+    return rounded(forecast.predict(t.model, t.test), "Predicted", digits=5)
 
 
 @query
 def model_metrics(t: Tables):
-    return forecast.metrics(forecast.predict(t.model, t.test), "Predicted")
+    return rounded(forecast.metrics(forecast.predict(t.model, t.test), "Predicted"), "MAE", "RMSE", "R2", digits=5)
 
 
 @query
@@ -485,36 +486,30 @@ def one_hot(t: Tables):
 
 @query
 def model_comparison(t: Tables):
-    train, test = forecast.time_split(forecast.add_target(t.features), bridge.CUT_OFF)
-    return forecast.compare_models(train, test)
+    return t.comparison
 
 
 @query
 def best_model(t: Tables):
-    train, test = forecast.time_split(forecast.add_target(t.features), bridge.CUT_OFF)
-    return forecast.best_model(forecast.compare_models(train, test))
+    return forecast.best_model(t.comparison)
 
 
 @query
 def next_month_forecast(t: Tables):
-    return forecast.predict(t.model, monthly.latest_per_product(t.features)).select("StockCode", "YearMonth", "Predicted")
+    rows = forecast.predict(t.model, monthly.latest_per_product(t.features))
+    return rounded(rows.select("StockCode", "YearMonth", "Predicted"), "Predicted", digits=5)
 
 
 @query
 def revenue_forecast(t: Tables):
     train, test = forecast.time_split(forecast.forecast_dataset(t.features, "MonthlyRevenue"), bridge.CUT_OFF)
     trained = forecast.train_ridge(train)
-    return forecast.metrics(forecast.predict(trained.model, test), "Predicted")
+    return rounded(forecast.metrics(forecast.predict(trained.model, test), "Predicted"), "MAE", "RMSE", "R2", digits=5)
 
 
 # --- explanation -------------------------------------------------------------------
 
 
-def _explained(t: Tables):
-    fit = explain.unfold(t.model, t.train.count())
-    return fit, explain.background_means(explain.background(t.train))
-
-
 @query
 def shap_background(t: Tables):
     return explain.background(t.train)
@@ -522,38 +517,37 @@ def shap_background(t: Tables):
 
 @query
 def shap_values(t: Tables):
-    fit, means = _explained(t)
-    return explain.shap_values(t.test, fit, means)
+    return rounded(explain.shap_values(t.test, *t.explained), "BaseValue", "SHAP", digits=5)
 
 
 @query
 def shap_importance(t: Tables):
-    fit, means = _explained(t)
-    return explain.shap_importance(t.test, fit, means)
+    out = explain.shap_importance(t.test, *t.explained)
+    return rounded(out, "MeanAbsoluteSHAP", "StandardizedRidgeCoefficient", digits=5)
 
 
 @query
 def shap_top_features(t: Tables):
-    fit, means = _explained(t)
-    return explain.shap_importance(t.test, fit, means).where("Rank <= 10")
+    out = explain.shap_importance(t.test, *t.explained).where("Rank <= 10")
+    return rounded(out, "MeanAbsoluteSHAP", "StandardizedRidgeCoefficient", digits=5)
 
 
 @query
 def shap_beeswarm(t: Tables):
-    fit, means = _explained(t)
-    return explain.strongest(explain.shap_values(t.test, fit, means), explain.shap_importance(t.test, fit, means))
+    out = explain.strongest(explain.shap_values(t.test, *t.explained), explain.shap_importance(t.test, *t.explained))
+    return rounded(out, "BaseValue", "SHAP", digits=5)
 
 
 @query
 def shap_representative(t: Tables):
-    return explain.representative(forecast.predict(t.model, t.test), "Predicted")
+    out = explain.representative(forecast.predict(t.model, t.test), "Predicted")
+    return rounded(out, "PredictedNextMonthQuantity", "AbsoluteError", digits=5)
 
 
 @query
 def shap_local(t: Tables):
-    fit, means = _explained(t)
     row = explain.representative(forecast.predict(t.model, t.test), "Predicted")
-    return explain.shap_local(explain.shap_values(t.test, fit, means), row)
+    return rounded(explain.shap_local(explain.shap_values(t.test, *t.explained), row), "BaseValue", "SHAP", digits=5)
 
 
 # One weight per feature, in the order of FEATURES.
@@ -640,17 +634,17 @@ def customer_segments(t: Tables):
 
 @query
 def elbow(t: Tables):
-    return segments.elbow(t.customers).select("k", "wcss")
+    return segments.elbow(t.customers, t.k_scan).select("k", "wcss")
 
 
 @query
 def silhouette_by_k(t: Tables):
-    return segments.elbow(t.customers).select("k", "silhouette")
+    return segments.elbow(t.customers, t.k_scan).select("k", "silhouette")
 
 
 @query
 def k_comparison(t: Tables):
-    return segments.k_comparison(t.customers)
+    return segments.k_comparison(t.customers, t.k_scan)
 
 
 # --- insight texts -----------------------------------------------------------------

@@ -13,7 +13,7 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 
 from ..functions.staging import stage
-from ..operators import cleaning, customers, forecast, holidays, monthly, products, segments
+from ..operators import cleaning, customers, explain, forecast, holidays, monthly, products, segments
 from ..sources import bridge
 
 
@@ -69,9 +69,9 @@ class Tables:
     def clean(self) -> DataFrame:
         return stage(enrich_purchases(self.purchases, self.fences, self.calendar, bridge.COUNTRY_ALIASES), "retail_clean")
 
-    @property
+    @cached_property
     def monthly(self) -> DataFrame:
-        return monthly.monthly_product(self.clean)
+        return stage(monthly.monthly_product(self.clean), "monthly_product")
 
     @cached_property
     def features(self) -> DataFrame:
@@ -102,6 +102,20 @@ class Tables:
         forecast.require_split(self.train, self.test)
         return forecast.train_ridge(self.train)
 
+    @cached_property
+    def explained(self) -> tuple[explain.LinearForecast, dict[str, float]]:
+        """The forecast's weights and its background: the means of all training rows."""
+        return explain.unfold(self.model, self.train.count()), explain.background_means(self.train)
+
+    @cached_property
+    def comparison(self) -> DataFrame:
+        parts = forecast.time_split(forecast.add_target(self.features), bridge.CUT_OFF)
+        return stage(forecast.compare_models(*parts), "model_comparison")
+
+    @cached_property
+    def k_scan(self) -> dict[int, tuple[float, float, PipelineModel]]:
+        return segments.k_scan(self.customers)
+
     @property
     def model(self) -> PipelineModel:
         return self.trained.model
