@@ -145,6 +145,19 @@ def test_representative_is_the_middle_error(t):
     assert [(r.StockCode, r.YearMonth) for r in got] == [(ordered[len(rows) // 2].StockCode, ordered[len(rows) // 2].YearMonth)]
 
 
+def test_one_hot_dictionary(spark):
+    train = spark.createDataFrame([("b", "x"), ("a", "x"), ("b", "y")], "k string, other string")
+    test = spark.createDataFrame([("a",), ("new",), (None,)], "k string")
+    known, seen = forecast.indexed(train, test, ["k"])
+    assert sorted((r.k, r.k_index) for r in known.collect()) == [("a", 0.0), ("b", 1.0), ("b", 1.0)]
+    assert {r.k: r.k_index for r in seen.collect()} == {"a": 0.0, "new": 2.0, None: 2.0}
+
+
+def test_comparison_has_every_model(t):
+    rows = {r.model: r for r in t.comparison.collect()}
+    assert len(rows) == 6 and all(r.RMSE >= r.MAE > 0 for r in rows.values())
+
+
 def test_background_is_reproducible(t):
     a = explain.background(t.train, 50).collect()
     assert a == explain.background(t.train.repartition(5), 50).collect()

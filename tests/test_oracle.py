@@ -7,7 +7,6 @@ from tillsight.plans.oracle import oracle
 from tillsight.plans.queries import registry
 
 SQL = oracle()
-SLOW = {"model_comparison", "best_model", "revenue_forecast", "elbow"}
 
 
 @pytest.fixture(scope="module")
@@ -26,7 +25,7 @@ def test_equals_sql(spark, db, sf, name):
     assert rows > 0
 
 
-@pytest.mark.parametrize("name", sorted(set(registry()) - set(SQL) - SLOW))
+@pytest.mark.parametrize("name", sorted(set(registry()) - set(SQL)))
 def test_runs(spark, sf, name):
     df = registry()[name](spark, sf)
     assert len(set(df.columns)) == len(df.columns)

@@ -110,7 +110,7 @@ class Tables:
     @cached_property
     def comparison(self) -> DataFrame:
         parts = forecast.time_split(forecast.add_target(self.features), bridge.CUT_OFF)
-        return stage(forecast.compare_models(*parts), "model_comparison")
+        return stage(forecast.compare_models(*parts, **COMPARISON), "model_comparison")
 
     @cached_property
     def k_scan(self) -> dict[int, tuple[float, float, PipelineModel]]:
@@ -132,6 +132,10 @@ class Tables:
         return stage(labelled, "fixed_segments")
 
 
+# The queries grow fewer and shallower trees than the operator's defaults, which take minutes on any size:
+# every round and every level of a tree is a Spark job.
+COMPARISON = {"trees": 20, "rounds": 20, "depth": 5}
+
 # In the order of segments.CLUSTER_FEATURES; frequent, occasional and dormant customers.
 FIXED_CENTROIDS = [(1.0, 1.0, 1.0, -1.0, 1.0), (0.0, 0.0, 0.0, 0.0, 0.0), (-1.0, -1.0, -1.0, 1.0, -1.0)]
 
