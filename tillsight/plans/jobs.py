@@ -64,7 +64,7 @@ def explain_forecast(spark: SparkSession, features: str, model: str, out: str, c
     train_rows, test = _split(spark, features, cut_off)
     fitted = PipelineModel.load(model)
     linear = explain.unfold(fitted, train_rows.count())
-    means = explain.background_means(explain.background(train_rows))
+    means = explain.background_means(train_rows)
     values = explain.shap_values(test, linear, means)
     row = stage(explain.representative(forecast.predict(fitted, test), "Predicted"), "representative")
     write_table(explain.shap_importance(test, linear, means), f"{out}/shap_feature_importance")
