@@ -193,3 +193,14 @@ def test_unreadable_numbers_are_null(spark):
 
     df = spark.createDataFrame([("1e30",), ("2.7",), ("17850.0",), ("x",), (None,), ("-4",)], "q string")
     assert [r[0] for r in df.select(whole_number("q")).collect()] == [None, None, 17850, None, None, -4]
+
+
+def test_plans_fold_before_they_shuffle(spark, t):
+    def plan(df):
+        return df._jdf.queryExecution().executedPlan().toString()
+
+    from tillsight.operators import monthly, profiling
+
+    assert "Expand" not in plan(profiling.dataset_card(t.raw))
+    latest = plan(monthly.latest_per_product(t.features))
+    assert "SortAggregate" not in latest and latest.count("Exchange") == 1

@@ -8,7 +8,7 @@ import pytest
 from tillsight.__main__ import JOBS, main
 from tillsight.plans import jobs
 from tillsight.sources import files
-from tillsight.sources.schemas import RETAIL_RAW
+from tillsight.sources.schemas import CLEAN, FEATURES, RETAIL_RAW
 
 
 @pytest.fixture(scope="module")
@@ -83,6 +83,31 @@ def test_small_prices_are_kept_and_headers_checked(spark, tmp_path):
         files.read_sales(spark, str(tmp_path / "t.csv")).collect()
 
 
+def test_chain_as_csv(spark, t, work):
+    jobs.preprocess(spark, f"{work}/sales.csv", f"{work}/holidays.csv", f"{work}/c_clean", backup=f"{work}/c_backup", out_fmt="csv")
+    for copy in ("c_clean", "c_backup"):
+        rows = files.read_table(spark, f"{work}/{copy}", CLEAN, "csv").select(t.clean.columns)
+        assert rows.count() == t.clean.count() and rows.exceptAll(t.clean).isEmpty()
+    jobs.build_features(spark, f"{work}/c_clean", f"{work}/c_processed", fmt="csv")
+    features = files.read_table(spark, f"{work}/c_processed/regression_features", FEATURES, "csv")
+    assert features.exceptAll(t.features).isEmpty() and features.count() == t.features.count()
+
+
+def test_prices_of_fewer_decimals_are_read(spark, t, tmp_path):
+    t.raw.write.parquet(str(tmp_path / "raw"))
+    rows = files.read_sales(spark, str(tmp_path / "raw"), "parquet")
+    assert rows.schema["UnitPrice"].dataType == RETAIL_RAW["UnitPrice"].dataType
+    assert rows.exceptAll(t.raw).isEmpty() and rows.count() == t.raw.count()
+
+
+def test_quotes_survive_csv(spark, tmp_path):
+    rows = spark.createDataFrame([("a \"b\", c", "x"), (None, "\\")], "x string, y string")
+    files.write_table(rows, str(tmp_path / "q"), fmt="csv", backup_path=str(tmp_path / "r"))
+    for name in ("q", "r"):
+        again = files.read_table(spark, str(tmp_path / name), rows.schema, "csv")
+        assert sorted(map(tuple, again.collect()), key=str) == sorted(map(tuple, rows.collect()), key=str)
+
+
 def test_csv_sink(spark, t, tmp_path):
     files.write_table(t.features, str(tmp_path / "f"), fmt="csv")
     again = files.read_table(spark, str(tmp_path / "f"), t.features.schema, "csv")

@@ -49,6 +49,15 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release(df: DataFrame) -> None:
+    """Delete the staged table that ``df``, as returned by :func:`stage`, scans."""
+    spark = df.sparkSession
+    own = f"/{PACKAGE}/{spark.sparkContext.applicationId}/"
+    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles() if own in f}:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def drop_staged(spark: SparkSession) -> None:
     """Delete the tables staged by this application, once nothing reads them any more."""
     path = spark._jvm.org.apache.hadoop.fs.Path(f"{staging_root(spark)}/{PACKAGE}/{spark.sparkContext.applicationId}")

@@ -85,7 +85,11 @@ def monthly_features(monthly: DataFrame) -> DataFrame:
 
 
 def latest_per_product(features: DataFrame) -> DataFrame:
-    """The most recent row of every product."""
+    """The most recent row of every product; a product has one row a month.
+
+    One ``max_by`` per number keeps fixed-width buffers, so this is a hash
+    aggregate with a map side; the maximum of a struct would sort twice.
+    """
     rest = [c for c in features.columns if c not in ("StockCode", "YearMonth")]
-    last = features.groupBy("StockCode").agg(F.max(F.struct("YearMonth", *rest)).alias("last"))
-    return last.select("StockCode", "last.*")
+    latest = [F.max_by(c, "YearMonth").alias(c) for c in rest]
+    return features.groupBy("StockCode").agg(F.max("YearMonth").alias("YearMonth"), *latest)

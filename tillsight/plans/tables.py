@@ -12,7 +12,7 @@ from functools import cached_property
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 
-from ..functions.staging import stage
+from ..functions.staging import release, stage
 from ..operators import cleaning, customers, explain, forecast, holidays, monthly, products, segments
 from ..sources import bridge
 
@@ -151,8 +151,14 @@ def tables(spark: SparkSession, sf_dir: str) -> Tables:
 
 
 def forget(spark: SparkSession, sf_dir: str) -> None:
-    """Drop the handles, so that the next use builds the stages again."""
-    _open.pop((spark.sparkContext.applicationId, sf_dir), None)
+    """Drop the handles and delete their stage tables; the next use builds them again.
+
+    DataFrames of queries that read these tables cannot run any more.
+    """
+    gone = _open.pop((spark.sparkContext.applicationId, sf_dir), None)
+    for table in vars(gone).values() if gone else ():
+        if isinstance(table, DataFrame):
+            release(table)
 
 
 Query = Callable[[SparkSession, str], DataFrame]

@@ -60,14 +60,28 @@ def read_holidays(spark: SparkSession, path: str, fmt: str = "csv", timestamp_fo
     return read_table(spark, path, HOLIDAYS_RAW, fmt, timestamp_format)
 
 
+def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """The declared columns of ``df`` in their order and types; a missing one fails."""
+    return df.select(*[F.col(f.name).cast(f.dataType) for f in schema])
+
+
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", partition_by: str | None = None,
                 backup_path: str | None = None) -> None:
-    """Overwrite ``path``; a partitioned sink is rebalanced so that a hot partition value is split."""
-    out = df if partition_by is None else df.hint("rebalance", partition_by)
-    for target in [path] + ([backup_path] if backup_path else []):
-        writer = out.write.mode("overwrite").format(fmt)
+    """Overwrite ``path``; a partitioned sink is rebalanced so that a hot partition value is split.
+
+    The backup is a copy of the written table: what made it does not run again.
+    CSV keeps quotes, but an empty text is read back as NULL.
+    """
+    def save(rows, target):
+        writer = rows.write.mode("overwrite").format(fmt)
         if fmt == "csv":
-            writer = writer.option("header", True)
+            writer = writer.option("header", True).option("escape", '"')
         if partition_by is not None:
             writer = writer.partitionBy(partition_by)
         writer.save(target)
+
+    save(df if partition_by is None else df.hint("rebalance", partition_by), path)
+    if backup_path:
+        # files hold the partition column last, and CSV goes by position
+        ordered = [c for c in df.columns if c != partition_by] + [partition_by] * (partition_by is not None)
+        save(read_table(df.sparkSession, path, df.select(ordered).schema, fmt), backup_path)
