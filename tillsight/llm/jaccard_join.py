@@ -124,18 +124,23 @@ def _in_blocks(rows: DataFrame, key: str, blocks) -> DataFrame:
 
 
 def _forest(close: np.ndarray, ids: np.ndarray) -> list[tuple[int, int]]:
-    """Edges that connect what ``close`` (a symmetric matrix) connects: at most one per row."""
+    """Edges that connect what ``close`` (a symmetric matrix) connects: each row of a group with the group's smallest id.
+
+    A group that is met again, in another leaf or run, gives the same edges.
+    """
     todo, edges = np.ones(len(ids), bool), []
     for start in range(len(ids)):
         if not todo[start]:
             continue
-        todo[start], stack = False, [start]
+        todo[start], stack, group = False, [start], [start]
         while stack:
-            at = stack.pop()
-            new = np.flatnonzero(close[at] & todo)
+            new = np.flatnonzero(close[stack.pop()] & todo)
             todo[new] = False
             stack.extend(new.tolist())
-            edges += [(int(ids[at]), int(ids[k])) for k in new]
+            group.extend(new.tolist())
+        members = ids[group]
+        root = int(members.min())
+        edges += [(root, int(i)) for i in members if i != root]
     return edges
 
 

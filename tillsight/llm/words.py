@@ -57,13 +57,22 @@ def give_back() -> None:
         trim(0)
 
 
-def tidy(task):
-    """A function over Arrow batches that gives its memory back at its end."""
+def tidy(task, worth: int = 1 << 20):
+    """A function over Arrow batches that gives its memory back at its end, if it read ``worth`` bytes or more."""
     def run(batches):
+        read = 0
+
+        def counted():
+            nonlocal read
+            for batch in batches:
+                read += batch.nbytes
+                yield batch
+
         try:
-            yield from task(batches)
+            yield from task(counted())
         finally:
-            give_back()
+            if read >= worth:
+                give_back()
 
     return run
 
