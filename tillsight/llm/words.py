@@ -10,6 +10,7 @@ import xxhash
 
 _WORD = re.compile(r"\w+")
 _SIGNS = {c: " " for c in range(128) if not _WORD.match(chr(c))}
+_ASCII = np.array([c not in _SIGNS for c in range(128)])
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
 SHINGLE = 5
 
@@ -25,6 +26,12 @@ def split_words(text: str | None) -> list[str]:
 
 def word_spans(text: str) -> np.ndarray:
     """First and behind-last character of each word of :func:`split_words`."""
+    if text.isascii():
+        inside = np.zeros(len(text) + 2, bool)
+        inside[1:-1] = _ASCII[np.frombuffer(text.encode(), np.uint8)]
+        edges = np.flatnonzero(inside[1:] != inside[:-1])
+        if len(edges):
+            return edges.reshape(-1, 2)
     found = [m.span() for m in _WORD.finditer(text)] or [m.span() for m in re.finditer(r"\S+", text)]
     return np.array(found, np.int64).reshape(-1, 2)
 
