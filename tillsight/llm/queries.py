@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.staging import PACKAGE, stage, staging_root
-from . import bpe, exact_dedup, jaccard_join, language, line_dedup, packing, sharding, simhash, substring_dedup, warc
+from . import bpe, exact_dedup, jaccard_join, language, lexical, line_dedup, merkle, packing, ppm, sharding, simhash, substring_dedup, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -88,14 +88,117 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.without_repeated_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op11_lexical(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    every_fifth = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    lowered = {"text": F.translate("text", lexical.UPPER, lexical.LOWER)}
+    return merkle.verified_rows(table(spark, sf_dir, "documents"), ["doc_id", "source", "lang", "n_chars", "text"], lowered, every_fifth)
+
+
+def op13_ppm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ppm.score(table(spark, sf_dir, "documents"), F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 1)
+
+
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = (op1_packing, op2_language, op3_jaccard_join, op4_exact_dedup, op5_sharding, op6_fingerprints, op7_warc, op8_bpe,
-             op9_substring_dedup, op10_line_dedup)
+             op9_substring_dedup, op10_line_dedup, op11_lexical, op12_merkle, op13_ppm)
     return {f.__name__: f for f in found}
 
 
+def merkle_sql(levels: int = 6) -> str:
+    """Trees of up to 16 ** levels leaves or groups, a step for each level; the checksum runs over a table built from its polynomial."""
+    def step(name: str, below: str) -> str:
+        up = f"SELECT *, i // 16 AS j FROM {below} WHERE n > 1"
+        return f"""
+            {name} AS (
+                SELECT k, j AS i, (n + 15) // 16 AS n, sha256(string_agg(h, '' ORDER BY i)) AS h
+                FROM ({up}) GROUP BY k, j, n)"""
+
+    def beside(name: str, below: str) -> str:
+        # siblings of every node of a level: those of its run that stand before it and after it
+        return f"""
+            {name} AS (
+                SELECT k, i, coalesce(string_agg(h, '' ORDER BY i) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS b,
+                       coalesce(string_agg(h, '' ORDER BY i) OVER (w ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS a
+                FROM {below} WHERE n > 1 WINDOW w AS (PARTITION BY k, i // 16 ORDER BY i))"""
+
+    def tree(t: str, first: str) -> list[str]:
+        names = [first, *[f"{t}{v}" for v in range(1, levels + 1)]]
+        return [*[step(b, a) for a, b in zip(names, names[1:], strict=False)], *[beside(f"{t}s{v}", names[v]) for v in range(levels)],
+                f" {t}_root AS ({' UNION ALL '.join(f'SELECT k, h FROM {x} WHERE n = 1' for x in names)})"]
+
+    def folds(t: str, source: str, key: str, at: str) -> list[str]:
+        """Carry (proof so far, own hash) up a tree; a level of which the node has no run to share leaves both."""
+        out, below = [], source
+        for v in range(levels):
+            out.append(f"""
+            {t}f{v} AS (
+                SELECT f.* EXCLUDE (proof, own), proof || coalesce(s.b, '') || coalesce(s.a, '') AS proof,
+                       CASE WHEN s.i IS NULL THEN own ELSE sha256(s.b || own || s.a) END AS own
+                FROM {below} f LEFT JOIN {t}s{v} s ON s.k = f.{key} AND s.i = f.{at} // {16 ** v})""")
+            below = f"{t}f{v}"
+        return out
+
+    field = lambda c: f"coalesce(octet_length(encode({c}::VARCHAR)) || ':' || {c}, '-')"
+    leaf = "sha256(" + " || ".join(field(c) for c in ("doc_id", "source", "lang", "n_chars", "text")) + ")"
+    other = leaf.replace("text", "(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'))")
+    steps = [
+        """ crc_table AS (
+                SELECT list(list_reduce(list_concat([r], [0, 0, 0, 0, 0, 0, 0, 0]),
+                            lambda x, y: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END) ORDER BY r) AS t
+                FROM range(256) AS g(r))""",
+        f"""
+            raw AS (
+                SELECT doc_id, source, {leaf} AS leaf, {other} AS other,
+                       xor(list_reduce(list_concat([4294967295], list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT)),
+                           lambda crc, c: xor(crc >> 8, t[(xor(crc, c) & 255) + 1])), 4294967295) % 5 = 0 AS touched
+                FROM documents, crc_table)""",
+        """
+            numbered AS (
+                SELECT *, dense_rank() OVER (ORDER BY source NULLS FIRST) - 1 AS k,
+                       row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos FROM raw)""",
+        " g0 AS (SELECT k, pos AS i, count(*) OVER (PARTITION BY k) AS n, leaf AS h FROM numbered)",
+        *tree("g", "g0"),
+        " t0 AS (SELECT 0 AS k, k AS i, (SELECT count(*) FROM g_root) AS n, h FROM g_root)",
+        *tree("t", "t0"),
+        " begin AS (SELECT *, 0 AS zero, '' AS proof, CASE WHEN touched THEN other ELSE leaf END AS own FROM numbered)",
+        *folds("g", "begin", "k", "pos"),
+        *folds("t", f"gf{levels - 1}", "zero", "k"),
+    ]
+    return f"""
+            WITH {','.join(steps)}
+            SELECT f.doc_id, f.leaf, r.h AS subroot, t.h AS root, sha256(f.proof) AS proof_sha256, f.own AS folded_root, f.own = t.h AS verified
+            FROM tf{levels - 1} f JOIN g_root r ON r.k = f.k CROSS JOIN t_root t"""
+
+
 def oracle() -> dict[str, str]:
     return {
+        "op12_merkle": merkle_sql(),
+        "op11_lexical": r"""
+            WITH terms AS (
+                SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                       '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM documents),
+            tf AS (SELECT doc_id, term, count(*) AS tf FROM terms GROUP BY ALL),
+            lengths AS (SELECT doc_id, sum(tf)::BIGINT AS n FROM tf GROUP BY doc_id),
+            totals AS (SELECT count(*) AS docs, sum(n)::BIGINT AS l FROM lengths),
+            df AS (SELECT term, count(*) AS df FROM tf GROUP BY term),
+            wanted AS (
+                SELECT item_id, term, count(*) AS times FROM (
+                    SELECT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                           '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark) GROUP BY ALL),
+            weights AS (
+                SELECT item_id, term, times * floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * df + 1)::DOUBLE))::BIGINT AS w
+                FROM wanted JOIN df USING (term), totals),
+            scores AS (
+                SELECT item_id, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * docs) // l))))::BIGINT AS score
+                FROM weights JOIN tf USING (term) JOIN lengths USING (doc_id), totals GROUP BY item_id, doc_id),
+            ranked AS (
+                SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INTEGER AS rank, doc_id, score
+                FROM scores WHERE score > 0)
+            SELECT * FROM ranked WHERE rank <= 20""",
         "op4_exact_dedup": r"""
             WITH t AS (
                 SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS norm FROM documents)
