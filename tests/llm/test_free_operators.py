@@ -127,8 +127,54 @@ def test_language_edges(edge, empty):
     model = language.fit(edge)
     assert language.predict(edge, model).count() == len(edge_texts())
     assert language.predict(empty, model).count() == 0
-    with pytest.raises(ValueError):
-        language.fit(empty)
+
+
+def test_language_without_labels(edge, empty):
+    """A model of no rows, or of rows without a letter, knows no language."""
+    for rows in (empty, edge.filter("doc_id IN (5, 6, 7)")):
+        got = language.predict(edge, language.fit(rows)).collect()
+        assert {(r.lang_pred, r.score, r.rejected) for r in got} == {("und", 0.0, True)}
+
+
+def test_language_keeps_columns_of_its_names(edge):
+    from pyspark.sql import functions as F
+
+    mine = edge.withColumn("score", F.lit("mine")).withColumn("Rejected", F.lit(3))
+    got = language.predict(mine, language.fit(mine))
+    assert got.columns == [*mine.columns, "lang_pred", "score_", "rejected_"]
+    assert {(r.score, r.Rejected) for r in got.collect()} == {("mine", 3)}
+
+
+def test_language_equals_a_plain_loop(spark):
+    """Predictions and scores against dictionaries of n-grams, the same centroids given."""
+    import math
+
+    rng = random.Random(3)
+    words = {lang: ["".join(rng.choice(letters) for _ in range(rng.randrange(2, 7))) for _ in range(40)] for lang, letters in {"aa": "abcdé", "bb": "xyzuw", "cc": "abxyñ"}.items()}
+    rows = [(k, " ".join(rng.choice(words[lang]) for _ in range(rng.randrange(3, 60))), lang) for k, lang in enumerate(list(words) * 40)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language.fit(df)
+    grams = language.Grams()
+    seen = Counter()
+    for _, t, _ in rows:
+        seen.update(np.flatnonzero(grams.counts(t)).tolist())
+    idf = {c: math.log((1 + len(rows)) / (1 + n)) + 1 for c, n in seen.items()}
+    got = {r.doc_id: r for r in language.predict(df, model).collect()}
+    for k, t, lang in rows:
+        counts = grams.counts(t)
+        vector = {c: math.log1p(counts[c]) * idf[c] for c in np.flatnonzero(counts).tolist()}
+        norm = math.sqrt(sum(v * v for v in vector.values()))
+        cosines = [(sum(v * float(center[c]) for c, v in vector.items()) / norm, -o) for center, o in zip(model.centroids, model.owner.tolist(), strict=True)]
+        best = max(cosines)
+        assert got[k].lang_pred == model.languages[-best[1]] == lang and got[k].score == pytest.approx(best[0], abs=1e-5)
+
+
+def test_wrong_labels_do_not_set_the_radius(spark):
+    rng = random.Random(4)
+    rows = [(k, prose(rng, 60, 300, "abc"), "en") for k in range(300)] + [(300, " ".join("zqxj" for _ in range(60)), "en")]
+    model = language.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"), centroids=1)
+    strange = spark.createDataFrame([(1, " ".join("qzjx wvk" for _ in range(30)))], "doc_id long, text string")
+    assert language.predict(strange, model).first().rejected
 
 
 # --- Jaccard join ------------------------------------------------------------------
@@ -191,6 +237,30 @@ def test_join_edges(edge, empty):
     assert jaccard_join.jaccard_join(empty).count() == 0
 
 
+def test_whole_buckets_are_compared_around_a_pivot(spark, monkeypatch):
+    """Buckets larger than a block, most rows close to the pivot, some far from it but close to each other."""
+    monkeypatch.setattr(jaccard_join, "COMPARED", 40)
+    rng = random.Random(16)
+    words, rows = prose(rng, 120).split(), []
+    for k in range(500):
+        own = list(words)
+        for at in rng.sample(range(120), rng.randrange(0, 14)):
+            own[at] = f"n{k}x{at}"
+        rows.append((k, " ".join(own)))
+    got = jaccard_join.jaccard_join(spark.createDataFrame(rows, "doc_id long, text string"), bucket=16).collect()
+    assert {r.doc_id: (r.class_id, r.n_links) for r in got} == plain_links(rows)
+
+
+def test_rows_that_repeat_an_id_or_have_none(spark):
+    rng = random.Random(17)
+    body, other, third = prose(rng, 80), prose(rng, 90), prose(rng, 70)
+    rows = [(7, body + " more"), (8, "a short text"), (8, body), (None, other), (None, third), (None, third + " end"), (9, third), (9, third), (3, None), (3, "")]
+    got = Counter((r.doc_id, r.class_id, r.class_size, r.n_links) for r in jaccard_join.jaccard_join(spark.createDataFrame(rows, "doc_id long, text string")).collect())
+    assert got == Counter({(7, 7, 2, 1): 1, (8, 7, 2, 1): 1, (8, 8, 1, 0): 1, (None, None, 1, 0): 1, (None, 9, 4, 3): 2, (9, 9, 4, 3): 2, (3, 3, 1, 0): 2})
+    kept = [(r.doc_id, r.text) for r in jaccard_join.without_near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()]
+    assert Counter(kept) == Counter([(7, body + " more"), (8, "a short text"), (None, other), (9, third), (3, None), (3, "")])
+
+
 # --- WARC --------------------------------------------------------------------------
 
 
@@ -199,14 +269,30 @@ def test_archives_round_trip(spark, tmp_path):
     rows = [(3, "http://a/\r\nb", big), (1, None, big), (2, "u", other), (5, "u", "short"), (6, "u", "short"), (7, "u", None), (9, "u", big)]
     df = spark.createDataFrame(rows, "page_id long, url string, html string")
     warc.write_warc(df, str(tmp_path / "w"), records_per_file=4)
+    digest = lambda html: hashlib.sha256((html or "").encode()).hexdigest()[: warc.DIGEST_CHARS]
     got = {int(r.capture_id.rpartition(":")[2]): r for r in warc.captures(warc.read_warc(spark, str(tmp_path / "w"))).collect()}
     assert sorted(got) == [1, 2, 3, 5, 6, 7, 9]
     for i, _, html in rows:
         r, payload = got[i].response, (html or "").encode()
         assert (r.payload_bytes, r.payload_digest) == (len(payload), hashlib.sha256(payload).hexdigest())
-        assert (r.record_type, r.refers_to) == (("revisit", "urn:capture:response:1") if i in (3, 9) else ("response", None))
+        assert (r.record_type, r.refers_to) == (("revisit", f"urn:capture:response:{digest(big)}:1") if i in (3, 9) else ("response", None))
         assert r.record_type == "revisit" or bytes(r.payload) == payload
-        assert got[i].request.record_id == f"urn:capture:request:{i}" and got[i].metadata.record_id == f"urn:capture:metadata:{i}"
+        assert got[i].request.record_id == f"urn:capture:request:{digest(html)}:{i}" and got[i].metadata.record_id == f"urn:capture:metadata:{digest(html)}:{i}"
+
+
+def test_rows_that_repeat_a_page_id_or_have_none(spark, tmp_path):
+    """No payload is lost: of equal ones a row with an id holds it, and every other payload is in a response of its own."""
+    a, b = "A" * 150, "B" * 150
+    rows = [(1, "u", a), (5, "u", a), (5, "u", b), (None, "u", a), (None, "v", "C" * 200), (None, "w", None)]
+    warc.write_warc(spark.createDataFrame(rows, "page_id long, url string, html string"), str(tmp_path / "w"))
+    got = warc.captures(warc.read_warc(spark, str(tmp_path / "w"))).collect()
+    name = lambda r: r.capture_id.rpartition(":")[2]
+    assert Counter((name(r), r.response.record_type) for r in got) == Counter({("1", "response"): 1, ("5", "revisit"): 1, ("5", "response"): 1, ("", "revisit"): 1, ("", "response"): 2})
+    assert {bytes(r.response.payload) for r in got if r.response.record_type == "response"} == {a.encode(), b.encode(), b"C" * 200, b""}
+    by_name = {r.capture_id: r for r in got}
+    for r in got:
+        if r.response.record_type == "revisit":
+            assert by_name[r.response.refers_to].response.payload_sha256 == r.response.payload_digest
 
 
 def test_no_pages(spark, tmp_path):
@@ -218,9 +304,11 @@ def test_members_of_gzip_and_cut_off_files():
     import gzip
 
     record = b"WARC/1.1\r\nWARC-Type: metadata\r\nWARC-Record-ID: <a>\r\nContent-Length: 2\r\n\r\nhi\r\n\r\n"
-    assert [b for _, b in warc.parse(warc.inflate(gzip.compress(record) + gzip.compress(record)))] == [b"hi", b"hi"]
+    assert [b for _, b in warc.parse(warc.unpacked(gzip.compress(record) + gzip.compress(record)))] == [b"hi", b"hi"]
+    with pytest.raises(ValueError):
+        list(warc.parse(warc.unpacked(record[:-6])))
     with pytest.raises(ValueError):
-        list(warc.parse(record[:-6]))
+        list(warc.parse(warc.unpacked(gzip.compress(record * 50)[:-12])))
 
 
 # --- BPE ---------------------------------------------------------------------------

@@ -66,6 +66,52 @@ def test_line_dedup(edge):
     assert next(r.text for r in got if r.doc_id == 15) == "x\ny"
 
 
+def test_line_dedup_keeps_columns_of_its_names(edge):
+    from pyspark.sql import functions as F
+
+    out = line_dedup.without_repeated_lines(edge.withColumn("lines", F.lit("mine")).withColumn("REMOVED_lines", F.lit(9)))
+    assert {"lines", "lines_", "REMOVED_lines", "removed_lines_"} <= set(out.columns)
+    assert {(r["lines"], r["REMOVED_lines"]) for r in out.collect()} == {("mine", 9)}
+
+
+def test_a_long_text_that_repeats(spark):
+    import time
+
+    text = "\n".join(f"line {k % 4000}" for k in range(100_000))
+    df = spark.createDataFrame([(1, text), (2, text)], "doc_id long, text string")
+    start = time.time()
+    got = {r.doc_id: (r.lines, r.removed_lines) for r in line_dedup.without_repeated_lines(df).collect()}
+    # runs that cross from one round into the next are new in the first document only, and their lines are covered by other runs
+    assert got[2] == (100_000, 100_000) and got[1][1] >= 100_000 - 4002
+    assert time.time() - start < 60
+
+
+def test_rows_without_an_id_are_spread(spark):
+    df = spark.createDataFrame([(None if k % 3 else k, "t" * 40) for k in range(6000)], "doc_id long, text string")
+    rows, _ = sharding.shard_by_slots(df, shards=8, slots=512)
+    total = Counter()
+    for r in rows.collect():
+        total[r.shard] += r["size"]
+    assert len(total) == 8 and max(total.values()) - min(total.values()) <= 0.02 * sum(total.values())
+
+
+def test_a_stored_map_is_edited(spark, tmp_path):
+    path = str(tmp_path / "map")
+    one = spark.createDataFrame([(k, "x" * (k % 50)) for k in range(3000)], "doc_id long, text string")
+    more = one.unionByName(spark.createDataFrame([(k, "y" * 200) for k in range(3000, 3400)], "doc_id long, text string"))
+    first, _ = sharding.shard_by_slots(one, shards=4, slots=128, map_path=path)
+    before = {r.virtual_slot: r.shard for r in first.collect()}
+    again, versions = sharding.shard_by_slots(more, shards=99, slots=7, map_path=path)
+    after = {r.virtual_slot: r.shard for r in again.collect()}
+    assert sorted({r.version for r in versions.collect()}) == [0, 1, 2]
+    number, stored = sharding.load_map(spark, path)
+    assert number == 2 and all(stored[s] == shard for s, shard in after.items()) and len(stored) == 128
+    _, old = sharding.load_map(spark, path, 1)
+    assert all(old[s] == shard for s, shard in before.items())
+    moved = {r.virtual_slot for r in versions.collect() if r.version == 2 and r.moved}
+    assert moved == {s for s in old if old[s] != stored[s]} and 0 < len(moved) < 64
+
+
 def test_shards_are_even_and_gapless(spark, sf):
     docs = spark.read.parquet(f"{sf}/documents.parquet")
     rows, versions = sharding.shard_by_slots(docs, shards=5, slots=512)

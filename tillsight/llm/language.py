@@ -13,10 +13,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .words import remembered, tidy
+from .words import fresh, remembered, tidy
 
 
 COLUMNS = 8192
@@ -76,7 +76,7 @@ class Model:
     centroids: np.ndarray  # rows of length one
     owner: np.ndarray  # language of each centroid
     idf: np.ndarray
-    radius: np.ndarray  # smallest cosine that is not rejected, per length class
+    radius: np.ndarray  # smallest cosine that is not rejected, per length class; a model without centroids rejects all
 
     def vectors(self, counts: np.ndarray) -> np.ndarray:
         weighted = np.log1p(counts).astype(np.float32) * self.idf
@@ -84,6 +84,8 @@ class Model:
 
     def nearest(self, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Language number and cosine, 0 to 1, of each row of counts; of equal cosines the first language wins."""
+        if not len(self.centroids):
+            return np.full(len(counts), -1), np.zeros(len(counts))
         cosine = self.vectors(counts) @ self.centroids.T
         best = np.argmax(cosine, axis=1)
         return self.owner[best], np.clip(cosine[np.arange(len(best)), best].astype(np.float64), 0, 1)
@@ -135,26 +137,33 @@ def document_frequencies(texts: DataFrame, columns: int = COLUMNS) -> tuple[np.n
 
 
 def fit(train: DataFrame, lang_col: str = "lang", text_col: str = "text", id_col: str = "doc_id", sample_per_language: int = 600,
-        most_languages: int = 200, centroids: int = 3, columns: int = COLUMNS, rounds: int = 20, slack: float = 0.5) -> Model:
+        centroids: int = 3, columns: int = COLUMNS, rounds: int = 20, slack: float = 0.5, lowest: float = 0.01) -> Model:
     """Fit on labelled rows (NULL languages are left out).
 
     Document frequencies cover every row. Centroids and radii come from a sample
-    of about ``sample_per_language`` rows of each of the ``most_languages`` most
-    frequent languages, drawn by a hash of the id. The radius of a length class is
-    ``slack`` times the smallest cosine seen there (or in the nearest class seen).
+    of at most ``sample_per_language`` rows of each language, drawn by a hash of
+    id and text. The radius of a length class is ``slack`` times the ``lowest``
+    quantile of the cosines seen there (or in the nearest class seen), so that a
+    few wrong labels do not set it. Without a labelled row that has a letter, the
+    model knows no language and rejects every text.
     """
     rows = train.filter(F.col(lang_col).isNotNull()).select(
         F.col(id_col).cast("string").alias("id"), F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
-    sizes = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(most_languages).collect()
-    if not sizes:
-        raise ValueError("no labelled rows")
+    sizes = rows.groupBy("lang").count().collect()  # a row per language
     languages = sorted(r["lang"] for r in sizes)
     df, n = document_frequencies(rows.select("text"), columns)
     idf = np.log((1 + n) / (1 + df)).astype(np.float32) + 1
 
-    draw = F.pmod(F.xxhash64(F.coalesce("id", F.lit("")), F.lit(17)), F.lit(1 << 30))
-    share = F.create_map(*[F.lit(x) for r in sizes for x in (r["lang"], min(1 << 30, (1 << 30) * sample_per_language // r["count"] + 1))])
-    sample = rows.filter(draw < F.try_element_at(share, F.col("lang"))).select("lang", "text").limit(2 * sample_per_language * len(sizes))
+    none = Model([], np.zeros((0, columns), np.float32), np.zeros(0, np.int64), idf, np.ones(32))
+    if not sizes:
+        return none
+    # twice the wanted share by the draw, then the first of each language: what is sorted stays small
+    space = 1 << 30
+    draw = F.pmod(F.xxhash64(F.coalesce("id", F.lit("")), F.coalesce("text", F.lit("")), F.lit(17)), F.lit(space))
+    share = F.create_map(*[F.lit(x) for r in sizes for x in (r["lang"], min(space, space * 2 * sample_per_language // r["count"] + 1))])
+    place = F.row_number().over(Window.partitionBy("lang").orderBy("draw", "id"))
+    sample = rows.withColumn("draw", draw).filter(F.col("draw") < F.try_element_at(share, F.col("lang")))
+    sample = sample.withColumn("place", place).filter(F.col("place") <= sample_per_language).select("lang", "text")
 
     @tidy
     def sparse(batches):
@@ -166,7 +175,7 @@ def fit(train: DataFrame, lang_col: str = "lang", text_col: str = "text", id_col
 
     drawn = sorted(map(tuple, sample.mapInArrow(sparse, "lang string, at binary, n binary").collect()))
     if not drawn:
-        raise ValueError("no labelled row has a letter")
+        return none
     counts = np.zeros((len(drawn), columns), np.float32)
     for k, (_, at, many) in enumerate(drawn):
         counts[k, np.frombuffer(at, np.uint16)] = np.frombuffer(many, np.uint32)
@@ -179,13 +188,13 @@ def fit(train: DataFrame, lang_col: str = "lang", text_col: str = "text", id_col
 
     _, cosine = model.nearest(counts)
     classes = np.array([length_class(c) for c in counts.sum(axis=1)])
-    seen = {c: float(cosine[classes == c].min()) for c in set(classes.tolist())}
+    seen = {c: float(np.quantile(cosine[classes == c], lowest, method="lower")) for c in set(classes.tolist())}
     model.radius = np.array([slack * seen[min(seen, key=lambda c: (abs(c - k), c))] for k in range(32)])
     return model
 
 
 def predict(df: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
-    """All columns of ``df`` and lang_pred, score, rejected.
+    """All columns of ``df`` and lang_pred, score, rejected (with an underscore behind a name that ``df`` has).
 
     ``score`` is the cosine to the nearest centroid. A NULL text or one without
     a letter is ``und`` with score 0, and rejected.
@@ -193,9 +202,10 @@ def predict(df: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     from pyspark.sql.types import BooleanType, DoubleType, StringType, StructField, StructType
 
     shared = df.sparkSession.sparkContext.broadcast(model)  # columns x centroids, bounded by the parameters of fit()
-    kept = [c for c in df.columns if c not in ("lang_pred", "score", "rejected")]
+    kept = df.columns
     place = kept.index(text_col)
-    names = [*kept, "lang_pred", "score", "rejected"]
+    added = fresh(df, "lang_pred", "score", "rejected")
+    names = [*kept, *added]
 
     @tidy
     def classify(batches):
@@ -212,11 +222,12 @@ def predict(df: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
                     counts = np.array([found[i] for i in at], np.float32)
                     codes, cosine = m.nearest(counts)
                     for i, code, c, n in zip(at, codes.tolist(), cosine.tolist(), counts.sum(axis=1).tolist(), strict=True):
-                        lang[i], score[i], out[i] = m.languages[code], c, c < m.radius[length_class(n)]
+                        if code >= 0:
+                            lang[i], score[i], out[i] = m.languages[code], c, c < m.radius[length_class(n)]
                 yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(lang, pa.string()), pa.array(score, pa.float64()), pa.array(out, pa.bool_())], names=names)
 
     rows = df.select(*kept)
-    fields = [StructField("lang_pred", StringType()), StructField("score", DoubleType()), StructField("rejected", BooleanType())]
+    fields = [StructField(n, t) for n, t in zip(added, (StringType(), DoubleType(), BooleanType()), strict=True)]
     return rows.mapInArrow(classify, StructType([*rows.schema.fields, *fields]))
 
 

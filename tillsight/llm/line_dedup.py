@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.staging import stage
-from .words import free_names
+from .words import free_names, fresh
 
 WINDOW = 3
 
@@ -51,6 +51,7 @@ def repeated_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 def without_repeated_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW) -> DataFrame:
     """All rows and columns of ``df``; ``text_col`` without the covered lines, and ``lines``, ``removed_lines``.
 
+    Where ``df`` has a column of such a name, it stays, and the new one has an underscore behind its name.
     Texts without covered lines stay as they are, NULL included. A text that is
     covered whole becomes empty. A document of fewer than three lines has no
     window, and a window of blank lines covers nothing.
@@ -59,13 +60,15 @@ def without_repeated_lines(df: DataFrame, id_col: str = "doc_id", text_col: str
     spans = repeated_lines(df, id_col, text_col, window).select(
         F.col("doc_id").alias(span_id), F.col("row_key").alias(span_key), F.col("covered").alias(covered))
     key = F.md5(F.coalesce(F.col(text_col), F.lit("")).cast("binary"))
-    keyed = df.drop("lines", "removed_lines").withColumn(mine, key)
+    many, removed = fresh(df, "lines", "removed_lines")
+    keyed = df.withColumn(mine, key)
     joined = keyed.join(spans, F.col(id_col).eqNullSafe(F.col(span_id)) & (F.col(mine) == F.col(span_key)), "left")
     lines = _lines(F.col(text_col))
-    kept = F.filter(lines, lambda line, at: ~F.array_contains(covered, at))
+    places = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col(covered))  # by a hash table: linear in the lines
+    kept = F.transform(places, lambda at: F.get(lines, at))
     return (
-        joined.withColumn("lines", F.size(lines))
-        .withColumn("removed_lines", F.coalesce(F.size(covered), F.lit(0)))
+        joined.withColumn(many, F.size(lines))
+        .withColumn(removed, F.coalesce(F.size(covered), F.lit(0)))
         .withColumn(text_col, F.when(F.col(covered).isNull(), F.col(text_col)).otherwise(F.array_join(kept, "\n")))
         .drop(mine, span_id, span_key, covered)
     )

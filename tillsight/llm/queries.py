@@ -62,7 +62,7 @@ def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = f"{staging_root(spark)}/{PACKAGE}/{spark.sparkContext.applicationId}/warc-{uuid.uuid4().hex[:12]}"
     warc.write_warc(table(spark, sf_dir, "pages"), path)
     rows = warc.captures(warc.read_warc(spark, path))
-    page = lambda name: F.element_at(F.split(name, ":"), -1).cast("long")
+    page = lambda name: F.nullif(F.element_at(F.split(name, ":"), -1), F.lit("")).cast("long")
     again = F.col("response.record_type") == "revisit"
     return rows.select(
         page("capture_id").alias("page_id"),

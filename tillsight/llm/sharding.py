@@ -9,9 +9,8 @@ from __future__ import annotations
 
 import heapq
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql import Window
 
 from ..functions.staging import stage
 
@@ -19,8 +18,10 @@ SLOTS = 4096
 
 
 def virtual_slot(key: Column | str, slots: int = SLOTS) -> Column:
-    """Slot of a record; rows without a key share the slot of NULL."""
-    return F.pmod(F.xxhash64(key), F.lit(slots)).cast("int")
+    """Slot of a record. Rows without a key are spread by their place in the scan, which holds once the result is written."""
+    key = F.col(key) if isinstance(key, str) else key
+    own = F.when(key.isNull(), F.xxhash64(F.monotonically_increasing_id(), F.lit(7))).otherwise(F.xxhash64(key))
+    return F.pmod(own, F.lit(slots)).cast("int")
 
 
 def first_map(shards: int, slots: int = SLOTS) -> dict[int, int]:
@@ -94,26 +95,53 @@ def slot_loads(df: DataFrame) -> dict[int, int]:
     return {r["virtual_slot"]: r["bytes"] for r in df.groupBy("virtual_slot").agg(F.sum("size").alias("bytes")).collect()}
 
 
-def store_map(spark, versions: list[dict[int, int]]) -> DataFrame:
-    """All versions of the map as a written table: version, virtual_slot, shard, moved."""
-    rows = [
-        (v, slot, shard, v > 0 and versions[v - 1][slot] != shard)
-        for v, assigned in enumerate(versions) for slot, shard in sorted(assigned.items())
+MAP = "version int, virtual_slot int, shard int, moved boolean"
+
+
+def map_rows(versions: list[dict[int, int]], first: int = 0) -> list[tuple[int, int, int, bool]]:
+    """Rows of a map's versions, numbered from ``first``; versions[0] of a later edit is the one before and has no rows."""
+    return [
+        (first + v, slot, shard, v > 0 and versions[v - 1][slot] != shard)
+        for v, assigned in enumerate(versions) if v or not first for slot, shard in sorted(assigned.items())
     ]
-    return stage(spark.createDataFrame(rows, "version int, virtual_slot int, shard int, moved boolean"), "slot_map")
+
+
+def save_map(spark: SparkSession, versions: list[dict[int, int]], path: str, first: int = 0) -> DataFrame:
+    """Add versions of the map to the table under ``path``, each in a folder of its own; earlier ones stay as they are."""
+    rows = spark.createDataFrame(map_rows(versions, first), MAP)
+    rows.coalesce(1).write.partitionBy("version").mode("append").parquet(path)
+    return spark.read.schema(MAP).parquet(path)
+
+
+def load_map(spark: SparkSession, path: str, version: int | None = None) -> tuple[int, dict[int, int]] | None:
+    """Number and content of a version (the latest) of the map stored under ``path``; None if there is none."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if not folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder):
+        return None
+    stored = spark.read.schema(MAP).parquet(path)
+    if version is None:
+        version = stored.agg(F.max("version")).first()[0]
+    rows = stored.filter(F.col("version") == version).collect()  # one a virtual slot
+    return (version, {r["virtual_slot"]: r["shard"] for r in rows}) if rows else None
 
 
 def shard_by_slots(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shards: int = 16,
-                   slots: int = SLOTS) -> tuple[DataFrame, DataFrame]:
+                   slots: int = SLOTS, map_path: str | None = None) -> tuple[DataFrame, DataFrame]:
     """Rows with their shard and gapless place in it, and the versioned slot map.
 
     Columns: doc_id, size, text_crc32, law, shard, slot, grown_shard, virtual_slot. The law is ``bytes``: the second
     version of the map evens out the bytes of the shards, so ``grown_shard`` is
     NULL. A NULL text has size 1 and the checksum of the empty text; rows with a
-    NULL id share one virtual slot. ``slot`` counts a shard's rows from 0: the
+    NULL id are spread over the virtual slots. With ``map_path`` the latest map
+    stored there is loaded, edited for these rows and stored as a new version
+    (an empty path gets versions 0 and 1); ``slots`` and ``shards`` are then
+    those of the stored map. ``slot`` counts a shard's rows from 0: the
     rows of its lower virtual slots, then the row's place in its own.
     """
     spark = df.sparkSession
+    stored = load_map(spark, map_path) if map_path else None
+    start = stored[1] if stored else first_map(shards, slots)
+    slots, shards = len(start), max(start.values()) + 1
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = df.select(
         F.col(id_col).alias("doc_id"),
@@ -122,11 +150,14 @@ def shard_by_slots(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         virtual_slot(F.col(id_col), slots).alias("virtual_slot"),
     )
     rows = stage(rows, "shard_rows")
-    start = first_map(shards, slots)
-    even = rebalanced(start, slot_loads(rows), shards)
-    slot_map = store_map(spark, [start, even])
-
-    current = slot_map.filter("version = 1").select("virtual_slot", "shard")
+    version, even = 1, rebalanced(start, slot_loads(rows), shards)
+    if map_path is None:
+        slot_map = stage(spark.createDataFrame(map_rows([start, even]), MAP), "slot_map")
+    else:
+        version = stored[0] + 1 if stored else 1
+        slot_map = save_map(spark, [start, even], map_path, version - 1)
+
+    current = slot_map.filter(F.col("version") == version).select("virtual_slot", "shard")
     counts = rows.groupBy("virtual_slot").agg(F.count(F.lit(1)).alias("rows"))
     before = Window.partitionBy("shard").orderBy("virtual_slot").rowsBetween(Window.unboundedPreceding, -1)
     # one row per virtual slot: a proven bound, so it may be broadcast

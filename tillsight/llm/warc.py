@@ -8,17 +8,22 @@ per capture.
 
 from __future__ import annotations
 
+import gzip
 import hashlib
+import io
 import re
-import zlib
 from collections.abc import Iterator
+from typing import BinaryIO
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.staging import stage
+
 LINE = "\r\n"
 REVISIT_FROM = 100
+DIGEST_CHARS = 24  # of a payload's digest in the names of its records
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 RECORD = (
     "record_id string, record_type string, concurrent_to string, refers_to string, target_uri string, date string, "
@@ -40,37 +45,41 @@ def _plain(value: Column) -> Column:
     return F.regexp_replace(F.coalesce(value, F.lit("")), r"[\r\n]+", " ")
 
 
-def revisits(digests: DataFrame, least: int = REVISIT_FROM) -> DataFrame:
-    """page_id and ``origin`` of every capture whose payload a smaller page_id has already; digests: page_id, digest, bytes."""
+def origins(digests: DataFrame, least: int = REVISIT_FROM) -> DataFrame:
+    """digest and ``origin`` (the smallest page_id) of every payload that several rows have; digests: page_id, digest, bytes."""
     large = digests.filter(F.col("bytes") >= least)
-    origins = large.groupBy("digest").agg(F.min("page_id").alias("origin"), F.count(F.lit(1)).alias("times")).filter("times > 1")
-    return large.join(origins, "digest").filter("page_id <> origin").select("page_id", "origin").distinct()
+    known = large.groupBy("digest").agg(F.min("page_id").alias("origin"), F.count(F.lit(1)).alias("times"))
+    return known.filter("times > 1 AND origin IS NOT NULL").select("digest", "origin")
 
 
 def write_warc(df: DataFrame, path: str, id_col: str = "page_id", uri_col: str = "url", payload_col: str = "html",
                date: str = "1970-01-01T00:00:00Z", least: int = REVISIT_FROM, records_per_file: int = 3000) -> None:
     """Write request, response or revisit, and metadata of every row to gzipped WARC files under ``path``.
 
-    Record ids are names made of the id. A NULL payload is empty, a NULL url an
-    empty target; a row without an id has no name and cannot be archived, which
-    fails the job. Of rows that repeat an id, each gets records of that name.
-    The sink ends each record with the two line ends the format asks for; a file
+    Record ids are names made of the id (nothing, if it is NULL) and of the
+    payload's digest, so rows that repeat an id with another payload are captures
+    of their own; rows that repeat both have records of one name. A NULL payload
+    is empty, a NULL url an empty target. A row without an id revisits a row with
+    one, never the other way round. The sink ends each record with the two line ends the format asks for; a file
     holds one gzip member and at most ``records_per_file`` records.
     """
     payload = F.coalesce(F.col(payload_col).cast("string"), F.lit(""))
     pages = df.select(F.col(id_col).alias("page_id"), F.col(uri_col).alias("uri"), payload.alias("payload"),
                       F.sha2(payload.cast("binary"), 256).alias("digest"), F.octet_length(payload).cast("long").alias("bytes"))
-    known = revisits(pages.select("page_id", "digest", "bytes"), least)
-    pages = pages.join(known, "page_id", "left")
+    # written first: both sides of the join are then plain shuffles, which split a frequent payload
+    known = stage(origins(pages.select("page_id", "digest", "bytes"), least), "payload_origins")
+    pages = pages.join(known, "digest", "left")
+
+    def name(kind: str, key: Column) -> Column:
+        return F.concat(F.lit(f"urn:capture:{kind}:"), F.substring("digest", 1, DIGEST_CHARS), F.lit(":"), F.coalesce(key.cast("string"), F.lit("")))
 
-    name = lambda kind, key: F.concat(F.lit(f"urn:capture:{kind}:"), key.cast("string"))
-    key = F.when(F.col("page_id").isNull(), F.raise_error(F.lit("a capture needs an id"))).otherwise(F.col("page_id"))
+    key = F.col("page_id")
     response = name("response", key)
     uri = ("WARC-Target-URI", _plain(F.col("uri")))
     when = ("WARC-Date", F.lit(date))
     to = ("WARC-Concurrent-To", F.concat(F.lit("<"), response, F.lit(">")))
     http = F.concat(F.lit(f"HTTP/1.1 200 OK{LINE}Content-Type: text/html; charset=utf-8{LINE}Content-Length: "), F.col("bytes").cast("string"), F.lit(LINE + LINE))
-    again = F.col("origin").isNotNull()
+    again = F.col("origin").isNotNull() & ~F.col("origin").eqNullSafe(key)
     records = F.array(
         _record(F.lit("request"), name("request", key), [uri, when, to, ("Content-Type", F.lit("application/http; msgtype=request"))],
                 F.concat(F.lit("GET "), _plain(F.col("uri")), F.lit(f" HTTP/1.1{LINE}{LINE}"))),
@@ -87,39 +96,34 @@ def write_warc(df: DataFrame, path: str, id_col: str = "page_id", uri_col: str =
      .option("maxRecordsPerFile", records_per_file).text(path))
 
 
-def inflate(content: bytes) -> bytes:
-    """A file as it is, or all of its gzip members."""
-    if content[:2] != b"\x1f\x8b":
-        return content
-    out = []
-    while content[:2] == b"\x1f\x8b":
-        member = zlib.decompressobj(16 + zlib.MAX_WBITS)
-        out += [member.decompress(content), member.flush()]
-        content = member.unused_data
-    return b"".join(out)
-
-
-def parse(content: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
-    """Headers (lower-case names) and block of each record, walking by Content-Length; a cut-off file raises."""
-    at, end = 0, len(content)
-    while at < end:
-        if content[at : at + 2] == b"\r\n":
-            at += 2
-            continue
-        stop = content.find(b"\r\n\r\n", at)
-        head = content[at:stop].decode("utf-8", "replace").split("\r\n")
-        if stop < 0 or not head[0].startswith("WARC/"):
-            raise ValueError(f"no WARC record at byte {at}")
-        headers = {}
-        for line in head[1:]:
-            name, _, value = line.partition(":")
-            headers[name.strip().lower()] = value.strip()
-        size = int(headers["content-length"])
-        block = content[stop + 4 : stop + 4 + size]
-        if len(block) < size:
-            raise ValueError("the last record is cut off")
-        yield headers, block
-        at = stop + 4 + size
+def unpacked(content: bytes) -> BinaryIO:
+    """A file's bytes as a stream, unpacked as they are read; gzip members follow each other."""
+    plain = io.BytesIO(content)
+    return io.BufferedReader(gzip.GzipFile(fileobj=plain)) if content[:2] == b"\x1f\x8b" else plain
+
+
+def parse(stream: BinaryIO) -> Iterator[tuple[dict[str, str], bytes]]:
+    """Headers (lower-case names) and block of each record, by Content-Length; a cut-off file raises.
+
+    One record is held at a time.
+    """
+    try:
+        while first := stream.readline():
+            if first == b"\r\n":
+                continue
+            if not first.startswith(b"WARC/"):
+                raise ValueError("no WARC record where one should begin")
+            headers = {}
+            while (line := stream.readline()) not in (b"\r\n", b""):
+                name, _, value = line.decode("utf-8", "replace").partition(":")
+                headers[name.strip().lower()] = value.strip()
+            size = int(headers["content-length"])
+            block = stream.read(size)
+            if not line or len(block) < size:
+                raise ValueError("the last record is cut off")
+            yield headers, block
+    except EOFError as e:
+        raise ValueError("the last gzip member is cut off") from e
 
 
 def _row(headers: dict[str, str], block: bytes) -> tuple:
@@ -138,8 +142,9 @@ def _row(headers: dict[str, str], block: bytes) -> tuple:
 def read_warc(spark: SparkSession, path: str, batch_bytes: int = 8 << 20) -> DataFrame:
     """One row per record of the files under ``path`` (plain or gzipped, one member or one per record), columns ``RECORD``.
 
-    A task reads a file at a time and hands on batches of about ``batch_bytes``;
-    files therefore have to fit into a task, as those of ``write_warc`` do.
+    A task holds a packed file at a time, unpacks it record by record and hands
+    on batches of about ``batch_bytes``; packed files therefore have to fit into a
+    task, as those of ``write_warc`` do.
     """
     names = [c.split()[0] for c in RECORD.split(", ")]
     types = {"string": pa.string(), "long": pa.int64(), "binary": pa.binary()}
@@ -149,7 +154,7 @@ def read_warc(spark: SparkSession, path: str, batch_bytes: int = 8 << 20) -> Dat
         for batch in batches:
             for content in batch.column(0):
                 rows, held = [], 0
-                for headers, block in parse(inflate(content.as_py())):
+                for headers, block in parse(unpacked(content.as_py())):
                     rows.append(_row(headers, block))
                     held += len(block)
                     if held >= batch_bytes:

@@ -164,6 +164,16 @@ def free_names(df, many: int) -> list[str]:
     return [n for n in (f"own_{k}" for k in range(many + len(taken))) if n not in taken][:many]
 
 
+def fresh(df, *names: str) -> list[str]:
+    """``names`` for new columns of ``df``, each with as many underscores behind it as no column of that name needs."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        out.append(name)
+    return out
+
+
 def groups(batches, keys: int):
     """Runs of rows with equal leading ``keys`` columns of sorted Arrow batches, as Arrow tables; a run may span batches."""
     import pyarrow as pa
