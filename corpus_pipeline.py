@@ -17,7 +17,8 @@ from tillsight.llm.queries import table, tokenizer_json
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents of which the model, fitted on the rows that are not held out, rejects none; ``lang`` stays as it is."""
     model = language.fit(docs.filter(~language.held_out()))
-    return language.predict(docs, model).filter(~F.col("rejected")).select(*docs.columns)
+    found = language.predict(docs, model)
+    return found.filter(~F.col(found.columns[-1])).select(*docs.columns)
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -27,9 +28,8 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of linked documents the one with the smallest id stays."""
-    gone = jaccard_join.jaccard_join(docs).filter("doc_id <> class_id").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, docs.doc_id == gone["_gone"], "left_anti").select(*docs.columns)
+    """Of linked documents one with the smallest id stays."""
+    return jaccard_join.without_near_duplicates(docs).select(*docs.columns)
 
 
 def passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -45,7 +45,7 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [("language_id", language_id), ("line_dedup", lines), ("near_duplicates", near_duplicates), ("passages", passages), ("packing", pack)]
 
-#: Clustering, MinHash sampling, alignment and packing have no SQL; tests/llm compares the stages with brute force.
+#: Clustering, MinHash sampling, alignment and packing have no SQL; tests/llm/test_pipeline.py compares the stages with brute force.
 ORACLE_SQL = None
 
 
