@@ -32,8 +32,10 @@ def repeated_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     The first occurrence of a window is the one with the smallest
     (doc_id, line); NULL ids come last. Rows with the same id and text are one.
     """
+    # the text ends here: a row per line that carried it would cost its square
     rows = df.select(F.col(id_col).alias("doc_id"), F.md5(F.coalesce(F.col(text_col), F.lit("")).cast("binary")).alias("row_key"),
-                     F.posexplode(_runs(_lines(F.col(text_col)), window)).alias("line", "run"))
+                     _runs(_lines(F.col(text_col)), window).alias("runs"))
+    rows = rows.select("doc_id", "row_key", F.posexplode("runs").alias("line", "run"))
     run = F.concat_ws("\n", *[F.col(f"run.a{k}") for k in range(window)])
     spots = rows.select("doc_id", "row_key", "line", run.alias("run")).filter(F.col("run").rlike(r"\S"))
     spots = spots.select("doc_id", "row_key", "line", F.unhex(F.md5(F.col("run").cast("binary"))).alias("digest"))
@@ -56,19 +58,20 @@ def without_repeated_lines(df: DataFrame, id_col: str = "doc_id", text_col: str
     covered whole becomes empty. A document of fewer than three lines has no
     window, and a window of blank lines covers nothing.
     """
-    mine, span_id, span_key, covered = free_names(df, 4)
+    mine, span_id, span_key, covered, listed = free_names(df, 5)
     spans = repeated_lines(df, id_col, text_col, window).select(
         F.col("doc_id").alias(span_id), F.col("row_key").alias(span_key), F.col("covered").alias(covered))
     key = F.md5(F.coalesce(F.col(text_col), F.lit("")).cast("binary"))
     many, removed = fresh(df, "lines", "removed_lines")
     keyed = df.withColumn(mine, key)
     joined = keyed.join(spans, F.col(id_col).eqNullSafe(F.col(span_id)) & (F.col(mine) == F.col(span_key)), "left")
-    lines = _lines(F.col(text_col))
-    places = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col(covered))  # by a hash table: linear in the lines
-    kept = F.transform(places, lambda at: F.get(lines, at))
+    # a column of its own: inside the lambda the text would be split again for every line
+    places = F.array_except(F.sequence(F.lit(0), F.size(listed) - 1), F.col(covered))  # by a hash table: linear in the lines
+    kept = F.transform(places, lambda at: F.get(F.col(listed), at))
     return (
-        joined.withColumn(many, F.size(lines))
+        joined.withColumn(listed, _lines(F.col(text_col)))
+        .withColumn(many, F.size(listed))
         .withColumn(removed, F.coalesce(F.size(covered), F.lit(0)))
         .withColumn(text_col, F.when(F.col(covered).isNull(), F.col(text_col)).otherwise(F.array_join(kept, "\n")))
-        .drop(mine, span_id, span_key, covered)
+        .drop(mine, span_id, span_key, covered, listed)
     )
