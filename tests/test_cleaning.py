@@ -204,3 +204,30 @@ def test_plans_fold_before_they_shuffle(spark, t):
     assert "Expand" not in plan(profiling.dataset_card(t.raw))
     latest = plan(monthly.latest_per_product(t.features))
     assert "SortAggregate" not in latest and latest.count("Exchange") == 1
+
+
+def test_no_rows_have_no_quantiles(sales_of, t):
+    """Fences, boxes, centres, bounds and labels of nothing are NULL or no rows."""
+    from tillsight.operators import cleaning, customers, extensions, profiling
+
+    none = sales_of()
+    fences = cleaning.fit_fences(none)
+    assert fences.quantity == fences.price == cleaning.Fence(None, None, None, None)
+    assert cleaning.filter_price(cleaning.cap_quantity(none, fences.quantity), fences.price).count() == 0
+    assert cleaning.price_outliers(none, fences.price).count() == cleaning.quantity_outliers(none, fences.quantity).count() == 0
+    assert tuple(profiling.box_plot(none, "Quantity").first()) == (None, None, None, None, None, 0)
+    assert tuple(profiling.center(none, "Quantity").first()) == (None, None, None)
+    assert customers.customer_kpis(t.clean.limit(0)).count() == 0
+    assert extensions.product_labels(t.product_kpis.limit(0)).count() == 0
+
+
+def test_a_reordered_calendar_fails(spark, tmp_path):
+    import pytest
+
+    from tillsight.sources import files
+    from tillsight.sources.schemas import HOLIDAYS_RAW
+
+    names = [f.name for f in HOLIDAYS_RAW]
+    (tmp_path / "h.csv").write_text(",".join([names[-1], *names[:-1]]) + "\n" + ",".join(["2011-01-01", *"1" * (len(names) - 1)]) + "\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        files.read_holidays(spark, str(tmp_path / "h.csv")).collect()

@@ -158,6 +158,30 @@ def test_comparison_has_every_model(t):
     assert len(rows) == 6 and all(r.RMSE >= r.MAE > 0 for r in rows.values())
 
 
+def test_block_elimination_equals_the_dense_solve(t):
+    """Least squares of least norm and ridge with a column per product and month, against NumPy on the dense matrix."""
+    from tillsight.operators.blocks import fit_by_products, predicted
+
+    train, test = forecast.time_split(forecast.add_target(t.features), CUT_OFF)
+    seen, held = train.toPandas(), test.toPandas()
+    codes, months = sorted(set(seen.StockCode)), sorted(set(seen.YearMonth))
+
+    def dense(rows):
+        hot = [(rows.StockCode.to_numpy() == c).astype(float) for c in codes] + [(rows.YearMonth.to_numpy() == m).astype(float) for m in months]
+        return np.column_stack([rows[list(FEATURES)].to_numpy(float), *hot])
+
+    x, y = dense(seen), seen.target.to_numpy(float)
+    mean = x.mean(0)
+    centred, rest = x - mean, y - y.mean()
+    want = {1.0: np.linalg.solve(centred.T @ centred + np.eye(x.shape[1]), centred.T @ rest),
+            forecast.LEAST_NORM: np.linalg.lstsq(centred, rest, rcond=1e-12)[0]}
+    for alpha, w in want.items():
+        got = {(r.StockCode, r.YearMonth): r.Predicted for r in predicted(fit_by_products(train, FEATURES, alpha), test).collect()}
+        values = dict(zip(zip(held.StockCode, held.YearMonth, strict=True), (dense(held) - mean) @ w + y.mean(), strict=True))
+        assert set(got) == set(values)
+        assert max(abs(got[k] - values[k]) for k in got) < 1e-3 * (1 + max(map(abs, values.values())))
+
+
 def test_background_is_reproducible(t):
     a = explain.background(t.train, 50).collect()
     assert a == explain.background(t.train.repartition(5), 50).collect()

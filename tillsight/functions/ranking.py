@@ -115,10 +115,12 @@ class ValueCounts:
             skip += self.rows[column]
         return upto.withColumn("last", F.col("last") - start).withColumn("first", F.col("last") - F.col("rows"))
 
-    def quantiles(self, wanted: Mapping[str, Sequence[float]]) -> dict[str, list[float]]:
-        """Exact quantiles with linear interpolation between neighbouring order statistics."""
+    def quantiles(self, wanted: Mapping[str, Sequence[float]]) -> dict[str, list]:
+        """Exact quantiles with linear interpolation between neighbouring order statistics; None for a column without values."""
+        none = {c: [None] * len(probs) for c, probs in wanted.items() if c not in self.rows}
+        wanted = {c: probs for c, probs in wanted.items() if c in self.rows}
         if not wanted:
-            return {}
+            return none
         ranks = {
             (c, r)
             for c, probs in wanted.items()
@@ -137,7 +139,7 @@ class ValueCounts:
                 if f["column"] == column and f["first"] <= rank < f["last"]
             )
 
-        out: dict[str, list[float]] = {}
+        out: dict[str, list] = dict(none)
         for c, probs in wanted.items():
             out[c] = []
             for p in probs:

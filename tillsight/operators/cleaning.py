@@ -64,10 +64,12 @@ def standardize_text(sales: DataFrame, strip_special: bool = False) -> DataFrame
 
 @dataclass(frozen=True)
 class Fence:
-    q1: float
-    q3: float
-    lower: float
-    upper: float
+    """All None where no value was there to fit: nothing is then capped, and no price is inside."""
+
+    q1: float | None
+    q3: float | None
+    lower: float | None
+    upper: float | None
 
 
 @dataclass(frozen=True)
@@ -76,7 +78,9 @@ class Fences:
     price: Fence
 
 
-def iqr_fence(q1: float, q3: float, factor: float = 1.5) -> Fence:
+def iqr_fence(q1: float | None, q3: float | None, factor: float = 1.5) -> Fence:
+    if q1 is None or q3 is None:
+        return Fence(None, None, None, None)
     return Fence(q1, q3, q1 - factor * (q3 - q1), q3 + factor * (q3 - q1))
 
 
@@ -100,17 +104,18 @@ def cap_quantity(sales: DataFrame, fence: Fence) -> DataFrame:
 
 def filter_price(sales: DataFrame, fence: Fence) -> DataFrame:
     """Keep prices strictly between zero and the upper fence."""
-    return sales.where((F.col("UnitPrice") > 0) & (F.col("UnitPrice").cast("double") < fence.upper))
+    return sales.where((F.col("UnitPrice") > 0) & (F.col("UnitPrice").cast("double") < F.lit(fence.upper).cast("double")))
 
 
 def quantity_outliers(sales: DataFrame, fence: Fence) -> DataFrame:
-    return sales.where(F.col("Quantity").cast("double") > fence.upper)
+    return sales.where(F.col("Quantity").cast("double") > F.lit(fence.upper).cast("double"))
 
 
 def price_outliers(sales: DataFrame, fence: Fence) -> DataFrame:
     """Lines priced outside the fences, labelled by side."""
     p = F.col("UnitPrice").cast("double")
-    side = F.when(p >= fence.upper, "above").when(p <= F.greatest(F.lit(fence.lower), F.lit(0.0)), "below")
+    lower, upper = (F.lit(x).cast("double") for x in (fence.lower, fence.upper))
+    side = F.when(p >= upper, "above").when(p <= F.greatest(lower, F.lit(0.0)), "below")
     return sales.withColumn("side", side).where(F.col("side").isNotNull())
 
 

@@ -80,10 +80,12 @@ def clip_bounds(df: DataFrame, columns: Sequence[str], low: float = 0.01, high:
 
 
 def clip(df: DataFrame, bounds: Mapping[str, Sequence[float]]) -> DataFrame:
-    """Hold each column inside its bounds; NULL stays NULL."""
-    return df.withColumns({
-        c: F.when(dbl(c) < lo, F.lit(lo)).when(dbl(c) > hi, F.lit(hi)).otherwise(dbl(c)) for c, (lo, hi) in bounds.items()
-    })
+    """Hold each column inside its bounds; NULL stays NULL, and a bound of None holds nothing."""
+    def held(c, lo, hi):
+        lo, hi = (F.lit(x).cast("double") for x in (lo, hi))
+        return F.when(dbl(c) < lo, lo).when(dbl(c) > hi, hi).otherwise(dbl(c))
+
+    return df.withColumns({c: held(c, *ends) for c, ends in bounds.items()})
 
 
 def customer_kpis(sales: DataFrame) -> DataFrame:

@@ -52,6 +52,7 @@ def product_labels(kpis: DataFrame, top: float = 0.8) -> DataFrame:
     cut = ValueCounts.of(kpis, ["TotalQuantitySold", "ActiveMonthCount", "UniqueCustomersCount"]).quantiles({
         "TotalQuantitySold": [top], "ActiveMonthCount": [1 - top], "UniqueCustomersCount": [top],
     })
+    cut = {c: [F.lit(found).cast("double") for found in ends] for c, ends in cut.items()}  # NULL where there are no products
     return kpis.select(
         "StockCode",
         F.when(F.col("TotalQuantitySold") >= cut["TotalQuantitySold"][0], "Top Seller").otherwise("Normal").alias("demand"),

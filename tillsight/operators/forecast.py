@@ -30,6 +30,7 @@ from .monthly import FEATURES
 
 ALPHAS = (0.1, 1.0, 10.0, 50.0, 100.0)
 FOLDS = 5
+LEAST_NORM = 1e-6  # a penalty that only settles what least squares leave open
 
 
 def add_target(features: DataFrame, label: str = "MonthlyQuantity") -> DataFrame:
@@ -315,6 +316,10 @@ def compare_models(train: DataFrame, test: DataFrame, features: Sequence[str] =
     training rows; a value that these lack is zero in all columns. ``depth`` 30
     is the deepest tree Spark builds.
     """
+    from .blocks import fit_by_products, predicted
+
+    # least squares and ridge: exact for any number of products
+    solved = {name: predicted(fit_by_products(train, features, alpha), test) for name, alpha in (("LinearRegression", LEAST_NORM), ("Ridge", 1.0))}
     keys = ["StockCode", "month_key"]
     train, test = indexed(
         *[part.withColumn("month_key", F.date_format("YearMonth", "yyyy-MM")) for part in (train, test)], keys
@@ -330,9 +335,7 @@ def compare_models(train: DataFrame, test: DataFrame, features: Sequence[str] =
     common = {"labelCol": "target", "predictionCol": "Predicted"}
     linear = {**common, "standardization": False, "maxIter": iterations}
     estimators = {
-        "LinearRegression": LinearRegression(**linear),
         "Lasso": LinearRegression(**linear, regParam=1.0, elasticNetParam=1.0),
-        "Ridge": LinearRegression(**linear, regParam=_reg_param(ready, 1.0)),
         "Decision Tree": DecisionTreeRegressor(**common, maxDepth=depth, seed=42),
         "Random Forest": RandomForestRegressor(**common, numTrees=trees, maxDepth=depth, seed=42),
         "Gradient Boosting": GBTRegressor(**common, maxIter=rounds, maxDepth=boosted_depth, seed=42),
@@ -340,10 +343,8 @@ def compare_models(train: DataFrame, test: DataFrame, features: Sequence[str] =
     # Independent fits share the cluster, as in a parallel grid search.
     with ThreadPool(parallelism) as pool:
         models = dict(zip(estimators, pool.map(lambda e: e.fit(ready), estimators.values())))
-    scored = [
-        metrics(model.transform(held), "Predicted").select(F.lit(name).alias("model"), "MAE", "RMSE")
-        for name, model in models.items()
-    ]
+    results = {**solved, **{name: model.transform(held) for name, model in models.items()}}
+    scored = [metrics(rows, "Predicted").select(F.lit(name).alias("model"), "MAE", "RMSE") for name, rows in results.items()]
     return reduce(DataFrame.unionByName, scored)
 
 

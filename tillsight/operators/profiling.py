@@ -77,7 +77,7 @@ def center(df: DataFrame, column: str) -> DataFrame:
     """Mean and median; a mean above the median marks a right-skewed column."""
     median = ValueCounts.of(df, [column]).quantiles({column: [0.5]})[column][0]
     mean = mean_of(column)
-    return df.agg(mean.alias("mean"), F.lit(median).alias("median"), (mean > median).alias("right_skewed"))
+    return df.agg(mean.alias("mean"), F.lit(median).cast("double").alias("median"), (mean > F.lit(median).cast("double")).alias("right_skewed"))
 
 
 def value_counts(df: DataFrame, column: str) -> DataFrame:
@@ -128,9 +128,12 @@ def histogram(df: DataFrame, column: str, bins: int | None = None) -> DataFrame:
 
 
 def box_plot(df: DataFrame, column: str, factor: float = 1.5) -> DataFrame:
-    """Quartiles, whiskers at the extreme values inside the fences, and the number of fliers."""
+    """Quartiles, whiskers at the extreme values inside the fences, and the number of fliers; NULLs where there are no values."""
     counts = ValueCounts.of(df, [column])
     q1, median, q3 = counts.quantiles({column: [0.25, 0.5, 0.75]})[column]
+    if q1 is None:
+        none = [F.lit(None).cast("double").alias(c) for c in ("q1", "median", "q3", "whisker_low", "whisker_high")]
+        return df.sparkSession.range(1).select(*none, F.lit(0).cast("long").alias("fliers"))
     low, high = q1 - factor * (q3 - q1), q3 + factor * (q3 - q1)
     v = F.col("value")
     whisker_low, whisker_high = F.least(F.min(F.when(v >= low, v)), F.lit(q1)), F.greatest(

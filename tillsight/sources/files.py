@@ -57,7 +57,8 @@ def parse_timestamp(col: str, fmt: str | None = None, coerce: bool = False):
 
 
 def read_holidays(spark: SparkSession, path: str, fmt: str = "csv", timestamp_format: str | None = None) -> DataFrame:
-    return read_table(spark, path, HOLIDAYS_RAW, fmt, timestamp_format)
+    """The raw calendar. A CSV file whose header has other names, or these in another order, fails."""
+    return read_table(spark, path, HOLIDAYS_RAW, fmt, timestamp_format, check_header=fmt == "csv")
 
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
