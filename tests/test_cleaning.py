@@ -221,13 +221,17 @@ def test_no_rows_have_no_quantiles(sales_of, t):
     assert extensions.product_labels(t.product_kpis.limit(0)).count() == 0
 
 
-def test_a_reordered_calendar_fails(spark, tmp_path):
+def test_a_calendar_goes_by_its_header(spark, tmp_path):
+    import datetime as dt
+
     import pytest
 
     from tillsight.sources import files
-    from tillsight.sources.schemas import HOLIDAYS_RAW
 
-    names = [f.name for f in HOLIDAYS_RAW]
-    (tmp_path / "h.csv").write_text(",".join([names[-1], *names[:-1]]) + "\n" + ",".join(["2011-01-01", *"1" * (len(names) - 1)]) + "\n")
-    with pytest.raises(Exception, match="(?i)header"):
-        files.read_holidays(spark, str(tmp_path / "h.csv")).collect()
+    (tmp_path / "a.csv").write_text(",date,countryOrRegion,holidayName,normalizeHolidayName,isPaidTimeOff,countryRegionCode\n"
+                                    "7,2011-01-01 00:00:00,Norway,New Year,New Year,true,NO\n")
+    (row,) = files.read_holidays(spark, str(tmp_path / "a.csv")).collect()
+    assert (row["Unnamed: 0"], row.countryOrRegion, row.isPaidTimeOff, row.date) == (7, "Norway", True, dt.datetime(2011, 1, 1))
+    (tmp_path / "b.csv").write_text("date,holidayName\n2011-01-01,x\n")
+    with pytest.raises(ValueError, match="lacks .*countryOrRegion"):
+        files.read_holidays(spark, str(tmp_path / "b.csv"))

@@ -517,11 +517,11 @@ def oracle() -> dict[str, str]:
             "sum(abs(target - MonthlyQuantity)) AS ae, sum((target - MonthlyQuantity) * (target - MonthlyQuantity)) AS se, "
             "sum(target) AS y, sum(target * target) AS yy FROM test) AS x", "test"),
         "one_hot": _sql("""
-            , codes AS MATERIALIZED (SELECT DISTINCT StockCode AS code FROM train),
-            months AS MATERIALIZED (SELECT DISTINCT YearMonth AS month FROM train)
-            SELECT StockCode, YearMonth, 'StockCode_' || StockCode AS indicator FROM test JOIN codes ON code = StockCode
+            , codes AS MATERIALIZED (SELECT DISTINCT StockCode AS known_code FROM train),
+            months AS MATERIALIZED (SELECT DISTINCT YearMonth AS known_month FROM train)
+            SELECT StockCode, YearMonth, 'StockCode_' || StockCode AS indicator FROM test JOIN codes ON known_code = StockCode
             UNION ALL
-            SELECT StockCode, YearMonth, 'YearMonth_' || strftime(YearMonth, '%Y-%m') FROM test JOIN months ON month = YearMonth""", "test"),
+            SELECT StockCode, YearMonth, 'YearMonth_' || strftime(YearMonth, '%Y-%m') FROM test JOIN months ON known_month = YearMonth""", "test"),
         # explanation
         "linear_attribution": _sql(
             ", m AS (SELECT " + ", ".join(f"avg(CAST({f} AS DOUBLE)) AS m_{f}" for f in FEATURES) + " FROM train),\na AS (SELECT "

@@ -57,8 +57,19 @@ def parse_timestamp(col: str, fmt: str | None = None, coerce: bool = False):
 
 
 def read_holidays(spark: SparkSession, path: str, fmt: str = "csv", timestamp_format: str | None = None) -> DataFrame:
-    """The raw calendar. A CSV file whose header has other names, or these in another order, fails."""
-    return read_table(spark, path, HOLIDAYS_RAW, fmt, timestamp_format, check_header=fmt == "csv")
+    """The raw calendar. Columns of a CSV file go by the names in its header, in any order; one that is missing fails.
+
+    A first column without a name is the row number.
+    """
+    if fmt != "csv":
+        return read_table(spark, path, HOLIDAYS_RAW, fmt)
+    header = spark.read.option("header", True).option("escape", '"').csv(path).columns  # the first line alone is read
+    names = [HOLIDAYS_RAW[0].name if c == "_c0" else c for c in header]
+    absent = sorted(set(HOLIDAYS_RAW.names) - set(names))
+    if absent:
+        raise ValueError(f"the calendar lacks {', '.join(absent)}; its header has {', '.join(header)}")
+    found = T.StructType([HOLIDAYS_RAW[c] if c in HOLIDAYS_RAW.names else T.StructField(c, T.StringType()) for c in names])
+    return read_table(spark, path, found, fmt, timestamp_format).select(*[f"`{c}`" for c in HOLIDAYS_RAW.names])
 
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
