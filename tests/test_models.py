@@ -1,7 +1,9 @@
 """Forecast, attribution and segmentation against closed forms and brute force."""
 
 import datetime as dt
+import hashlib
 import itertools
+import math
 import random
 
 import numpy as np
@@ -10,7 +12,7 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import functions as F
 
-from tillsight.operators import explain, forecast, insights, segments
+from tillsight.operators import explain, forecast, insights, kmeans, segments
 from tillsight.operators.monthly import FEATURES
 from tillsight.sources.bridge import CUT_OFF
 
@@ -199,20 +201,95 @@ def test_required_columns():
         segments.require_columns(Frame, segments.CLUSTER_FEATURES)
 
 
+def plain_k_means(ids, points, run, k, seed=42, iterations=300):
+    """The operator's K-Means in loops over Python integers."""
+    def squared(p, q):
+        return sum((a - b) ** 2 for a, b in zip(p, q, strict=True))
+
+    centers = []
+    for step in range(k):
+        draws = []
+        for i, p in zip(ids, points, strict=True):
+            weight = min((squared(p, c) for c in centers), default=1)
+            if weight:
+                u = (int(hashlib.md5(f"{seed}|{run}|{step}|{i}".encode()).hexdigest()[:13], 16) + 1) / 2**52
+                draws.append((-math.log(u) / weight, p))
+        if not draws:
+            break
+        centers.append(min(draws)[1])
+    for _ in range(iterations):
+        groups = [[] for _ in centers]
+        for p in points:
+            near = [squared(p, c) for c in centers]
+            groups[near.index(min(near))].append(p)
+        moved = [tuple((2 * sum(x) + len(g)) // (2 * len(g)) for x in zip(*g, strict=True)) if g else c
+                 for g, c in zip(groups, centers, strict=True)]
+        if moved == centers:
+            break
+        centers = moved
+    return tuple(centers), sum(min(squared(p, c) for c in centers) for p in points)
+
+
+def grid_points(df, model):
+    rows = df.select("CustomerID", *kmeans.on_grid(model.features, model.means, model.deviations)).collect()
+    return [r[0] for r in rows], [tuple(r[1:]) for r in rows]
+
+
+def test_k_means_equals_plain_loops(t):
+    x = segments.training_data(t.customers)
+    fits = kmeans.fit(x, segments.TRAINED, {0: 3, 1: 3, 7: 5}, "CustomerID")
+    ids, points = grid_points(x, fits[0])
+    for run, k in ((0, 3), (1, 3), (7, 5)):
+        assert (fits[run].centers, fits[run].cost) == plain_k_means(ids, points, run, k)
+
+
 def test_k_means_assigns_the_nearest_center(t):
     model = segments.fit_k_means(t.customers, starts=3)
-    centers = np.array(model.stages[-1].clusterCenters())
-    scaled = model.transform(segments.training_data(t.customers)).collect()
-    for r in scaled:
-        assert r.clusters == np.argmin(((r.scaled.toArray() - centers) ** 2).sum(1))
-    assert len({r.clusters for r in scaled}) == 3
+    centers = np.array(model.scores())
+    rows = segments.zscores(segments.predict_clusters(model, t.customers)).collect()
+    for r in rows:
+        distance = ((np.array([r[f"z_{c}"] for c in segments.CLUSTER_FEATURES]) - centers) ** 2).sum(1)
+        assert distance[r.clusters] <= distance.min() + 1e-2
+    assert len({r.clusters for r in rows}) == 3
 
 
 def test_more_starts_never_cost_more(t):
-    costs = [segments.fit_k_means(t.customers, starts=s).stages[-1].summary.trainingCost for s in (1, 4)]
+    costs = [segments.fit_k_means(t.customers, starts=s).cost for s in (1, 4)]
     assert costs[1] <= costs[0]
 
 
+def test_k_means_of_few_equal_and_no_points(spark):
+    schema = "id long, a double, b double"
+    df = spark.createDataFrame([(1, 0.0, 5.0), (2, 0.0, 5.0), (3, 9.0, 5.0), (4, 9.0, 5.0)], schema)
+    fits = kmeans.fit(df, ["a", "b"], {1: 1, 2: 2, 4: 4}, "id")
+    assert [len(fits[r].centers) for r in (1, 2, 4)] == [1, 2, 2]  # two distinct points, a constant feature
+    assert fits[1].cost == 4 * kmeans.GRID**2 and fits[2].cost == fits[4].cost == 0
+    labels = {r.id: r.clusters for r in kmeans.assign(df, fits[4]).collect()}
+    assert labels[1] == labels[2] != labels[3] == labels[4]
+    empty = kmeans.fit(df.limit(0), ["a", "b"], {0: 3}, "id")[0]
+    assert empty.centers == () and empty.cost == 0
+    assert [r.clusters for r in kmeans.assign(df, empty).collect()] == [None] * 4
+    tie = kmeans.Clustering(("a", "b"), (0.0, 0.0), (1.0, 1.0), ((-kmeans.GRID, 0), (kmeans.GRID, 0)))
+    assert kmeans.assign(spark.createDataFrame([(1, 0.0, 0.0)], schema), tie).first().clusters == 0
+
+
+def test_k_means_does_not_depend_on_partitions(t):
+    one, two = (segments.fit_k_means(df, starts=2) for df in (t.customers, t.customers.repartition(7)))
+    assert (one.centers, one.cost) == (two.centers, two.cost)
+
+
+def test_saved_clustering_labels_as_before(spark, t, tmp_path):
+    model = segments.fit_k_means(t.customers, starts=1)
+    kmeans.save(spark, model, str(tmp_path / "model"))
+    assert kmeans.load(spark, str(tmp_path / "model")) == model
+
+
+def test_customers_without_rows_have_no_segments(t):
+    labelled, model = segments.segment_customers(t.customers.limit(0))
+    assert labelled.count() == 0 and model.centers == ()
+    assert segments.names_by_rank([]) == {}
+
+
 def test_silhouette_equals_all_pairs(t):
     scaled = segments.assign(segments.zscores(t.customers), [(1,) * 5, (0,) * 5, (-1,) * 5])
     rows = scaled.collect()
@@ -270,7 +347,7 @@ def test_sample_member_is_stable(t):
 
 def test_inertia_falls_with_k(t):
     scan = segments.k_scan(t.customers, [2, 4, 8])
-    assert scan[2][0] > scan[4][0] > scan[8][0]
+    assert scan[2].inertia > scan[4].inertia > scan[8].inertia
 
 
 # --- insight texts -----------------------------------------------------------------

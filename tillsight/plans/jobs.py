@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.staging import stage
-from ..operators import customers, explain, forecast, insights, monthly, products, segments
+from ..operators import customers, explain, forecast, insights, kmeans, monthly, products, segments
 from ..operators.holidays import holiday_calendar
 from ..sources.files import conform, read_holidays, read_sales, read_table, write_table
 from ..sources.schemas import CLEAN, CUSTOMER_KPIS, FEATURES, PRODUCT_KPIS, SEGMENTS
@@ -87,7 +87,7 @@ def segment(spark: SparkSession, kpis: str, out: str, model: str, k: int = 3, fm
     """Customer KPIs to named segments with profile text; saves table and model."""
     labelled, fitted = segments.segment_customers(read_table(spark, kpis, CUSTOMER_KPIS, fmt), k)
     write_table(conform(labelled, SEGMENTS), out, fmt)
-    fitted.write().overwrite().save(model)
+    kmeans.save(spark, fitted, model)
 
 
 def segment_requests(spark: SparkSession, segmented: str, has_key: bool = True, fmt: str = "parquet") -> DataFrame:

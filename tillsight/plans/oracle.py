@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from ..operators import insights, segments
+from ..operators import insights, kmeans, segments
 from ..operators.monthly import FEATURES
 from ..sources.bridge import CUT_OFF
 from .queries import LITERAL_WEIGHTS
@@ -29,6 +29,16 @@ def _quantile(column: str, p: float, source: str) -> str:
         FROM {source}) AS o) AS q)"""
 
 
+PROFILE = """
+        SELECT CustomerID, concat(chr(10), '       Customer Profile:', chr(10), '- Orders: ', TotalOrders,
+          chr(10), '- Active Months: ', ActiveMonth, chr(10), '- Avg Order Value: ', printf('%.2f', AvgOrderValue),
+          chr(10), '- Recency: ', Recency, ' (', CASE WHEN Recency > 180 THEN 'inactive' ELSE 'recently active' END, ')',
+          chr(10), '- Frequency: ', PurchaseFrequency, ' (',
+          CASE WHEN PurchaseFrequency < 0.5 THEN 'low engagement' ELSE 'high engagement' END, ')',
+          chr(10), '- Cluster: ', clusters, chr(10), '- Churn Risk: ', CASE WHEN Churn = 1 THEN 'Yes' ELSE 'No' END,
+          chr(10)) AS Customer_Text"""
+
+
 # Named steps in the order in which they build on each other.
 STEPS = {
     "retail_base": """
@@ -161,15 +171,7 @@ STEPS = {
           CASE clusters WHEN 0 THEN '{segments.FREQUENT}' WHEN 1 THEN '{segments.OCCASIONAL}'
             WHEN 2 THEN '{segments.DORMANT}' END AS segment
         FROM kpi JOIN (SELECT CustomerID, clusters FROM assigned) AS a USING (CustomerID)""",
-    "texts": """
-        SELECT CustomerID, concat(chr(10), '       Customer Profile:', chr(10), '- Orders: ', TotalOrders,
-          chr(10), '- Active Months: ', ActiveMonth, chr(10), '- Avg Order Value: ', printf('%.2f', AvgOrderValue),
-          chr(10), '- Recency: ', Recency, ' (', CASE WHEN Recency > 180 THEN 'inactive' ELSE 'recently active' END, ')',
-          chr(10), '- Frequency: ', PurchaseFrequency, ' (',
-          CASE WHEN PurchaseFrequency < 0.5 THEN 'low engagement' ELSE 'high engagement' END, ')',
-          chr(10), '- Cluster: ', clusters, chr(10), '- Churn Risk: ', CASE WHEN Churn = 1 THEN 'Yes' ELSE 'No' END,
-          chr(10)) AS Customer_Text
-        FROM segment""",
+    "texts": f"{PROFILE} FROM segment",
 }
 
 
@@ -180,6 +182,74 @@ def _sql(final: str, *steps: str) -> str:
     return ("WITH " + ",\n".join(f"{n} AS ({s})" for n, s in chosen) + "\n" if chosen else "") + final
 
 
+def _k_means(final: str, runs: str) -> str:
+    """``final`` after K-Means runs (a query of run and k): draws and Lloyd's steps are recursive steps.
+
+    ``pts`` has the customers on the grid (p, a list), ``fitted`` the centers of each run (c, a list of lists),
+    ``near`` each customer once a run with its cluster i (from 1) and squared distance d.
+    """
+    n = range(1, len(KPIS) + 1)
+    grid = ", ".join(f"CAST(floor({c} * {kmeans.GRID} + 0.5) AS BIGINT)" for c in KPIS)
+    distances = "list_transform(c, lambda q: " + " + ".join(f"(p[{j}] - q[{j}]) * (p[{j}] - q[{j}])" for j in n) + ")"
+    # the shift makes the division of integers round down below zero as well
+    middle = ", ".join(f"CAST((2 * sum(p[{j}]) + count(*) + 2000000000000 * count(*)) // (2 * count(*)) - 1000000000000 AS BIGINT)" for j in n)
+    steps = f"""pts AS MATERIALIZED (SELECT CustomerID, [{grid}] AS p FROM z),
+    seeding AS (SELECT run, k, 0 AS step, CAST([] AS BIGINT[][]) AS c FROM ({runs}) AS r
+      UNION ALL
+      SELECT run, any_value(k), step + 1, list_append(any_value(c), arg_min(p, draw)) FROM (
+        SELECT run, k, step, c, p, -ln((CAST('0x' || substr(md5(concat_ws('|', 42, run, step, CustomerID)), 1, 13) AS BIGINT) + 1)
+          / 4503599627370496.0E0) / weight AS draw
+        FROM (SELECT *, coalesce(list_min({distances}), 1) AS weight FROM seeding, pts WHERE step < k) AS w WHERE weight > 0) AS d
+      GROUP BY run, step),
+    lloyd AS (SELECT run, 0 AS it, true AS moved, arg_max(c, step) AS c FROM seeding GROUP BY run
+      UNION ALL
+      SELECT run, it + 1, moved_to <> c, moved_to FROM (
+        SELECT run, it, c, list_transform(c, lambda q, i: coalesce(found[i], q)) AS moved_to FROM (
+          SELECT run, it, any_value(c) AS c, map(list(i), list(m)) AS found FROM (
+            SELECT run, it, any_value(c) AS c, i, [{middle}] AS m FROM (
+              SELECT run, it, c, p, list_position(ds, list_min(ds)) AS i
+              FROM (SELECT run, it, c, p, {distances} AS ds FROM lloyd, pts WHERE moved AND it < 300) AS a) AS b
+            GROUP BY run, it, i) AS e GROUP BY run, it) AS f) AS g),
+    fitted AS MATERIALIZED (SELECT run, arg_max(c, it) AS c FROM lloyd GROUP BY run),
+    near AS MATERIALIZED (SELECT run, c, CustomerID, p, list_position(ds, list_min(ds)) AS i, list_min(ds) AS d
+      FROM (SELECT *, {distances} AS ds FROM fitted, pts) AS a)"""
+    return _sql(f",\n{steps}\n{final}", "z").replace("WITH ", "WITH RECURSIVE ", 1)
+
+
+def _k_means_queries() -> dict[str, str]:
+    scan = "SELECT unnest(range(2, 15)) AS run, unnest(range(2, 15)) AS k"
+    recency, orders = KPIS.index("Recency") + 1, KPIS.index("TotalOrders") + 1
+    names = f"""named AS (SELECT c, dormant, list_position(rest, list_max(rest)) AS frequent FROM (
+        SELECT c, dormant, list_transform(c, lambda q, i: CASE WHEN i = dormant THEN NULL ELSE q[{orders}] END) AS rest FROM (
+          SELECT c, list_position(list_transform(c, lambda q: q[{recency}]), list_max(list_transform(c, lambda q: q[{recency}]))) AS dormant
+          FROM fitted WHERE run = (SELECT run FROM near GROUP BY run ORDER BY sum(d), run LIMIT 1)) AS a) AS b),
+    labelled AS (SELECT kpi.*, CAST(i - 1 AS INTEGER) AS clusters, CASE WHEN Recency > 180 THEN 1 ELSE 0 END AS Churn,
+        CASE i WHEN dormant THEN '{segments.DORMANT}' WHEN frequent THEN '{segments.FREQUENT}'
+          ELSE '{segments.OCCASIONAL}' END AS segment
+      FROM kpi JOIN near USING (CustomerID) JOIN named ON near.c = named.c
+      WHERE run = (SELECT run FROM near GROUP BY run ORDER BY sum(d), run LIMIT 1))"""
+    apart = " + ".join(f"pow(CAST(x.p[{j}] - y.p[{j}] AS DOUBLE), 2)" for j in range(1, len(KPIS) + 1))
+    return {
+        "customer_segments": _k_means(
+            f", {names}, texts AS ({PROFILE} FROM labelled) SELECT * FROM labelled JOIN texts USING (CustomerID)",
+            "SELECT unnest(range(0, 10)) AS run, 3 AS k"),
+        "elbow": _k_means(f"SELECT CAST(run AS INTEGER) AS k, CAST(sum(d) AS DOUBLE) / {kmeans.GRID**2} AS wcss FROM near GROUP BY run", scan),
+        "silhouette_by_k": _k_means(f"""
+            , pair AS (SELECT x.run, x.CustomerID, x.i AS own, y.i AS other, count(*) AS n, sum({apart}) / {kmeans.GRID**2} AS d
+              FROM near x JOIN near y ON x.run = y.run GROUP BY ALL),
+            ab AS (SELECT run, CustomerID, max(CASE WHEN own = other THEN n END) AS n,
+                max(CASE WHEN own = other AND n > 1 THEN d / (n - 1) END) AS a,
+                min(CASE WHEN own <> other THEN d / n END) AS b FROM pair GROUP BY run, CustomerID)
+            SELECT CAST(run AS INTEGER) AS k,
+              round(avg(CASE WHEN n > 1 THEN coalesce((b - a) / nullif(greatest(a, b), 0), 0) ELSE 0 END), 6) AS silhouette
+            FROM ab GROUP BY run""", scan),
+        "k_comparison": _k_means(
+            "SELECT CAST(run AS INTEGER) AS k, CAST(i - 1 AS INTEGER) AS clusters, "
+            + ", ".join(f"round(avg({c}), 6) AS {c}" for c in KPIS)
+            + ", count(*) AS customers FROM near JOIN kpi USING (CustomerID) WHERE run IN (2, 3, 4) GROUP BY run, i", scan),
+    }
+
+
 def _ridge(final: str, label: str = "MonthlyQuantity") -> str:
     """``final`` after a ridge fit: normal equations per (fold, alpha), solved by elimination in a recursive step.
 
@@ -354,6 +424,7 @@ def oracle() -> dict[str, str]:
     phi = {f: f"({w!r}) * ({f} - m_{f})" for f, w in zip(FEATURES, LITERAL_WEIGHTS)}
     return {
         **_ridge_queries(),
+        **_k_means_queries(),
         # sources and cleaning
         "retail_raw": _sql(f"SELECT {RAW_DOUBLE} FROM raw", "raw"),
         "holidays_raw": _sql("SELECT * FROM hol_raw", "hol_raw"),

@@ -634,17 +634,17 @@ def customer_segments(t: Tables):
 
 @query
 def elbow(t: Tables):
-    return segments.elbow(t.customers, t.k_scan).select("k", "wcss")
+    return segments.elbow(t.customers, t.k_scan)
 
 
 @query
 def silhouette_by_k(t: Tables):
-    return segments.elbow(t.customers, t.k_scan).select("k", "silhouette")
+    return rounded(segments.silhouette_by_k(t.customers, t.k_scan), "silhouette")
 
 
 @query
 def k_comparison(t: Tables):
-    return segments.k_comparison(t.customers, t.k_scan)
+    return rounded(segments.k_comparison(t.customers, t.k_scan), *segments.CLUSTER_FEATURES)
 
 
 # --- insight texts -----------------------------------------------------------------

@@ -13,7 +13,7 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 
 from ..functions.staging import release, stage
-from ..operators import cleaning, customers, explain, forecast, holidays, monthly, products, segments
+from ..operators import cleaning, customers, explain, forecast, holidays, kmeans, monthly, products, segments
 from ..sources import bridge
 
 
@@ -113,7 +113,7 @@ class Tables:
         return stage(forecast.compare_models(*parts, **COMPARISON), "model_comparison")
 
     @cached_property
-    def k_scan(self) -> dict[int, tuple[float, float, PipelineModel]]:
+    def k_scan(self) -> dict[int, kmeans.Clustering]:
         return segments.k_scan(self.customers)
 
     @property
