@@ -308,6 +308,32 @@ def test_silhouette_equals_all_pairs(t):
     assert segments.cluster_silhouette(scaled).first()[0] == pytest.approx(np.mean(scores))
 
 
+def test_silhouettes_of_all_runs_equal_all_pairs(spark):
+    rng = random.Random(5)
+    rows = [(i, rng.gauss(0, 1) + 4 * (i % 3), float(rng.randint(0, 3))) for i in range(60)] + [(60, 90.0, 90.0)]
+    df = spark.createDataFrame(rows, "id long, a double, b double")
+    fits = kmeans.fit(df, ["a", "b"], {1: 1, 2: 2, 3: 3, 5: 5}, "id")
+    far = kmeans.Clustering(fits[2].features, fits[2].means, fits[2].deviations, (*fits[2].centers, (10**7, 10**7)))
+    fits[9] = far  # its last center has no rows
+    got = {r.run: r.silhouette for r in kmeans.silhouettes(df, fits).collect()}
+    assert set(got) == {2, 3, 5, 9} and got[9] == pytest.approx(got[2])
+    for run in (2, 3, 5):
+        one = kmeans.assign(df, fits[run]).select("clusters", *kmeans.on_grid(far.features, far.means, far.deviations)).collect()
+        x, label = np.array([r[1:] for r in one]) / kmeans.GRID, np.array([r.clusters for r in one])
+        d = ((x[:, None] - x[None]) ** 2).sum(2)
+        scores = []
+        for i in range(len(x)):
+            own = label == label[i]
+            if own.sum() == 1:
+                scores.append(0.0)
+                continue
+            a = d[i][own].sum() / (own.sum() - 1)
+            b = min(d[i][label == c].mean() for c in set(label) - {label[i]})
+            scores.append((b - a) / max(a, b))
+        assert got[run] == pytest.approx(np.mean(scores))
+    assert kmeans.silhouettes(df, {1: fits[1]}).count() == 0
+
+
 def test_names_follow_the_centroids():
     # TotalOrders, ActiveMonth, AvgOrderValue, Recency, PurchaseFrequency
     centers = [(5, 0, 0, -1, 0), (9, 0, 0, 3, 0), (1, 0, 0, 0, 0)]

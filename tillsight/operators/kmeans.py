@@ -174,6 +174,50 @@ def assign(df: DataFrame, model: Clustering, column: str = "clusters") -> DataFr
     return df.withColumn(column, (F.array_position(distances, F.array_min(distances)) - 1).cast("int"))
 
 
+def silhouettes(df: DataFrame, fits: Mapping[int, Clustering]) -> DataFrame:
+    """Mean silhouette with squared Euclidean distance of each run (columns run, silhouette), linear in the rows.
+
+    The runs share one scaling, as :func:`fit` gives them. The summed squared
+    distance from x to a cluster is n|x|^2 - 2 x.S + Q, with n, S and Q the
+    cluster's size, vector sum and sum of squared norms; only these totals, at
+    most runs x k rows, leave the executors. A row alone in its cluster counts 0;
+    a run of fewer than two clusters with rows has no row here.
+    """
+    model = next(iter(fits.values()))
+    coordinates = [f"x{i}" for i in range(len(model.features))]
+    points = df.select(*on_grid(model.features, model.means, model.deviations))
+    doubles = [F.col(x) / GRID for x in coordinates]
+    norm = sum((v * v for v in doubles[1:]), doubles[0] * doubles[0])
+
+    def labelled(runs):
+        near = _with_runs(points, runs)
+        return near.withColumn("cluster", F.array_position("distances", F.array_min("distances")))
+
+    runs = {run: f.centers for run, f in fits.items() if len(f.centers) > 1}
+    if not runs:
+        return df.sparkSession.createDataFrame([], "run int, silhouette double")
+    totals: dict[int, dict[int, list[float]]] = {run: {} for run in runs}
+    for r in labelled(runs).groupBy("run", "cluster").agg(
+            F.count(F.lit(1)).alias("n"), F.sum(norm).alias("q"), *[F.sum(x).alias(x) for x in coordinates]).collect():
+        totals[r.run][r.cluster] = [float(r.n), r.q, *(r[x] / GRID for x in coordinates)]
+    # a center without rows is no cluster
+    filled = {run: sorted(t) for run, t in totals.items() if len(t) > 1}
+    kept = {run: [fits[run].centers[c - 1] for c in clusters] for run, clusters in filled.items()}
+    if not kept:
+        return df.sparkSession.createDataFrame([], "run int, silhouette double")
+    listed = ", ".join(f"{run}, array(" + ", ".join("array(" + ", ".join(f"{v!r}D" for v in totals[run][c]) + ")" for c in clusters) + ")"
+                       for run, clusters in filled.items())
+    means = F.transform(F.expr(f"map({listed})")[F.col("run")], lambda t: F.struct(t[0].alias("n"), F.greatest(
+        norm * t[0] - sum((v * t[i + 3] for i, v in enumerate(doubles[1:])), doubles[0] * t[2]) * 2 + t[1], F.lit(0.0)).alias("d")))
+    scored = labelled(kept).withColumn("means", means).withColumn("own", F.element_at("means", F.col("cluster").cast("int")))
+    others = F.filter("means", lambda m, i: i != F.col("cluster") - 1)
+    scored = scored.select("run", F.col("own.n").alias("n"), F.try_divide(F.col("own.d"), F.col("own.n") - 1).alias("a"),
+                           F.array_min(F.transform(others, lambda m: m["d"] / m["n"])).alias("b"))
+    a, b = F.col("a"), F.col("b")
+    s = F.when(F.col("n") > 1, F.coalesce(F.try_divide(b - a, F.greatest(a, b)), F.lit(0.0))).otherwise(F.lit(0.0))
+    return scored.groupBy("run").agg(F.avg(s).alias("silhouette"))
+
+
 SCHEMA = "cluster int, position int, feature string, mean double, deviation double, coordinate long"
 
 
