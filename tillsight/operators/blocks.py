@@ -34,10 +34,10 @@ class ProductModel:
 
 def with_months(rows: DataFrame, months: Sequence) -> DataFrame:
     """Add a 0/1 column for each of ``months``."""
-    return rows.withColumns({_month(m): (F.col("YearMonth") == F.lit(m)).cast("double") for m in months})
+    return rows.withColumns({month_name(m): (F.col("YearMonth") == F.lit(m)).cast("double") for m in months})
 
 
-def _month(day) -> str:
+def month_name(day) -> str:
     return f"month_{day:%Y_%m}"
 
 
@@ -76,7 +76,7 @@ def fit_by_products(train: DataFrame, features: Sequence[str], alpha: float, lab
     months = [r["YearMonth"] for r in train.select("YearMonth").distinct().orderBy("YearMonth").collect()]  # bounded by time
     if not months:
         raise ValueError("a linear model needs training rows")
-    columns = [*features, *[_month(m) for m in months]]
+    columns = [*features, *[month_name(m) for m in months]]
     rows = with_months(train, months).select("StockCode", *[dbl(c).alias(c) for c in [*columns, label]])
     moments = block_moments(rows.withColumn("block", F.lit(0)), columns, label)
     sums = stage(product_sums(rows, columns, moments.origin, label), "product_sums")
