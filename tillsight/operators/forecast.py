@@ -15,7 +15,6 @@ import pyarrow as pa
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import OneHotEncoder, StandardScaler, VectorAssembler
 from pyspark.ml.regression import (
-    DecisionTreeRegressor,
     GBTRegressor,
     LinearRegression,
     RandomForestRegressor,
@@ -313,10 +312,12 @@ def compare_models(train: DataFrame, test: DataFrame, features: Sequence[str] =
     """MAE and RMSE of six regressors on the same hold-out.
 
     StockCode and YearMonth enter one-hot, with one column per value of the
-    training rows; a value that these lack is zero in all columns. ``depth`` 30
-    is the deepest tree Spark builds.
+    training rows; a value that these lack is zero in all columns. The single
+    tree grows until no split helps; the forest's trees end at ``depth``, of
+    which 30 is the most that Spark builds.
     """
-    from .blocks import fit_by_products, predicted
+    from . import trees as grown
+    from .blocks import fit_by_products, month_name, predicted, with_months
 
     # least squares and ridge: exact for any number of products
     solved = {name: predicted(fit_by_products(train, features, alpha), test) for name, alpha in (("LinearRegression", LEAST_NORM), ("Ridge", 1.0))}
@@ -324,6 +325,13 @@ def compare_models(train: DataFrame, test: DataFrame, features: Sequence[str] =
     train, test = indexed(
         *[part.withColumn("month_key", F.date_format("YearMonth", "yyyy-MM")) for part in (train, test)], keys
     )
+    months = [r["YearMonth"] for r in train.select("YearMonth").distinct().orderBy("YearMonth").collect()]  # bounded by time
+    columns, seen = [*features, *map(month_name, months)], with_months(train, months)
+    edges = grown.bin_edges(seen, columns)
+    rows = grown.training_rows(seen, columns, edges, "StockCode_index", ["StockCode", "YearMonth"])
+    solved["Decision Tree"] = grown.forest_predictions(
+        grown.grow_forest(rows, len(columns), trees=1), with_months(test, months), columns, edges, "StockCode_index", ["StockCode", "YearMonth"],
+    ).withColumnRenamed("value", "Predicted")
     prepare = Pipeline(stages=[
         OneHotEncoder(inputCols=[f"{c}_index" for c in keys], outputCols=[f"{c}_hot" for c in keys], handleInvalid="keep"),
         VectorAssembler(inputCols=[*features, *[f"{c}_hot" for c in keys]], outputCol="features"),
@@ -336,7 +344,6 @@ def compare_models(train: DataFrame, test: DataFrame, features: Sequence[str] =
     linear = {**common, "standardization": False, "maxIter": iterations}
     estimators = {
         "Lasso": LinearRegression(**linear, regParam=1.0, elasticNetParam=1.0),
-        "Decision Tree": DecisionTreeRegressor(**common, maxDepth=depth, seed=42),
         "Random Forest": RandomForestRegressor(**common, numTrees=trees, maxDepth=depth, seed=42),
         "Gradient Boosting": GBTRegressor(**common, maxIter=rounds, maxDepth=boosted_depth, seed=42),
     }
