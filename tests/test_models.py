@@ -278,6 +278,24 @@ def test_k_means_does_not_depend_on_partitions(t):
     assert (one.centers, one.cost) == (two.centers, two.cost)
 
 
+def test_a_pass_does_not_multiply_the_points(spark, monkeypatch):
+    rng = random.Random(9)
+    rows = [(str(i), rng.randint(-10**9, 10**9), rng.randint(-10**9, 10**9)) for i in range(200)]
+    points = spark.createDataFrame(rows, "id string, x0 long, x1 long").repartition(3)
+    runs = {2: [(0, 0), (10**8, 5)], 3: [(0, 0), (0, 0), (-(10**8), 7)]}
+    plans, collect = [], type(points).collect
+    monkeypatch.setattr(type(points), "collect", lambda df: plans.append(df._jdf.queryExecution().toString()) or collect(df))
+    got = {(r.run, r.cluster): tuple(map(int, r[2:])) for r in kmeans._totals(points, runs)}
+    assert plans and not any("Generate" in p or "lambdafunction" in p for p in plans)
+    want = {}
+    for run, centers in runs.items():
+        for _, *p in rows:
+            cost, c = min((sum((a - b) ** 2 for a, b in zip(p, center)), c) for c, center in enumerate(centers, 1))
+            n, total, squares, x, y = want.get((run, c), (0,) * 5)
+            want[run, c] = (n + 1, total + cost, squares + sum(a * a for a in p), x + p[0], y + p[1])
+    assert got == want and max(w[1] for w in want.values()) > 2**63
+
+
 def test_saved_clustering_labels_as_before(spark, t, tmp_path):
     model = segments.fit_k_means(t.customers, starts=1)
     kmeans.save(spark, model, str(tmp_path / "model"))
