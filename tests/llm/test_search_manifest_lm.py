@@ -293,6 +293,60 @@ def test_scores_without_training_rows_and_without_rows(spark, empty):
     assert ppm.score(empty, F.lit(False)).collect() == []
 
 
+class PlainTextModel(PlainModel):
+    """Contexts that reach back over the words before."""
+
+    def __init__(self, texts, order=ppm.ORDER):
+        self.order, self.counts = order, defaultdict(Counter)
+        for text in texts:
+            for context, symbol in self.events(text):
+                for k in range(len(context) + 1):
+                    self.counts[context[len(context) - k :]][symbol] += 1
+
+    def events(self, text):
+        coded = b" " + b"".join(w + b" " for w in ppm.words_of(text))
+        return [(coded[max(0, p - self.order) : p], s) for p, s in enumerate([*coded[1:], 256], start=1)]
+
+    def score(self, text):
+        return sum(math.log10(self.probability(*e)) for e in self.events(text))
+
+
+def test_stretches_of_a_text_have_its_events(monkeypatch):
+    from tillsight.llm.bpe import to_varint
+
+    rng = random.Random(11)
+    words = [bytes(rng.choices(b"abc\x00\xff", k=rng.randint(1, 9))) for _ in range(30)]
+    coded = [to_varint(np.array(rng.choices(range(30), k=n), np.int64)) for n in (0, 1, 40, 3, 0, 90)]
+
+    def events(block):
+        monkeypatch.setattr(ppm, "BLOCK", block)
+        blocks = [ppm.events_of_texts(pieces)[0] for _, pieces in ppm._stretches(words, coded)]
+        return len(blocks), np.concatenate(blocks).tolist()
+
+    one, many = events(1 << 20), events(16)
+    assert one[0] == 1 and many[0] > 20 and one[1] == many[1]
+
+
+def test_contexts_reach_over_words(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    monkeypatch.setattr(ppm, "PORTION_TEXTS", 9)
+    rng = random.Random(8)
+    texts = [*edge_texts(), *[(100 + k, prose(rng, 40, 300, "wo")) for k in range(40)], (300, "x" * 500), (301, "\x00 \xff é\x85é")]
+    flag = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 1
+    model = PlainTextModel([t for i, t in texts if not held(i)])
+    got, want = defaultdict(list), defaultdict(list)
+    inside = {r.doc_id: r for r in ppm.score(lm_rows(spark, texts), flag).collect()}
+    for r in ppm.score(lm_rows(spark, texts), flag, buckets=7, across=True).collect():
+        got[r.doc_id].append(r.score)
+        assert r.doc_id is None or r.doc_id < 100 or r[1:6] == inside[r.doc_id][1:6]
+    for i, t in texts:
+        want[i].append(model.score(t))
+    assert set(got) == set(want)
+    for i in want:
+        assert sorted(got[i]) == pytest.approx(sorted(want[i]), rel=1e-9)
+
+
 @settings(max_examples=30, deadline=None)
 @given(st.lists(st.text("abc é", max_size=20), min_size=1, max_size=6), st.text("abcdé", max_size=8))
 def test_probabilities_of_a_context_add_up(texts, word):

@@ -8,10 +8,12 @@ the share of distinct symbols (method D). Below the empty context all 256 bytes
 and the end of text are equally likely.
 
 A text is coded as its words in lower case, each closed by a blank, and an end
-symbol. Contexts reach back to the blank before the word, so the code length of
-a word is the same wherever it stands: each distinct word of the corpus is coded
-once. Texts are cut into portions that number their distinct words; words are
-counted and coded globally and their code lengths go back to the portions.
+symbol. Contexts reach back over the words before (``across``): a portion of the
+texts sends each of its distinct events once, with its trained count, and gets
+their code lengths back. Without ``across``, contexts reach back to the blank
+before the word only, so the code length of a word is the same wherever it
+stands: each distinct word of the corpus is coded once. Texts are cut into
+portions that number their distinct words, which are counted globally.
 
 The trie is never in one place. Contexts of three bytes and more are dealt by
 their last three bytes: a context, its longer ones and its shorter ones down to
@@ -26,6 +28,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -43,6 +46,8 @@ PORTION_BYTES = 16 << 20
 PORTION_TEXTS = 50_000
 WORDS = 200_000
 BUCKETS = 1024
+BLOCK = 1 << 20  # bytes of text whose events are in memory at once
+HELD = 2_000_000  # events of blocks that wait for being added up
 _BITS = 9  # of a symbol; a context of six bytes and its length stand above it
 
 
@@ -72,6 +77,43 @@ def events_of(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return depth << (8 * ORDER + _BITS) | context << _BITS | blob[1:], begin
 
 
+def events_of_texts(pieces: list[tuple[bytes, int, bool]], order: int = ORDER) -> tuple[np.ndarray, np.ndarray]:
+    """Events of stretches of coded texts one after the other, and where each stretch's begin; contexts do not end at words.
+
+    A stretch is its bytes, how many leading ones are context only, and whether
+    its last byte stands for the end of the text.
+    """
+    sizes = np.fromiter((len(p[0]) for p in pieces), np.int64, len(pieces))
+    lead = np.fromiter((p[1] for p in pieces), np.int64, len(pieces))
+    ends = np.cumsum(sizes)
+    blob = np.frombuffer(b"".join(p[0] for p in pieces), np.uint8).astype(np.int64)
+    at = np.arange(len(blob)) - np.repeat(ends - sizes, sizes)
+    depth = np.minimum(at, order)
+    events = depth << (8 * ORDER + _BITS)
+    for back in range(min(order, len(blob) - 1)):
+        events[back + 1 :] |= np.where(depth[back + 1 :] > back, blob[: -back - 1] << (8 * back + _BITS), 0)
+    blob[ends[[p[2] for p in pieces]] - 1] = END
+    return (events | blob)[at >= np.repeat(lead, sizes)], np.cumsum(sizes - lead) - (sizes - lead)
+
+
+def _stretches(words: list[bytes], coded: list[bytes]) -> Iterator[tuple[list[int], list[tuple[bytes, int, bool]]]]:
+    """Texts, given as numbers of ``words``, as blocks of stretches for :func:`events_of_texts`, with the place of each one's text."""
+    places, pieces, size = [], [], 0
+    for place, codes in enumerate(coded):
+        own = b" ".join([words[c] for c in from_varint(codes).tolist()])
+        own = b" " + own + b" \0" if own else b" \0"
+        for low in range(0, len(own), BLOCK):
+            piece = own[max(low - ORDER, 0) : low + BLOCK]
+            places.append(place)
+            pieces.append((piece, ORDER if low else 1, low + BLOCK >= len(own)))
+            size += len(piece)
+            if size >= BLOCK:
+                yield places, pieces
+                places, pieces, size = [], [], 0
+    if pieces:
+        yield places, pieces
+
+
 def _length(events: np.ndarray) -> np.ndarray:
     return events >> (8 * ORDER + _BITS)
 
@@ -86,6 +128,12 @@ def buckets_of(events: np.ndarray, buckets: int = BUCKETS) -> np.ndarray:
     return (mixed((_at_order(events, SHARED + 1) >> _BITS).view(np.uint64)) % np.uint64(buckets)).astype(np.int64)
 
 
+def _by_bucket(events: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    """Bucket of each of some ascending events, and their order by bucket and event."""
+    own = buckets_of(events, buckets)
+    return own, np.argsort(own.astype(np.uint16) if buckets <= 1 << 16 else own, kind="stable")  # 16 bits are sorted by radix
+
+
 def summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Distinct keys, ascending, and the sums of their counts."""
     order = np.argsort(keys, kind="stable")
@@ -239,11 +287,46 @@ def _unpacked(batches) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray
             yield name.as_py(), events[order][new], np.add.reduceat(each[order], np.flatnonzero(new)), place
 
 
-def _shared_levels(words: DataFrame, ends: int) -> list[Level]:
+def _portion_events(batches) -> Iterator[tuple[int, np.ndarray, np.ndarray, None]]:
+    """Of each portion of texts: its name, distinct events and their trained counts."""
+    for batch in batches:
+        for name, docs, words in zip(*(batch.column(k) for k in range(3)), strict=True):
+            held, coded = docs.values.field("held_out").to_numpy(zero_copy_only=False), docs.values.field("codes").to_pylist()
+            parts: list[tuple[np.ndarray, np.ndarray]] = []
+            size = 0
+            for places, pieces in _stretches(words.values.field("word").to_pylist(), coded):
+                events, begin = events_of_texts(pieces)
+                trained = np.repeat(~held[places].astype(bool), np.diff(np.append(begin, len(events))))
+                for own, weight in ((events[trained], 1), (events[~trained], 0)):
+                    own = np.sort(own)
+                    new = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]])) if len(own) else np.zeros(0, np.int64)
+                    parts.append((own[new], np.diff(np.append(new, len(own))) * weight))
+                    size += len(new)
+                if size > HELD and len(parts) > 8:
+                    parts, size = [summed(*map(np.concatenate, zip(*parts, strict=True)))], 0
+            yield name.as_py(), *summed(np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])), None
+
+
+def _portion_grams(batches) -> Iterator[tuple[int, np.ndarray, np.ndarray, None]]:
+    """The trained events of each portion with contexts of up to ``SHARED`` bytes; these fit in 32 bits."""
+    for batch in batches:
+        for name, docs, words in zip(*(batch.column(k) for k in range(3)), strict=True):
+            held, coded = docs.values.field("held_out").to_pylist(), docs.values.field("codes").to_pylist()
+            coded = [c for c, out in zip(coded, held, strict=True) if not out]
+            for _, pieces in _stretches(words.values.field("word").to_pylist(), coded):
+                events = events_of_texts(pieces, SHARED)[0]
+                grams = np.sort((_length(events) << (8 * SHARED + _BITS) | _at_order(events, SHARED)).astype(np.int32))
+                new = np.flatnonzero(np.concatenate([[True], grams[1:] != grams[:-1]]))
+                kinds, counts = grams[new].astype(np.int64), np.diff(np.append(new, len(grams)))
+                low = kinds & ((1 << (8 * SHARED + _BITS)) - 1)
+                yield name.as_py(), (kinds >> (8 * SHARED + _BITS)) << (8 * ORDER + _BITS) | low, counts, None
+
+
+def _shared_levels(rows: DataFrame, ends: int, unpacked=_unpacked) -> list[Level]:
     """Levels of orders 0 to 2, with ``ends`` ends of text behind a blank; their number of counts is bounded by the alphabet."""
     def count(batches):
         found: dict[int, list] = {k: [] for k in range(SHARED + 1)}
-        for _, events, counts, _ in _unpacked(batches):
+        for _, events, counts, _ in unpacked(batches):
             for order in found:
                 use = (_length(events) >= order) & (counts > 0)
                 found[order].append(summed(_at_order(events[use], order), counts[use]))
@@ -252,7 +335,7 @@ def _shared_levels(words: DataFrame, ends: int) -> list[Level]:
                 keys, counts = summed(np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts]))
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(keys), order)), pa.array(keys), pa.array(counts)], names=["level", "event", "n"])
 
-    rows = words.mapInArrow(count, "level long, event long, n long").groupBy("level", "event").agg(F.sum("n").alias("n")).collect()
+    rows = rows.mapInArrow(count, "level long, event long, n long").groupBy("level", "event").agg(F.sum("n").alias("n")).collect()
     out: list[Level] = []
     for order in range(SHARED + 1):
         keys = [r["event"] for r in rows if r["level"] == order]
@@ -264,17 +347,14 @@ def _shared_levels(words: DataFrame, ends: int) -> list[Level]:
     return out
 
 
-def _coded(words: DataFrame, shared, buckets: int) -> DataFrame:
-    """word, times, log10p of every word of the batches."""
+def _dealt(rows: DataFrame, buckets: int, unpacked=_unpacked) -> DataFrame:
+    """bucket, batch, events, counts: the distinct events of each batch, by the last three bytes of their contexts."""
     sent = pa.schema([("bucket", pa.int64()), ("batch", pa.int64()), ("events", pa.binary()), ("counts", pa.binary())])
-    back = pa.schema([("batch", pa.int64()), ("events", pa.binary()), ("log10p", pa.binary())])
-    done = pa.schema([("word", pa.binary()), ("times", pa.int64()), ("log10p", pa.float64())])
 
     @tidy
     def deal(batches):
-        for name, events, counts, _ in _unpacked(batches):
-            own = buckets_of(events, buckets)
-            order = np.argsort(own, kind="stable")
+        for name, events, counts, _ in unpacked(batches):
+            own, order = _by_bucket(events, buckets)
             cuts = np.append(np.flatnonzero(np.concatenate([[True], np.diff(own[order]) > 0])), len(order))
             for a in range(0, len(cuts) - 1, 64):
                 parts = [order[i:j] for i, j in zip(cuts[a : a + 64], cuts[a + 1 : a + 65], strict=False)]
@@ -282,6 +362,13 @@ def _coded(words: DataFrame, shared, buckets: int) -> DataFrame:
                     [pa.array([int(own[p[0]]) for p in parts]), pa.array([name] * len(parts)),
                      pa.array([events[p].tobytes() for p in parts]), pa.array([counts[p].tobytes() for p in parts])], schema=sent)
 
+    return rows.mapInArrow(deal, "bucket long, batch long, events binary, counts binary")
+
+
+def _code_lengths(dealt: DataFrame, shared) -> DataFrame:
+    """batch, bucket, log10p of all dealt events in their order; the counts of a bucket's batches are added up first."""
+    back = pa.schema([("batch", pa.int64()), ("bucket", pa.int64()), ("log10p", pa.binary())])
+
     @tidy
     def code(batches):
         low = shared.value
@@ -293,35 +380,49 @@ def _coded(words: DataFrame, shared, buckets: int) -> DataFrame:
             for a in range(0, len(parts), 64):
                 own = parts[a : a + 64]
                 yield pa.RecordBatch.from_arrays(
-                    [table.column("batch").slice(a, 64).combine_chunks(), pa.array([p.tobytes() for p in own]),
+                    [*(table.column(c).slice(a, 64).combine_chunks() for c in ("batch", "bucket")),
                      pa.array([found[np.searchsorted(events, p)].tobytes() for p in own])], schema=back)
 
+    return dealt.repartition("bucket").sortWithinPartitions("bucket", "batch").mapInArrow(code, "batch long, bucket long, log10p binary")
+
+
+def _code_lengths_of(events: np.ndarray, buckets: int, coded: pa.Table) -> np.ndarray:
+    """Code lengths of the ascending events of a batch, from its rows of :func:`_code_lengths`."""
+    coded = coded.sort_by("bucket")
+    found = np.frombuffer(b"".join(coded.column("log10p").to_pylist()), np.float64)
+    if len(found) != len(events):
+        raise RuntimeError("a batch of words or a portion of texts changed")
+    out = np.empty(len(events))
+    out[_by_bucket(events, buckets)[1]] = found
+    return out
+
+
+def _coded(words: DataFrame, shared, buckets: int) -> DataFrame:
+    """word, times, log10p of every word of the batches."""
+    done = pa.schema([("word", pa.binary()), ("times", pa.int64()), ("log10p", pa.float64())])
+
     def gather(own: pa.Table, coded: pa.Table) -> pa.Table:
         out = []
-        events = np.frombuffer(b"".join(coded.column("events").to_pylist()), np.int64)
-        order = np.argsort(events)
-        value = np.frombuffer(b"".join(coded.column("log10p").to_pylist()), np.float64)[order]
         for part in own.to_batches():
             for row, (_, found, _, place) in enumerate(_unpacked([part])):
-                if len(found) != len(order):
-                    raise RuntimeError("a batch of words changed")
+                value = _code_lengths_of(found, buckets, coded)
                 listed = part.column("words")[row].as_py()
                 sizes = np.fromiter(map(len, listed), np.int64, len(listed)) + 1
                 total = np.add.reduceat(value[place], np.cumsum(sizes) - sizes)
                 out.append(pa.Table.from_arrays([pa.array(listed, pa.binary()), pa.array(np.frombuffer(part.column("times")[row].as_py(), np.int64)), pa.array(total)], schema=done))
         return pa.concat_tables(out) if out else done.empty_table()
 
-    dealt = words.mapInArrow(deal, "bucket long, batch long, events binary, counts binary")
-    coded = dealt.repartition("bucket").sortWithinPartitions("bucket", "batch").mapInArrow(code, "batch long, events binary, log10p binary")
+    coded = _code_lengths(_dealt(words, buckets), shared)
     return words.groupBy("batch").cogroup(coded.groupBy("batch")).applyInArrow(gather, "word binary, times long, log10p double")
 
 
-def score(df: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: str = "text", buckets: int = BUCKETS) -> DataFrame:
+def score(df: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: str = "text", buckets: int = BUCKETS, across: bool = False) -> DataFrame:
     """One row per row: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score.
 
     The model learns from all rows that are not ``held_out`` (NULL: learns) and
     scores every row. ``score`` is the log10 probability of the text: of its
-    lower-case words in their order and of its end. ``base_score`` is that of a
+    lower-case words in their order and of its end; a symbol's context is what
+    stands before it in the text if ``across``, else in its word. ``base_score`` is that of a
     unigram model of words with half a count added; tokens are words and one end.
     A NULL text is empty and has the end only; rows that repeat others count each.
     Without training rows all symbols are equally likely.
@@ -331,14 +432,20 @@ def score(df: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: str
                      F.coalesce(held_out, F.lit(False)).alias("held_out"))
     portions = stage(_portions(docs), "portions")
     spots = portions.select("portion", F.posexplode("words").alias("number", "own")).select("portion", "number", "own.word", "own.times")
-    words = stage(_word_batches(spots.groupBy("word").agg(F.sum("times").alias("times"))), "word_batches")
+    counted = spots.groupBy("word").agg(F.sum("times").alias("times"))
     ends = portions.select(F.size(F.filter("docs", lambda d: ~d["held_out"])).alias("n")).agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    levels = _shared_levels(words, ends)
-    shared = spark.sparkContext.broadcast(levels)
-    coded = stage(_coded(words, shared, buckets), "coded_words")
+    if across:
+        shared = spark.sparkContext.broadcast(_shared_levels(portions, 0, _portion_grams))
+        lengths = _code_lengths(_dealt(portions, buckets, _portion_events), shared)
+        coded, end = stage(counted.withColumn("log10p", F.lit(0.0)), "counted_words"), 0.0
+    else:
+        words = stage(_word_batches(counted), "word_batches")
+        levels = _shared_levels(words, ends)
+        shared = spark.sparkContext.broadcast(levels)
+        coded, lengths = stage(_coded(words, shared, buckets), "coded_words"), None
+        end = float(log10_probabilities(np.array([1 << (8 * ORDER + _BITS) | BLANK << _BITS | END]), levels)[0])
     trained, distinct = coded.agg(F.coalesce(F.sum("times"), F.lit(0)), F.count_if(F.col("times") > 0)).first()
     tokens, kinds = trained + ends, distinct + bool(ends)
-    end = float(log10_probabilities(np.array([1 << (8 * ORDER + _BITS) | BLANK << _BITS | END]), levels)[0])
     out = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()),
                      ("train_tokens", pa.int64()), ("base_score", pa.float64()), ("score", pa.float64())])
 
@@ -346,17 +453,44 @@ def score(df: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: str
         return np.log10((times + 0.5) / (tokens + 0.5 * (kinds + 1)))
 
     def total(own: pa.Table, known: pa.Table) -> pa.Table:
+        if across:
+            sent, known = known.filter(pc.is_valid(known.column("bucket"))), known.filter(pc.is_null(known.column("bucket")))
         number = known.column("number").to_numpy()
         times, bits = np.zeros(len(number), np.int64), np.zeros(len(number))
         times[number], bits[number] = known.column("times").to_numpy(), known.column("log10p").to_numpy()
         unigram, rows = base(times), []
-        for group in own.column("docs"):
-            for doc in group:
-                codes = from_varint(doc["codes"].as_py())
+        for row, group in enumerate(own.column("docs")):
+            coded = group.values.field("codes").to_pylist()
+            scores = [float(bits[from_varint(c)].sum() + end) for c in coded] if not across else text_scores(
+                own.column("words")[row].values.field("word").to_pylist(), coded, buckets, sent)
+            for doc, raw, score in zip(group, coded, scores, strict=True):
+                codes = from_varint(raw)
                 rows.append((doc["doc_id"].as_py(), doc["held_out"].as_py(), len(codes) + 1, int((times[codes] > 0).sum()) + bool(ends), tokens,
-                             math.fsum([unigram[codes].sum(), base(ends)]), float(bits[codes].sum() + end)))
+                             math.fsum([unigram[codes].sum(), base(ends)]), score))
         return pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), out, strict=True)], schema=out)
 
     numbered = spots.select(F.col("portion").alias("home"), "number", "word").join(coded, "word").select("home", "number", "times", "log10p")
-    return portions.select("portion", "docs").groupBy("portion").cogroup(numbered.groupBy("home")).applyInArrow(
+    if across:
+        numbered = numbered.unionByName(lengths.select(F.col("batch").alias("home"), "bucket", F.col("log10p").alias("lengths")), allowMissingColumns=True)
+    return portions.select("portion", "docs", *["words"] * across).groupBy("portion").cogroup(numbered.groupBy("home")).applyInArrow(
         total, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
+
+
+def _distinct(events: np.ndarray) -> np.ndarray:
+    events = np.sort(events)
+    return events[np.concatenate([[True], events[1:] != events[:-1]])]
+
+
+def text_scores(words: list[bytes], coded: list[bytes], buckets: int, sent: pa.Table) -> list[float]:
+    """Log10 probabilities of the texts of a portion, given as numbers of ``words``, from the code lengths of its events."""
+    out = np.zeros(len(coded))
+    events = _distinct(np.concatenate([_distinct(events_of_texts(pieces)[0]) for _, pieces in _stretches(words, coded)]))
+    value = _code_lengths_of(events, buckets, sent.select(["bucket", "lengths"]).rename_columns(["bucket", "log10p"]))
+    for places, pieces in _stretches(words, coded):
+        own, begin = events_of_texts(pieces)
+        order = np.argsort(own)
+        new = np.concatenate([[True], own[order][1:] != own[order][:-1]])
+        found = np.empty(len(own))
+        found[order] = value[np.searchsorted(events, own[order][new])][np.cumsum(new) - 1]
+        np.add.at(out, places, np.add.reduceat(found, begin))
+    return out.tolist()

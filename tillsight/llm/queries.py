@@ -99,7 +99,7 @@ def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op13_ppm(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ppm.score(table(spark, sf_dir, "documents"), F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 1)
+    return ppm.score(table(spark, sf_dir, "documents"), F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 1, across=True)
 
 
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
