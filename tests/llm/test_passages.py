@@ -166,3 +166,29 @@ def test_edited_passages_of_known_sentences(spark):
             want.add((at + 5, at + 4))
     got = {(d, f) for d, f, _, _ in found(spark, texts)}
     assert len(want) > 20 and len(got & want) >= 0.98 * len(want)
+
+
+def test_passages_that_the_first_document_has_in_part(spark):
+    """Later documents share a passage of 50 to 80 words of which earlier ones have all but a few words, so that these have every signature."""
+    rng = random.Random(17)
+    fresh = lambda n: prose(rng, n, 10**9, "x").split()
+    texts, want = [], []
+    for k in range(60):
+        passage = prose(rng, 50 + k % 31, 10**9, "p").split()
+        texts += [fresh(30) + part + fresh(30) for part in (passage[:46], passage[-46:], passage[2:48])]
+        at = len(texts)
+        texts += [fresh(20) + passage + fresh(30), fresh(30) + passage + fresh(20), fresh(25) + passage + fresh(25)]
+        want += [(at + 1, at, 30, 30 + len(passage)), (at + 2, at, 25, 25 + len(passage))]
+    got = found(spark, texts)
+    whole = {(d, s, e) for d, _, s, e in got}
+    assert all((d, s, e) in whole for d, _, s, e in want)
+    assert sum(w in got for w in want) >= 0.98 * len(want)
+
+
+def test_a_common_stretch_joins_no_others(spark):
+    """Hundreds of documents with the same 45 words are one class that goes no further; the few that have more of them in common are found."""
+    rng = random.Random(18)
+    fresh = lambda n: prose(rng, n, 10**9, "x").split()
+    line, tail = prose(rng, 45, 10**9, "p").split(), prose(rng, 20, 10**9, "q").split()
+    texts = [fresh(20 + k % 7) + line + (tail if k % 100 == 99 else []) + fresh(30) for k in range(400)]
+    assert found(spark, texts) == [(k, 99, 20 + k % 7, 85 + k % 7) for k in (199, 299, 399)]

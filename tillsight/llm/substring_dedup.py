@@ -8,6 +8,11 @@ leaves about two per that many words. A document that shares the signature of
 a window is compared whole with the first document that has it: equal runs of
 tokens are chained, so every copy of a passage is found, and the stretches of a
 chain are verified by their shingle sets.
+
+Where no passage found covers the place of a signature, the other earlier
+documents that have it are gone through, smallest first, until one does. They
+meet in blocks with all documents of the same first one, and only those are
+compared whole of whose tokens the place has enough around it.
 """
 
 from __future__ import annotations
@@ -24,6 +29,7 @@ from .words import SHINGLE, Hasher, free_names, mixed, portions, remembered, spl
 
 WORDS = 50
 CONTEXT = 4
+BLOCK = 2 << 20  # characters of text on either side that meet in one task where the first document has not got the passage
 RECALL = 0.998
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -81,8 +87,15 @@ def _doubled(tokens: np.ndarray, length: int) -> tuple[np.ndarray, int]:
     return tokens, size
 
 
+def _extents(least: int, context: int) -> list[int]:
+    """Tokens that a signature stands for, of both kinds."""
+    return [min(n, least // 2) + 1 for n in (2 * context, least // 2)]
+
+
 def _windows(docs: DataFrame, words: int, hashes: int, context: int, batch_tokens: int = 1 << 18) -> DataFrame:
-    """key, doc_id: the signatures of each document's windows, once each.
+    """key, doc_id, place: the signatures of each document's windows, once at each place.
+
+    ``place`` is twice the first token of the signature's extent, plus its kind.
 
     A signature is the MinHash token with the 2 x ``context`` tokens on one
     side, so that a short line that thousands of documents share does not bring
@@ -91,37 +104,41 @@ def _windows(docs: DataFrame, words: int, hashes: int, context: int, batch_token
     that has only a sentence of it, the token stands with half a shortest
     passage on either side too; a window holds one of the two.
     """
-    schema = pa.schema([("key", pa.int64()), ("doc_id", pa.int64())])
+    schema = pa.schema([("key", pa.int64()), ("doc_id", pa.int64()), ("place", pa.int32())])
     least, stretch = words - SHINGLE + 1, 1 << 23
     seeds = mixed(np.arange(71, 71 + hashes, dtype=np.uint64))
-    lengths = [min(n, least // 2) + 1 for n in (2 * context, least // 2)]
+    lengths = _extents(least, context)
 
-    def emit(ids: list[int], parts: list[np.ndarray]):
+    def emit(ids: list[int], parts: list[np.ndarray], offsets: list[int]):
         tokens = np.concatenate(parts)
         sizes = np.array([len(p) for p in parts], np.int64)
         ends = np.cumsum(sizes)
         starts = ends - sizes
-        doc = np.array(ids, np.int64)
-        centers, keys = [], []
+        doc, offset = np.array(ids, np.int64), np.array(offsets, np.int64)
+        centers, keys, kinds = [], [], []
         doubled = [_doubled(tokens, length) for length in lengths]
         for seed in seeds:
             left, center, right = compact_windows(mixed(tokens ^ seed), starts, ends, least)
-            for (runs, size), length in zip(doubled, lengths, strict=True):
+            for kind, ((runs, size), length) in enumerate(zip(doubled, lengths, strict=True)):
                 for at in (center[right - center >= length], center[center - left >= length - 1] - length + 1):
                     centers.append(at)
                     keys.append(mixed(runs[at] + mixed(runs[at + length - size])))
-        owner, key = np.searchsorted(ends, np.concatenate(centers), side="right"), np.concatenate(keys)
-        tag = key ^ mixed(owner + 1)  # each signature once a document
+                    kinds.append(np.full(len(at), kind, np.int64))
+        at, key, kind = np.concatenate(centers), np.concatenate(keys), np.concatenate(kinds)
+        owner = np.searchsorted(ends, at, side="right")
+        place = 2 * (at - starts[owner] + offset[owner]) + kind
+        tag = 2 * at + kind  # each place once
         order = np.argsort(tag)
         first = np.ones(len(order), bool)
         first[1:] = np.diff(tag[order]) != 0
         kept = order[first]
         kept = kept[np.argsort(owner[kept], kind="stable")]
-        yield pa.RecordBatch.from_arrays([pa.array(key[kept].view(np.int64)), pa.array(doc[owner[kept]])], schema=schema)
+        columns = [key[kept].view(np.int64), doc[owner[kept]], place[kept].astype(np.int32)]
+        yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], schema=schema)
 
     @tidy
     def windows(batches):
-        hasher, held, size = remembered("hashes", Hasher), ([], []), 0
+        hasher, held, size = remembered("hashes", Hasher), ([], [], []), 0
         for batch in (part for whole in batches for part in portions(whole)):
             listed = [split_words(t) for t in batch.column(1).to_pylist()]
             for i, tokens in zip(batch.column(0).to_pylist(), hasher.shingles_of(listed), strict=True):
@@ -132,14 +149,14 @@ def _windows(docs: DataFrame, words: int, hashes: int, context: int, batch_token
                     part = tokens[at : at + stretch]
                     if size + len(part) > stretch or size >= batch_tokens:
                         yield from emit(*held)
-                        held, size = ([], []), 0
-                    for column, value in zip(held, (i, part), strict=True):
+                        held, size = ([], [], []), 0
+                    for column, value in zip(held, (i, part, at), strict=True):
                         column.append(value)
                     size += len(part)
         if size:
             yield from emit(*held)
 
-    return docs.mapInArrow(windows, "key long, doc_id long")
+    return docs.mapInArrow(windows, "key long, doc_id long, place int")
 
 
 def _folded(tokens: np.ndarray, longest: int = 64) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -335,21 +352,149 @@ def repeated_passages(df: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """
     docs = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     windows = stage(_windows(docs, words, hashes, context), "windows")
-    first = windows.groupBy("key").agg(F.min("doc_id").alias("first_doc_id"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
-    first = stage(first, "first_windows")  # both sides of the join are then plain shuffles, which split a hot signature
-    links = windows.join(first, "key").filter("doc_id <> first_doc_id")
-    pairs = links.groupBy("doc_id", "first_doc_id").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= agree).drop("n")
-    pairs = stage(pairs, "window_pairs")  # what found them can go before texts are joined
+    first = windows.groupBy("key").agg(F.min("doc_id").alias("first_doc_id"), F.max("doc_id").alias("last"), F.count(F.lit(1)).alias("n"))
+    first = stage(first.filter("first_doc_id < last").drop("last"), "first_windows")  # both sides of the join are then plain shuffles, which split a hot signature
+    shared = stage(windows.join(first, "key"), "shared_windows")
     release(windows)
     release(first)
+    links = shared.filter("doc_id <> first_doc_id")
+    links = links.groupBy("doc_id", "first_doc_id", "key").agg(F.count(F.lit(1)).alias("places")) if agree > 1 else links
+    pairs = links.groupBy("doc_id", "first_doc_id").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= agree).drop("n")
+    pairs = stage(pairs, "window_pairs")  # what found them can go before texts are joined
     texts = docs.filter("doc_id IS NOT NULL AND text IS NOT NULL").select("doc_id", "text")
+    least, lengths = words - SHINGLE + 1, _extents(words - SHINGLE + 1, context)
+    found = stage(_compared(pairs, texts, least, similarity), "pair_passages")
+    # a signature of two rows is done; of more, the places that no passage covers go on
+    members = shared.filter("n > 2 AND doc_id <> first_doc_id").drop("n")
+    members = stage(_with_open(members, found, lengths), "window_members")
+    release(shared)
+    more = stage(_gone_on(members, texts, least, similarity, lengths, agree), "later_passages")
+    release(members)
+    return _merged(found.unionByName(more))
+
+
+def _with_open(members: DataFrame, found: DataFrame, lengths: list[int]) -> DataFrame:
+    """``members`` (key, doc_id, place, first_doc_id) with ``open``: no passage of ``found`` covers the extent."""
+    spans = found.groupBy("doc_id").agg(F.collect_set(F.struct("start_word", "end_word")).alias("spans"))
+    at, kind = F.floor(F.col("place") / 2), F.col("place") % 2
+    end = at + F.when(kind == 1, lengths[1]).otherwise(lengths[0]) + SHINGLE - 1
+    inside = F.exists("spans", lambda s: (s["start_word"] <= at) & (s["end_word"] >= end))
+    return members.join(spans, "doc_id", "left").withColumn("open", ~F.coalesce(inside, F.lit(False))).drop("spans")
+
+
+def _bearing(shared: np.ndarray, again: np.ndarray, least: int, similarity: float) -> np.ndarray:
+    """End of the farthest stretch from any place up to each on that may be a passage, 0 if there is none.
+
+    Such a stretch begins and ends with shared tokens, and of its tokens at
+    least the share ``similarity`` is shared; those that stood before
+    (``again``) are not held against it, as passages are sets.
+    """
+    n = len(shared)
+    score = np.concatenate([[0.0], (1 - similarity) * np.cumsum(shared) - similarity * np.cumsum(~(shared | again))])
+    best = np.maximum.accumulate(score[::-1])[::-1]
+    far = np.searchsorted(-best, 1e-6 - score[:-1], "right") - 1
+    last = np.concatenate([[0], np.maximum.accumulate(np.where(shared, np.arange(1, n + 1), 0))])
+    return np.maximum.accumulate(np.where(shared & (last[far] - np.arange(n) >= least), last[far], 0))
+
+
+def _gone_on(members: DataFrame, texts: DataFrame, least: int, similarity: float, lengths: list[int], agree: int) -> DataFrame:
+    """The passages (columns ``SPANS``) at open places of ``members`` that an earlier member of the signature has, other than the first.
+
+    All members under the same first document meet once, in pairs of blocks.
+    """
+    keys = members.filter("open").select("key").distinct()
+    held = members.join(keys, "key", "left_semi").groupBy("first_doc_id", "doc_id").agg(
+        F.collect_set(F.struct("key", F.expr("IF(open, place, -1)").alias("place"))).alias("members"))
+    sizes = texts.select("doc_id", F.length("text").alias("size")).distinct()
+    held = held.join(sizes.hint("merge"), "doc_id")
+    many = held.groupBy("first_doc_id").agg(F.ceil(F.sum("size") / BLOCK).cast("int").alias("blocks"), F.count(F.lit(1)).alias("n"))
+    dealt = held.drop("size").join(many.filter("n > 1").drop("n"), "first_doc_id").withColumn("block", F.expr("CAST(pmod(xxhash64(doc_id), blocks) AS INT)"))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    dealt = dealt.hint("merge").join(texts, "doc_id").groupBy("first_doc_id", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"))
+    dealt = dealt.agg(F.collect_list(F.struct("doc_id", "block", "members", "text")).alias("docs"))
+    names, types = _span_columns()
+
+    def passages_of(listed: list[dict], within: bool, hasher: Hasher):
+        docs = sorted({d["doc_id"]: d for d in listed}.values(), key=lambda d: d["doc_id"])  # a repeated id repeats the text
+        hashed = hasher.shingles_of([split_words(d["text"]) for d in docs])
+        values, first, code = np.unique(np.concatenate(hashed), return_index=True, return_inverse=True)
+        ends = np.cumsum([len(h) for h in hashed])
+        earliest = np.searchsorted(ends, first, side="right")  # the first document that has a token
+        holders: dict[int, set[int]] = {}
+        for k, doc in enumerate(docs):
+            for m in doc["members"]:
+                holders.setdefault(m["key"], set()).add(k)
+        marked, sequences = np.zeros(len(values), bool), {}
+        for k, doc in enumerate(docs):
+            places: dict[int, list[int]] = {}
+            for m in doc["members"]:
+                if m["place"] >= 0:
+                    places.setdefault(m["key"], []).append(m["place"])
+            if not places:
+                continue
+            own = code[ends[k] - len(hashed[k]) : ends[k]]
+            again = np.ones(len(own), bool)
+            again[np.unique(own, return_index=True)[1]] = False
+            bearing = _bearing(earliest[own] < k, again, least, similarity)
+            candidates: dict[int, list[np.ndarray]] = {}
+            for key, listed_places in places.items():
+                place = np.array(listed_places)
+                at = place // 2
+                extent = np.stack([at, at + np.where(place % 2 == 1, lengths[1], lengths[0])])
+                extent = extent[:, bearing[extent[0]] >= extent[1]]
+                if extent.size:
+                    for other in holders[key]:
+                        if other < k and (within or docs[other]["block"] != doc["block"]):
+                            candidates.setdefault(other, []).append(extent)
+            covered = np.zeros(len(own), np.int64)  # end of the farthest passage found from any place up to each on
+            for other in sorted(candidates):
+                if len(candidates[other]) < agree:
+                    continue
+                start, end = np.concatenate(candidates[other], axis=1)
+                left = covered[start] < end
+                if not left.any():
+                    continue
+                theirs = code[ends[other] - len(hashed[other]) : ends[other]]
+                marked[theirs] = True
+                bearing = _bearing(marked[own], again, least, similarity)
+                marked[theirs] = False
+                if not (left & (bearing[start] >= end)).any():
+                    continue
+                for d in (other, k):
+                    if d not in sequences:
+                        sequences[d] = Sequence(hashed[d])
+                for row in _passages(doc["doc_id"], docs[other]["doc_id"], sequences[other], sequences[k], doc["text"], least, similarity):
+                    yield row
+                    covered[row[1]] = max(covered[row[1]], row[2] - SHINGLE + 1)
+                covered = np.maximum.accumulate(covered)
+
+    @tidy
+    def go_on(batches):
+        hasher = remembered("hashes", Hasher)
+        for batch in batches:
+            rows = []
+            for k in range(batch.num_rows):
+                low, high, listed = (batch.column(c)[k].as_py() for c in (0, 1, 2))
+                rows += passages_of(listed, low == high, hasher)
+            yield pa.RecordBatch.from_arrays([pa.array([r[c] for r in rows], t) for c, t in enumerate(types)], names=names)
+
+    return dealt.select("low", "high", "docs").mapInArrow(go_on, SPANS)
+
+
+def _passages(doc: int, origin: int, one: Sequence, two: Sequence, text: str, least: int, similarity: float) -> list[tuple]:
+    """Rows of ``SPANS``: the passages of document ``origin`` in ``doc``."""
+    found = aligned(one, two, least, similarity)
+    spans = word_spans(text) if found else None
+    return [(doc, s, e + SHINGLE - 1, int(spans[s][0]), int(spans[e + SHINGLE - 2][1]), origin, p, q + SHINGLE - 1, value) for p, q, s, e, value in found]
+
+
+def _compared(pairs: DataFrame, texts: DataFrame, least: int, similarity: float) -> DataFrame:
+    """The passages (columns ``SPANS``) of the first document in the other, for each pair of documents."""
     # pairs are small on small inputs only: the hint keeps one plan for all sizes
     both = pairs.hint("merge").join(texts, "doc_id").join(
         texts.select(F.col("doc_id").alias("first_doc_id"), F.col("text").alias("first_text")), "first_doc_id")
     both = both.select("doc_id", "first_doc_id", "text", "first_text")
-    least = words - SHINGLE + 1
-    names = [c.split()[0] for c in SPANS.split(", ")]
-    types = [pa.float64() if c.endswith("double") else pa.int64() for c in SPANS.split(", ")]
+    names, types = _span_columns()
 
     @tidy
     def verify(batches):
@@ -361,13 +506,20 @@ def repeated_passages(df: DataFrame, id_col: str = "doc_id", text_col: str = "te
             hashed = hasher.shingles_of([split_words(t) for t in known.values()])
             tokens = {doc: Sequence(h) for doc, h in zip(known, hashed, strict=True)}
             for k, (doc, origin) in enumerate(zip(docs, origins, strict=True)):
-                spans = None
-                for p, q, s, e, value in aligned(tokens[origin], tokens[doc], least, similarity):
-                    spans = word_spans(texts[k]) if spans is None else spans
-                    rows.append((doc, s, e + SHINGLE - 1, int(spans[s][0]), int(spans[e + SHINGLE - 2][1]), origin, p, q + SHINGLE - 1, value))
+                rows += _passages(doc, origin, tokens[origin], tokens[doc], texts[k], least, similarity)
             yield pa.RecordBatch.from_arrays([pa.array([r[c] for r in rows], t) for c, t in enumerate(types)], names=names)
 
-    found = both.mapInArrow(verify, SPANS)
+    return both.mapInArrow(verify, SPANS)
+
+
+def _span_columns() -> tuple[list[str], list[pa.DataType]]:
+    names = [c.split()[0] for c in SPANS.split(", ")]
+    return names, [pa.float64() if c.endswith("double") else pa.int64() for c in SPANS.split(", ")]
+
+
+def _merged(found: DataFrame) -> DataFrame:
+    """One row for overlapping passages of a document."""
+    names, types = _span_columns()
     per_doc = found.groupBy("doc_id").agg(F.array_sort(F.collect_set(F.struct(*names[1:]))).alias("spans"))
 
     def merge(batches):
