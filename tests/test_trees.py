@@ -127,3 +127,25 @@ def test_missing_values_go_left_and_equal_labels_stay_whole(spark):
     edges = trees.bin_edges(df, COLUMNS)
     told = told_by(trees.grow_forest(trees.training_rows(df, COLUMNS, edges, "p", KEYS), 2, 1), df, edges)
     assert told == {(1, 0): 5.0, (2, 0): 9.0, (3, 0): 9.0}
+
+
+@pytest.mark.parametrize("weights", [1, 3])
+def test_splitting_off_one_product_after_another_reads_few_rows(monkeypatch, weights):
+    """1,500 levels: the sums of the many rows left are not taken anew at each."""
+    n, read, bincount = 1_500, [], np.bincount
+    monkeypatch.setattr(np, "bincount", lambda x, *more: read.append(len(x)) or bincount(x, *more))
+    y = np.rint(1.008 ** np.arange(n) * 1_000).astype(np.int64)
+    bins, code = np.ones((n, 2), dtype=np.uint8), np.arange(n) * 7
+    tree = trees.grown(bins, code, np.full(n, weights), y)
+    told = np.asarray(tree.value)[tree.route(bins, code)]
+    assert (abs(told - y) <= 0.5).mean() > 0.9  # equal labels stay together
+    assert sum(read) < 20 * n * bins.shape[1]
+
+
+def test_blocks_of_rows_change_no_tree(monkeypatch):
+    rng = np.random.default_rng(3)
+    bins, code, w = rng.integers(0, 30, (900, 3)).astype(np.uint8), rng.integers(0, 50, 900), rng.integers(1, 4, 900)
+    y = np.rint(rng.normal(size=900) * 1_000 + bins[:, 0].astype(int) * 300).astype(np.int64)
+    at_once = trees.grown(bins, code, w, y, 2)
+    monkeypatch.setattr(trees, "TAKEN", 37)
+    assert trees.grown(bins, code, w, y, 2) == at_once
