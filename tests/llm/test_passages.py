@@ -192,3 +192,42 @@ def test_a_common_stretch_joins_no_others(spark):
     line, tail = prose(rng, 45, 10**9, "p").split(), prose(rng, 20, 10**9, "q").split()
     texts = [fresh(20 + k % 7) + line + (tail if k % 100 == 99 else []) + fresh(30) for k in range(400)]
     assert found(spark, texts) == [(k, 99, 20 + k % 7, 85 + k % 7) for k in (199, 299, 399)]
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_needed_spans_join_as_all_do(seed):
+    """Any part of the spans may be cut to its needed ones; the joined spans stay, with their first documents."""
+    rng = random.Random(seed)
+    for _ in range(300):
+        spans = []
+        for _ in range(rng.randrange(1, 30)):
+            start = rng.randrange(60)
+            end = start + rng.randrange(1, 15)
+            spans.append((start, end, 5 * start, 5 * end, rng.randrange(5), rng.randrange(9), rng.randrange(9), 0.9))
+        cut = rng.randrange(len(spans) + 1)
+        parts = [substring_dedup.needed_spans(spans[:cut]), substring_dedup.needed_spans(spans[cut:])]
+        whole = substring_dedup.merged_spans(list(set(spans)))
+        assert substring_dedup.merged_spans(list({*parts[0], *parts[1]})) == whole
+        assert substring_dedup.needed_spans(substring_dedup.needed_spans(spans)) == substring_dedup.needed_spans(spans)
+        assert len(parts[0]) <= 2 * len(spans[:cut])
+
+
+def test_later_passages_are_few_rows(spark, monkeypatch):
+    """A group of which each document has a passage of every other, beside a sentence that none of these covers: rows follow the documents, not their pairs."""
+    rng = random.Random(19)
+    fresh = lambda n: prose(rng, n, 10**9, "x").split()
+    line, passage = prose(rng, 24, 10**9, "p").split(), prose(rng, 80, 10**9, "q").split()
+    texts = [fresh(60) + line + fresh(60), *(fresh(60) + line + fresh(9) + passage + fresh(30) for _ in range(60))]
+    rows, plans, stage = {}, {}, substring_dedup.stage
+
+    def counted(df, name):
+        plans[name] = df._jdf.queryExecution().optimizedPlan().toString()
+        staged = stage(df, name)
+        rows[name] = staged.count()
+        return staged
+
+    monkeypatch.setattr(substring_dedup, "stage", counted)
+    got = found(spark, texts)
+    assert [(d, f) for d, f, _, _ in got] == [(k, 1) for k in range(2, 61)]
+    assert 0 < rows["later_passages"] <= 2 * 60  # the one that reaches farthest and the one of the first document
+    assert "collect_list" not in plans["later_passages"]  # texts of a group meet as rows, not as one value

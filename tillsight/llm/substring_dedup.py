@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.staging import release, stage
-from .words import SHINGLE, Hasher, free_names, mixed, portions, remembered, split_words, tidy, word_spans
+from .words import SHINGLE, Hasher, free_names, groups, mixed, portions, remembered, split_words, tidy, word_spans
 
 WORDS = 50
 CONTEXT = 4
@@ -400,91 +400,114 @@ def _bearing(shared: np.ndarray, again: np.ndarray, least: int, similarity: floa
 def _gone_on(members: DataFrame, texts: DataFrame, least: int, similarity: float, lengths: list[int], agree: int) -> DataFrame:
     """The passages (columns ``SPANS``) at open places of ``members`` that an earlier member of the signature has, other than the first.
 
-    All members under the same first document meet once, in pairs of blocks.
+    All members under the same first document meet once, in pairs of blocks, as
+    rows that follow each other: a task holds one pair of blocks. Of the
+    passages that a document has there, only those that :func:`merged_spans`
+    needs are returned.
     """
-    keys = members.filter("open").select("key").distinct()
-    held = members.join(keys, "key", "left_semi").groupBy("first_doc_id", "doc_id").agg(
-        F.collect_set(F.struct("key", F.expr("IF(open, place, -1)").alias("place"))).alias("members"))
+    # the smallest member has none before it to go on to, and none asks for those behind the last open one
+    asked = members.groupBy("key").agg(F.min("doc_id").alias("least"), F.max(F.expr("IF(open, doc_id, NULL)")).alias("last")).filter("least < last")
+    held = members.join(asked, "key").filter("doc_id < last OR open").groupBy("first_doc_id", "doc_id").agg(
+        F.collect_set(F.struct("key", F.expr("IF(open AND doc_id > least, place, -1)").alias("place"))).alias("members"))
     sizes = texts.select("doc_id", F.length("text").alias("size")).distinct()
     held = held.join(sizes.hint("merge"), "doc_id")
     many = held.groupBy("first_doc_id").agg(F.ceil(F.sum("size") / BLOCK).cast("int").alias("blocks"), F.count(F.lit(1)).alias("n"))
     dealt = held.drop("size").join(many.filter("n > 1").drop("n"), "first_doc_id").withColumn("block", F.expr("CAST(pmod(xxhash64(doc_id), blocks) AS INT)"))
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    dealt = dealt.hint("merge").join(texts, "doc_id").groupBy("first_doc_id", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"))
-    dealt = dealt.agg(F.collect_list(F.struct("doc_id", "block", "members", "text")).alias("docs"))
+    dealt = dealt.hint("merge").join(texts, "doc_id").select(
+        "first_doc_id", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "doc_id", "block", "members", "text")
+    dealt = dealt.repartition("first_doc_id", "low", "high").sortWithinPartitions("first_doc_id", "low", "high")
     names, types = _span_columns()
 
-    def passages_of(listed: list[dict], within: bool, hasher: Hasher):
-        docs = sorted({d["doc_id"]: d for d in listed}.values(), key=lambda d: d["doc_id"])  # a repeated id repeats the text
-        hashed = hasher.shingles_of([split_words(d["text"]) for d in docs])
-        values, first, code = np.unique(np.concatenate(hashed), return_index=True, return_inverse=True)
-        ends = np.cumsum([len(h) for h in hashed])
-        earliest = np.searchsorted(ends, first, side="right")  # the first document that has a token
-        holders: dict[int, set[int]] = {}
-        for k, doc in enumerate(docs):
-            for m in doc["members"]:
-                holders.setdefault(m["key"], set()).add(k)
-        marked, sequences = np.zeros(len(values), bool), {}
-        for k, doc in enumerate(docs):
-            places: dict[int, list[int]] = {}
-            for m in doc["members"]:
-                if m["place"] >= 0:
-                    places.setdefault(m["key"], []).append(m["place"])
-            if not places:
-                continue
-            own = code[ends[k] - len(hashed[k]) : ends[k]]
-            again = np.ones(len(own), bool)
-            again[np.unique(own, return_index=True)[1]] = False
-            bearing = _bearing(earliest[own] < k, again, least, similarity)
-            candidates: dict[int, list[np.ndarray]] = {}
-            for key, listed_places in places.items():
-                place = np.array(listed_places)
-                at = place // 2
-                extent = np.stack([at, at + np.where(place % 2 == 1, lengths[1], lengths[0])])
-                extent = extent[:, bearing[extent[0]] >= extent[1]]
-                if extent.size:
-                    for other in holders[key]:
-                        if other < k and (within or docs[other]["block"] != doc["block"]):
-                            candidates.setdefault(other, []).append(extent)
-            covered = np.zeros(len(own), np.int64)  # end of the farthest passage found from any place up to each on
-            for other in sorted(candidates):
-                if len(candidates[other]) < agree:
-                    continue
-                start, end = np.concatenate(candidates[other], axis=1)
-                left = covered[start] < end
-                if not left.any():
-                    continue
-                theirs = code[ends[other] - len(hashed[other]) : ends[other]]
-                marked[theirs] = True
-                bearing = _bearing(marked[own], again, least, similarity)
-                marked[theirs] = False
-                if not (left & (bearing[start] >= end)).any():
-                    continue
-                for d in (other, k):
-                    if d not in sequences:
-                        sequences[d] = Sequence(hashed[d])
-                for row in _passages(doc["doc_id"], docs[other]["doc_id"], sequences[other], sequences[k], doc["text"], least, similarity):
-                    yield row
-                    covered[row[1]] = max(covered[row[1]], row[2] - SHINGLE + 1)
-                covered = np.maximum.accumulate(covered)
-
     @tidy
     def go_on(batches):
         hasher = remembered("hashes", Hasher)
-        for batch in batches:
-            rows = []
-            for k in range(batch.num_rows):
-                low, high, listed = (batch.column(c)[k].as_py() for c in (0, 1, 2))
-                rows += passages_of(listed, low == high, hasher)
-            yield pa.RecordBatch.from_arrays([pa.array([r[c] for r in rows], t) for c, t in enumerate(types)], names=names)
+        for table in groups(batches, 3):
+            rows = list(later_passages(table, least, similarity, lengths, agree, hasher))
+            if rows:
+                yield pa.RecordBatch.from_arrays([pa.array([r[c] for r in rows], t) for c, t in enumerate(types)], names=names)
 
-    return dealt.select("low", "high", "docs").mapInArrow(go_on, SPANS)
+    return dealt.mapInArrow(go_on, SPANS)
 
 
-def _passages(doc: int, origin: int, one: Sequence, two: Sequence, text: str, least: int, similarity: float) -> list[tuple]:
-    """Rows of ``SPANS``: the passages of document ``origin`` in ``doc``."""
+def later_passages(table: pa.Table, least: int, similarity: float, lengths: list[int], agree: int, hasher: Hasher):
+    """Rows of ``SPANS`` of one pair of blocks: first_doc_id, low, high, doc_id, block, members (key, place), text.
+
+    ``place`` is that of an open place, else -1.
+    """
+    within = table.column("low")[0] == table.column("high")[0]
+    ids, row = np.unique(table.column("doc_id").to_numpy(), return_index=True)  # a repeated id repeats the text
+    texts, block = table.column("text").take(row).to_pylist(), table.column("block").to_numpy()[row]
+    lists = table.column("members").take(row).combine_chunks()
+    owner = np.repeat(np.arange(len(ids)), lists.value_lengths().to_numpy())
+    key, place = (lists.flatten().field(c).to_numpy() for c in ("key", "place"))
+    hashed = hasher.shingles_of([split_words(t) for t in texts])
+    values, first, code = np.unique(np.concatenate(hashed), return_index=True, return_inverse=True)
+    ends = np.cumsum([len(h) for h in hashed])
+    earliest = np.searchsorted(ends, first, side="right")  # the first document that has a token
+    _, key = np.unique(key, return_inverse=True)
+    holds = np.unique(key * len(ids) + owner)  # key and document, ascending
+    marked, sequences, spans = np.zeros(len(values), bool), {}, {}
+    asks = np.flatnonzero(place >= 0)
+    cuts = np.flatnonzero(np.diff(owner[asks], prepend=-1))
+    for low, high in zip(cuts, [*cuts[1:], len(asks)], strict=False):
+        ask = asks[low:high]
+        k = int(owner[ask[0]])
+        own = code[ends[k] - len(hashed[k]) : ends[k]]
+        again = np.ones(len(own), bool)
+        again[np.unique(own, return_index=True)[1]] = False
+        start = place[ask] // 2
+        end = start + np.where(place[ask] % 2 == 1, lengths[1], lengths[0])
+        fits = _bearing(earliest[own] < k, again, least, similarity)[start] >= end
+        ask, start, end = ask[fits], start[fits], end[fits]
+        # every open place with every document before that has its signature
+        since = np.searchsorted(holds, key[ask] * len(ids))
+        many = np.searchsorted(holds, key[ask] * len(ids) + k) - since
+        at = np.repeat(np.arange(len(ask)), many)
+        other = holds[np.repeat(since - (np.cumsum(many) - many), many) + np.arange(len(at))] % len(ids)
+        if not within:
+            apart = block[other] != block[k]
+            at, other = at[apart], other[apart]
+        order = np.argsort(other, kind="stable")
+        at, other = at[order], other[order]
+        if not len(at):
+            continue
+        runs = np.flatnonzero(np.diff(other, prepend=-1))
+        covered = np.zeros(len(own), np.int64)  # end of the farthest passage found from any place up to each on
+        found: list[tuple] = []
+        for a, b in zip(runs, np.append(runs[1:], len(at)), strict=True):
+            before, mine = int(other[a]), at[a:b]
+            if agree > 1 and len(np.unique(key[ask[mine]])) < agree:
+                continue
+            mine = mine[covered[start[mine]] < end[mine]]
+            if not len(mine):
+                continue
+            theirs = code[ends[before] - len(hashed[before]) : ends[before]]
+            marked[theirs] = True
+            shared = marked[own]
+            marked[theirs] = False
+            # passages are sets: of their tokens all but a small share are shared or stood before
+            if np.count_nonzero(shared | again) < similarity * least or not (_bearing(shared, again, least, similarity)[start[mine]] >= end[mine]).any():
+                continue
+            for d in (before, k):
+                if d not in sequences:
+                    sequences[d] = Sequence(hashed[d])
+            passages = _passages(int(ids[k]), int(ids[before]), sequences[before], sequences[k], texts[k], least, similarity, spans)
+            for _, from_, to, *_ in passages:
+                covered[from_] = max(covered[from_], to - SHINGLE + 1)
+            covered = np.maximum.accumulate(covered) if passages else covered
+            found += passages
+        spans.clear()
+        for span in needed_spans([f[1:] for f in found]):
+            yield int(ids[k]), *span
+
+
+def _passages(doc: int, origin: int, one: Sequence, two: Sequence, text: str, least: int, similarity: float, known: dict[int, np.ndarray]) -> list[tuple]:
+    """Rows of ``SPANS``: the passages of document ``origin`` in ``doc``; ``known`` keeps the words' places of ``doc``."""
     found = aligned(one, two, least, similarity)
-    spans = word_spans(text) if found else None
+    if found and doc not in known:
+        known[doc] = word_spans(text)
+    spans = known.get(doc)
     return [(doc, s, e + SHINGLE - 1, int(spans[s][0]), int(spans[e + SHINGLE - 2][1]), origin, p, q + SHINGLE - 1, value) for p, q, s, e, value in found]
 
 
@@ -505,8 +528,9 @@ def _compared(pairs: DataFrame, texts: DataFrame, least: int, similarity: float)
             known = dict(zip([*docs, *origins], [*texts, *first_texts], strict=True))
             hashed = hasher.shingles_of([split_words(t) for t in known.values()])
             tokens = {doc: Sequence(h) for doc, h in zip(known, hashed, strict=True)}
+            spans: dict[int, np.ndarray] = {}
             for k, (doc, origin) in enumerate(zip(docs, origins, strict=True)):
-                rows += _passages(doc, origin, tokens[origin], tokens[doc], texts[k], least, similarity)
+                rows += _passages(doc, origin, tokens[origin], tokens[doc], texts[k], least, similarity, spans)
             yield pa.RecordBatch.from_arrays([pa.array([r[c] for r in rows], t) for c, t in enumerate(types)], names=names)
 
     return both.mapInArrow(verify, SPANS)
@@ -545,6 +569,30 @@ def merged_spans(spans: list[tuple]) -> list[tuple]:
     return out
 
 
+def needed_spans(spans: list[tuple]) -> list[tuple]:
+    """The fewest spans that :func:`merged_spans` joins, with any others, as it joins all of ``spans``.
+
+    Of each joined stretch these are the spans that reach farthest, one from
+    inside the other, and the one of the smallest first document.
+    """
+    out: list[tuple] = []
+    todo = sorted(set(spans))
+    while todo:
+        end, size = todo[0][1], 1
+        while size < len(todo) and todo[size][0] <= end:
+            end, size = max(end, todo[size][1]), size + 1
+        run, todo = todo[:size], todo[size:]
+        kept, at, reach = {min(run, key=lambda s: (s[4], s))}, 0, run[0][0]
+        while reach < end:
+            far = run[at]
+            while at < size and run[at][0] <= reach:
+                far, at = max(far, run[at], key=lambda s: s[1]), at + 1
+            kept.add(far)
+            reach = far[1]
+        out += sorted(kept)
+    return out
+
+
 def without_repeated_passages(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """All rows and columns of ``df``, the repeated passages cut out of ``text_col`` (one space stays where text is on both sides).
 
