@@ -347,6 +347,25 @@ def test_contexts_reach_over_words(spark, monkeypatch):
         assert sorted(got[i]) == pytest.approx(sorted(want[i]), rel=1e-9)
 
 
+def test_events_and_code_lengths_are_sent_in_few_bytes():
+    from tillsight.llm.bpe import from_varint
+
+    rng = np.random.default_rng(5)
+    words = [bytes(rng.integers(97, 123, rng.integers(1, 9)).astype(np.uint8)) for _ in range(40_000)] + [b"\xff" * 9, b"\x00" * 9]
+    events = np.unique(np.concatenate([ppm.events_of_texts([(b" " + b" ".join(words) + b" \0", 1, True)])[0], ppm.events_of(words)[0]]))
+    assert (ppm.turned_back(ppm.turned(events)) == events).all()
+    numbers, order, cuts = ppm._by_bucket(events, 64)
+    listed = ppm.packed_events(numbers, cuts)
+    assert len(listed) == 64 and {len(set(ppm.buckets_of(events[order[a:b]], 64).tolist())) for a, b in zip(cuts, cuts[1:], strict=False)} == {1}
+    assert (ppm.turned_back(np.concatenate(ppm.unpacked_events(listed))) == events[order]).all()
+    assert sum(map(len, listed)) < 5 * len(events)  # 8 bytes each before
+    numbers = np.array([0, 1, 127, 128, 1 << 28, (1 << 56) - 1, 1 << 56, (1 << 63) - 1])
+    assert [from_varint(x).tolist() for x in ppm.packed(numbers, np.array([0, 3, 3, 8]))] == [[0, 1, 127], [], numbers[3:].tolist()]
+    values = np.concatenate([-(10.0 ** rng.uniform(-13, 2.4, 10_000)), [0.0, -0.0, -1.0]])
+    sent = ppm.packed_lengths(values)
+    assert sent.shape == (len(values), 5) and ppm.unpacked_lengths(sent.tobytes()) == pytest.approx(values, rel=3e-11, abs=0)
+
+
 @settings(max_examples=30, deadline=None)
 @given(st.lists(st.text("abc é", max_size=20), min_size=1, max_size=6), st.text("abcdé", max_size=8))
 def test_probabilities_of_a_context_add_up(texts, word):

@@ -24,6 +24,7 @@ bytes are common to all; there are at most 65,793, with 257 counts each.
 from __future__ import annotations
 
 import math
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -49,6 +50,8 @@ BUCKETS = 1024
 BLOCK = 1 << 20  # bytes of text whose events are in memory at once
 HELD = 2_000_000  # events of blocks that wait for being added up
 _BITS = 9  # of a symbol; a context of six bytes and its length stand above it
+_CUT = 18  # bits of fraction that a sent code length lacks
+_LEAST = 1023 - 50 << 52 - _CUT  # its exponents begin at 2^-50
 
 
 def words_of(text: str | None) -> list[bytes]:
@@ -128,10 +131,72 @@ def buckets_of(events: np.ndarray, buckets: int = BUCKETS) -> np.ndarray:
     return (mixed((_at_order(events, SHARED + 1) >> _BITS).view(np.uint64)) % np.uint64(buckets)).astype(np.int64)
 
 
-def _by_bucket(events: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
-    """Bucket of each of some ascending events, and their order by bucket and event."""
-    own = buckets_of(events, buckets)
-    return own, np.argsort(own.astype(np.uint16) if buckets <= 1 << 16 else own, kind="stable")  # 16 bits are sorted by radix
+def turned(events: np.ndarray) -> np.ndarray:
+    """Events with the last three bytes of the context first, so that those of a bucket that follow each other are close numbers."""
+    context, low = events >> _BITS, (1 << 24) - 1
+    return (context & low) << 36 | (context >> 24 & low) << 12 | _length(events) << _BITS | events & ((1 << _BITS) - 1)
+
+
+def turned_back(numbers: np.ndarray) -> np.ndarray:
+    """The events of :func:`turned` numbers."""
+    context = numbers >> 36 | (numbers >> 12 & ((1 << 24) - 1)) << 24
+    return (numbers >> _BITS & 7) << (8 * ORDER + _BITS) | context << _BITS | numbers & ((1 << _BITS) - 1)
+
+
+def packed(numbers: np.ndarray, cuts: np.ndarray) -> list[bytes]:
+    """Numbers below 2^63, the first of which and the steps of which are not negative, in 7-bit groups, lowest first; in parts between ``cuts``."""
+    n = numbers.astype(np.uint64)
+    width = np.ones(len(n), np.int64)
+    for k in range(1, 9):
+        more = n >= np.uint64(1 << 7 * k)
+        if not more.any():
+            break
+        width += more
+    ends = np.append(0, np.cumsum(width))
+    out = np.zeros(int(ends[-1]), np.uint8)
+    has = np.arange(len(n))
+    for k in range(int(width.max(initial=0))):
+        has = has[width[has] > k]
+        out[ends[has] + k] = (n[has] >> np.uint64(7 * k) & np.uint64(127)).astype(np.uint8) | (width[has] > k + 1).astype(np.uint8) << 7
+    data, stops = out.tobytes(), ends[cuts].tolist()
+    return [data[a:b] for a, b in zip(stops, stops[1:], strict=False)]
+
+
+def packed_events(numbers: np.ndarray, cuts: np.ndarray) -> list[bytes]:
+    """:func:`turned` numbers, ascending between ``cuts``, as what each adds to the one before it."""
+    steps = np.diff(numbers, prepend=0)
+    steps[cuts[:-1]] = numbers[cuts[:-1]]
+    return packed(steps, cuts)
+
+
+def unpacked_events(data: list[bytes]) -> list[np.ndarray]:
+    """The parts of :func:`packed_events`."""
+    return [np.cumsum(from_varint(part)) for part in data]
+
+
+def packed_lengths(log10p: np.ndarray) -> np.ndarray:
+    """Code lengths in five bytes, a row each: 6 bits of exponent from 2^-50 on and 34 of fraction, so sums are right to 2^-35 of themselves."""
+    bits = (0.0 - log10p).view(np.int64) + (1 << _CUT - 1)
+    bits = np.maximum((bits >> _CUT) - _LEAST, 0)
+    return bits.astype("<i8").view(np.uint8).reshape(-1, 8)[:, :5]
+
+
+def unpacked_lengths(data: bytes) -> np.ndarray:
+    """The logarithms of :func:`packed_lengths`."""
+    bits = np.zeros((len(data) // 5, 8), np.uint8)
+    bits[:, :5] = np.frombuffer(data, np.uint8).reshape(-1, 5)
+    bits = bits.view("<i8").ravel()
+    return np.where(bits > 0, -((bits + _LEAST) << _CUT).view(np.float64), 0.0)
+
+
+def _by_bucket(events: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Events as :func:`turned` numbers, by bucket and number; their order, and where each bucket's begin, and the end."""
+    numbers, own = turned(events), buckets_of(events, buckets)
+    order = np.argsort(numbers)
+    own = own[order]
+    by = np.argsort(own.astype(np.uint16) if buckets <= 1 << 16 else own, kind="stable")  # 16 bits are sorted by radix
+    order, own = order[by], own[by]
+    return numbers[order], order, np.append(np.flatnonzero(np.diff(own, prepend=-1)), len(own))
 
 
 def summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -227,8 +292,9 @@ def _portions(df: DataFrame) -> DataFrame:
 
         def portion():
             name = TaskContext.get().partitionId() << 32 | count
-            found = [{"word": w, "times": n} for w, n in zip(known, times, strict=True)]
-            return pa.RecordBatch.from_pylist([{"portion": name, "docs": docs, "words": found}], schema=schema)
+            found = pa.StructArray.from_arrays([pa.array(list(known), pa.binary()), pa.array(times, pa.int64())], fields=list(word))
+            listed = [pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x) for x in (pa.array(docs, doc), found)]
+            return pa.RecordBatch.from_arrays([pa.array([name], pa.int64()), *listed], schema=schema)
 
         for batch in batches:
             for i, text, held in zip(*(batch.column(k) for k in range(3)), strict=True):
@@ -249,6 +315,50 @@ def _portions(df: DataFrame) -> DataFrame:
     return df.mapInArrow(cut, _PORTION)
 
 
+def _words_by_bucket(words: list[bytes], buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    """Bucket of each word, and their order by bucket."""
+    own = np.fromiter(map(zlib.crc32, words), np.int64, len(words)) % buckets
+    return own, np.argsort(own, kind="stable")
+
+
+def _word_counts(portions: DataFrame, buckets: int) -> DataFrame:
+    """portion, bucket, times of the portion's words in the order of :func:`_words_by_bucket` over all portions; trained, kinds: of the bucket, on one of its rows.
+
+    The words of a portion go as one row a bucket, and their counts come back as one.
+    """
+    sent = pa.schema([("bucket", pa.int64()), ("portion", pa.int64()), ("words", pa.list_(pa.binary())), ("times", pa.binary())])
+    back = pa.schema([("portion", pa.int64()), ("bucket", pa.int64()), ("times", pa.binary()), ("trained", pa.int64()), ("kinds", pa.int64())])
+
+    @tidy
+    def deal(batches):
+        for batch in batches:
+            for name, listed in zip(batch.column(0), batch.column(1), strict=True):
+                if not len(listed.values):
+                    continue
+                words, times = (listed.values.field(c) for c in ("word", "times"))
+                own, order = _words_by_bucket(words.to_pylist(), buckets)
+                cuts = np.append(np.flatnonzero(np.diff(own[order], prepend=-1)), len(order))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(own[order[cuts[:-1]]]), pa.array(np.full(len(cuts) - 1, name.as_py())), pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), words.take(pa.array(order))),
+                     pa.array(packed(times.to_numpy()[order], cuts), pa.binary())], schema=sent)
+
+    @tidy
+    def count(batches):
+        for table in groups(batches, 1):
+            listed = table.column("words").combine_chunks()
+            code = listed.flatten().dictionary_encode().indices.to_numpy()
+            total = np.zeros(int(code.max()) + 1, np.int64)
+            np.add.at(total, code, np.concatenate([from_varint(x) for x in table.column("times").to_pylist()]))
+            cuts = np.append(0, np.cumsum(listed.value_lengths().to_numpy()))
+            once = np.zeros((2, len(listed)), np.int64)
+            once[:, 0] = total.sum(), np.count_nonzero(total)
+            yield pa.RecordBatch.from_arrays(
+                [*(table.column(c).combine_chunks() for c in ("portion", "bucket")), pa.array(packed(total[code], cuts), pa.binary()), *map(pa.array, once)], schema=back)
+
+    dealt = portions.select("portion", "words").mapInArrow(deal, "bucket long, portion long, words array<binary>, times binary")
+    return dealt.repartition("bucket").sortWithinPartitions("bucket", "portion").mapInArrow(count, "portion long, bucket long, times binary, trained long, kinds long")
+
+
 def _word_batches(words: DataFrame) -> DataFrame:
     """Distinct words in numbered batches: batch, words, times; written once, so that both reads see the same batches."""
     schema = pa.schema([("batch", pa.int64()), ("words", pa.list_(pa.binary())), ("times", pa.binary())])
@@ -354,47 +464,44 @@ def _dealt(rows: DataFrame, buckets: int, unpacked=_unpacked) -> DataFrame:
     @tidy
     def deal(batches):
         for name, events, counts, _ in unpacked(batches):
-            own, order = _by_bucket(events, buckets)
-            cuts = np.append(np.flatnonzero(np.concatenate([[True], np.diff(own[order]) > 0])), len(order))
-            for a in range(0, len(cuts) - 1, 64):
-                parts = [order[i:j] for i, j in zip(cuts[a : a + 64], cuts[a + 1 : a + 65], strict=False)]
+            numbers, order, cuts = _by_bucket(events, buckets)
+            own = buckets_of(events[order[cuts[:-1]]], buckets)
+            listed = packed_events(numbers, cuts), packed(counts[order], cuts)
+            for a in range(0, len(own), 64):
+                part = slice(a, a + 64)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([int(own[p[0]]) for p in parts]), pa.array([name] * len(parts)),
-                     pa.array([events[p].tobytes() for p in parts]), pa.array([counts[p].tobytes() for p in parts])], schema=sent)
+                    [pa.array(own[part]), pa.array(np.full(len(own[part]), name)), *(pa.array(x[part], pa.binary()) for x in listed)], schema=sent)
 
     return rows.mapInArrow(deal, "bucket long, batch long, events binary, counts binary")
 
 
 def _code_lengths(dealt: DataFrame, shared) -> DataFrame:
-    """batch, bucket, log10p of all dealt events in their order; the counts of a bucket's batches are added up first."""
-    back = pa.schema([("batch", pa.int64()), ("bucket", pa.int64()), ("log10p", pa.binary())])
+    """batch, bucket, events, lengths of all dealt events; the counts of a bucket's batches are added up first."""
+    back = pa.schema([("batch", pa.int64()), ("bucket", pa.int64()), ("events", pa.binary()), ("lengths", pa.binary())])
 
     @tidy
     def code(batches):
         low = shared.value
         for table in groups(batches, 1):
-            parts = [np.frombuffer(x, np.int64) for x in table.column("events").to_pylist()]
-            counts = [np.frombuffer(x, np.int64) for x in table.column("counts").to_pylist()]
-            events, n = summed(np.concatenate(parts), np.concatenate(counts))
-            found = log10_probabilities(events, [*low, *levels_of(events, n, range(SHARED + 1, ORDER + 1), low[-1])])
+            parts = unpacked_events(table.column("events").to_pylist())
+            numbers, n = summed(np.concatenate(parts), np.concatenate([from_varint(x) for x in table.column("counts").to_pylist()]))
+            events = turned_back(numbers)
+            found = packed_lengths(log10_probabilities(events, [*low, *levels_of(events, n, range(SHARED + 1, ORDER + 1), low[-1])]))
             for a in range(0, len(parts), 64):
                 own = parts[a : a + 64]
                 yield pa.RecordBatch.from_arrays(
-                    [*(table.column(c).slice(a, 64).combine_chunks() for c in ("batch", "bucket")),
-                     pa.array([found[np.searchsorted(events, p)].tobytes() for p in own])], schema=back)
+                    [*(table.column(c).slice(a, 64).combine_chunks() for c in ("batch", "bucket", "events")),
+                     pa.array([found[np.searchsorted(numbers, p)].tobytes() for p in own], pa.binary())], schema=back)
 
-    return dealt.repartition("bucket").sortWithinPartitions("bucket", "batch").mapInArrow(code, "batch long, bucket long, log10p binary")
+    return dealt.repartition("bucket").sortWithinPartitions("bucket", "batch").mapInArrow(code, "batch long, bucket long, events binary, lengths binary")
 
 
-def _code_lengths_of(events: np.ndarray, buckets: int, coded: pa.Table) -> np.ndarray:
-    """Code lengths of the ascending events of a batch, from its rows of :func:`_code_lengths`."""
-    coded = coded.sort_by("bucket")
-    found = np.frombuffer(b"".join(coded.column("log10p").to_pylist()), np.float64)
-    if len(found) != len(events):
-        raise RuntimeError("a batch of words or a portion of texts changed")
-    out = np.empty(len(events))
-    out[_by_bucket(events, buckets)[1]] = found
-    return out
+def _code_lengths_of(coded: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct events of a batch, ascending, and their code lengths, from its rows of :func:`_code_lengths`."""
+    parts = unpacked_events(coded.column("events").to_pylist())
+    events = turned_back(np.concatenate([np.zeros(0, np.int64), *parts]))
+    order = np.argsort(events)
+    return events[order], unpacked_lengths(b"".join(coded.column("lengths").to_pylist()))[order]
 
 
 def _coded(words: DataFrame, shared, buckets: int) -> DataFrame:
@@ -405,7 +512,9 @@ def _coded(words: DataFrame, shared, buckets: int) -> DataFrame:
         out = []
         for part in own.to_batches():
             for row, (_, found, _, place) in enumerate(_unpacked([part])):
-                value = _code_lengths_of(found, buckets, coded)
+                events, value = _code_lengths_of(coded)
+                if not np.array_equal(events, found):
+                    raise RuntimeError("a batch of words changed")
                 listed = part.column("words")[row].as_py()
                 sizes = np.fromiter(map(len, listed), np.int64, len(listed)) + 1
                 total = np.add.reduceat(value[place], np.cumsum(sizes) - sizes)
@@ -431,20 +540,21 @@ def score(df: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: str
     docs = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"),
                      F.coalesce(held_out, F.lit(False)).alias("held_out"))
     portions = stage(_portions(docs), "portions")
-    spots = portions.select("portion", F.posexplode("words").alias("number", "own")).select("portion", "number", "own.word", "own.times")
-    counted = spots.groupBy("word").agg(F.sum("times").alias("times"))
     ends = portions.select(F.size(F.filter("docs", lambda d: ~d["held_out"])).alias("n")).agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     if across:
         shared = spark.sparkContext.broadcast(_shared_levels(portions, 0, _portion_grams))
         lengths = _code_lengths(_dealt(portions, buckets, _portion_events), shared)
-        coded, end = stage(counted.withColumn("log10p", F.lit(0.0)), "counted_words"), 0.0
+        coded = stage(_word_counts(portions, buckets), "word_counts")
+        trained, distinct = coded.agg(F.coalesce(F.sum("trained"), F.lit(0)), F.coalesce(F.sum("kinds"), F.lit(0))).first()
     else:
+        spots = portions.select("portion", F.posexplode("words").alias("number", "own")).select("portion", "number", "own.word", "own.times")
+        counted = spots.groupBy("word").agg(F.sum("times").alias("times"))
         words = stage(_word_batches(counted), "word_batches")
         levels = _shared_levels(words, ends)
         shared = spark.sparkContext.broadcast(levels)
-        coded, lengths = stage(_coded(words, shared, buckets), "coded_words"), None
+        coded = stage(_coded(words, shared, buckets), "coded_words")
         end = float(log10_probabilities(np.array([1 << (8 * ORDER + _BITS) | BLANK << _BITS | END]), levels)[0])
-    trained, distinct = coded.agg(F.coalesce(F.sum("times"), F.lit(0)), F.count_if(F.col("times") > 0)).first()
+        trained, distinct = coded.agg(F.coalesce(F.sum("times"), F.lit(0)), F.count_if(F.col("times") > 0)).first()
     tokens, kinds = trained + ends, distinct + bool(ends)
     out = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()),
                      ("train_tokens", pa.int64()), ("base_score", pa.float64()), ("score", pa.float64())])
@@ -454,43 +564,47 @@ def score(df: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: str
 
     def total(own: pa.Table, known: pa.Table) -> pa.Table:
         if across:
-            sent, known = known.filter(pc.is_valid(known.column("bucket"))), known.filter(pc.is_null(known.column("bucket")))
-        number = known.column("number").to_numpy()
-        times, bits = np.zeros(len(number), np.int64), np.zeros(len(number))
-        times[number], bits[number] = known.column("times").to_numpy(), known.column("log10p").to_numpy()
+            sent, known = known.filter(pc.is_valid(known.column("lengths"))), known.filter(pc.is_null(known.column("lengths"))).sort_by("bucket")
+            words = own.column("words")[0].values.field("word").to_pylist()
+            times = np.zeros(len(words), np.int64)
+            times[_words_by_bucket(words, buckets)[1]] = from_varint(b"".join(known.column("times").to_pylist()))
+        else:
+            number = known.column("number").to_numpy()
+            times, bits = np.zeros(len(number), np.int64), np.zeros(len(number))
+            times[number], bits[number] = known.column("times").to_numpy(), known.column("log10p").to_numpy()
         unigram, rows = base(times), []
-        for row, group in enumerate(own.column("docs")):
+        for group in own.column("docs"):
             coded = group.values.field("codes").to_pylist()
-            scores = [float(bits[from_varint(c)].sum() + end) for c in coded] if not across else text_scores(
-                own.column("words")[row].values.field("word").to_pylist(), coded, buckets, sent)
+            scores = [float(bits[from_varint(c)].sum() + end) for c in coded] if not across else text_scores(words, coded, sent)
             for doc, raw, score in zip(group, coded, scores, strict=True):
                 codes = from_varint(raw)
                 rows.append((doc["doc_id"].as_py(), doc["held_out"].as_py(), len(codes) + 1, int((times[codes] > 0).sum()) + bool(ends), tokens,
                              math.fsum([unigram[codes].sum(), base(ends)]), score))
         return pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), out, strict=True)], schema=out)
 
-    numbered = spots.select(F.col("portion").alias("home"), "number", "word").join(coded, "word").select("home", "number", "times", "log10p")
     if across:
-        numbered = numbered.unionByName(lengths.select(F.col("batch").alias("home"), "bucket", F.col("log10p").alias("lengths")), allowMissingColumns=True)
-    return portions.select("portion", "docs", *["words"] * across).groupBy("portion").cogroup(numbered.groupBy("home")).applyInArrow(
+        known = coded.select(F.col("portion").alias("home"), "bucket", "times").unionByName(
+            lengths.select(F.col("batch").alias("home"), "bucket", "events", "lengths"), allowMissingColumns=True)
+    else:
+        known = spots.select(F.col("portion").alias("home"), "number", "word").join(coded, "word").select("home", "number", "times", "log10p")
+    return portions.select("portion", "docs", *["words"] * across).groupBy("portion").cogroup(known.groupBy("home")).applyInArrow(
         total, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
 
 
-def _distinct(events: np.ndarray) -> np.ndarray:
-    events = np.sort(events)
-    return events[np.concatenate([[True], events[1:] != events[:-1]])]
-
-
-def text_scores(words: list[bytes], coded: list[bytes], buckets: int, sent: pa.Table) -> list[float]:
+def text_scores(words: list[bytes], coded: list[bytes], sent: pa.Table) -> list[float]:
     """Log10 probabilities of the texts of a portion, given as numbers of ``words``, from the code lengths of its events."""
     out = np.zeros(len(coded))
-    events = _distinct(np.concatenate([_distinct(events_of_texts(pieces)[0]) for _, pieces in _stretches(words, coded)]))
-    value = _code_lengths_of(events, buckets, sent.select(["bucket", "lengths"]).rename_columns(["bucket", "log10p"]))
+    events, value = _code_lengths_of(sent)
     for places, pieces in _stretches(words, coded):
         own, begin = events_of_texts(pieces)
         order = np.argsort(own)
-        new = np.concatenate([[True], own[order][1:] != own[order][:-1]])
+        ranked = own[order]
+        new = np.concatenate([[True], ranked[1:] != ranked[:-1]])
+        distinct = ranked[new]
+        at = np.minimum(np.searchsorted(events, distinct), max(len(events) - 1, 0))
+        if not len(events) or (events[at] != distinct).any():
+            raise RuntimeError("a portion of texts changed")
         found = np.empty(len(own))
-        found[order] = value[np.searchsorted(events, own[order][new])][np.cumsum(new) - 1]
+        found[order] = np.repeat(value[at], np.diff(np.append(np.flatnonzero(new), len(own))))
         np.add.at(out, places, np.add.reduceat(found, begin))
     return out.tolist()
