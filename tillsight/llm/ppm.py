@@ -91,20 +91,43 @@ def events_of_texts(pieces: list[tuple[bytes, int, bool]], order: int = ORDER) -
     ends = np.cumsum(sizes)
     blob = np.frombuffer(b"".join(p[0] for p in pieces), np.uint8).astype(np.int64)
     at = np.arange(len(blob)) - np.repeat(ends - sizes, sizes)
-    depth = np.minimum(at, order)
-    events = depth << (8 * ORDER + _BITS)
+    events = np.zeros(len(blob), np.int64)
     for back in range(min(order, len(blob) - 1)):
-        events[back + 1 :] |= np.where(depth[back + 1 :] > back, blob[: -back - 1] << (8 * back + _BITS), 0)
+        events[back + 1 :] |= blob[: -back - 1] << (8 * back + _BITS)
+    near = np.flatnonzero(at < order)  # the bytes before these are in part those of another stretch
+    events[near] &= (1 << (8 * at[near] + _BITS)) - 1
+    events |= np.minimum(at, order) << (8 * ORDER + _BITS)
     blob[ends[[p[2] for p in pieces]] - 1] = END
     return (events | blob)[at >= np.repeat(lead, sizes)], np.cumsum(sizes - lead) - (sizes - lead)
 
 
+def _decoded(coded: list[bytes], most: int = 1 << 18) -> Iterator[tuple[np.ndarray, list[int]]]:
+    """The numbers of some texts that follow each other, and where each text's begin, and the end."""
+    low, size = 0, 0
+    for high, codes in enumerate(coded, start=1):
+        size += len(codes)
+        if size >= most or high == len(coded):
+            raw = b"".join(coded[low:high])
+            upto = np.append(0, np.cumsum(np.frombuffer(raw, np.uint8) < 128))  # each number ends with such a byte
+            yield from_varint(raw), upto[np.append(0, np.cumsum([len(c) for c in coded[low:high]]))].tolist()
+            low, size = high, 0
+
+
+def _texts(closed: pa.Array, coded: list[bytes]) -> Iterator[bytes]:
+    """Each text as it is coded: a blank, its words out of ``closed``, which have a blank behind them, and a byte for its end."""
+    for codes, begin in _decoded(coded):
+        taken = closed.take(pa.array(codes))
+        ends = np.frombuffer(taken.buffers()[1], np.int64)[: len(codes) + 1] if len(codes) else np.zeros(1, np.int64)
+        data = taken.buffers()[2].to_pybytes() if len(codes) else b""
+        for a, b in zip(begin, begin[1:], strict=False):
+            yield b" " + data[ends[a] : ends[b]] + b"\0"
+
+
 def _stretches(words: list[bytes], coded: list[bytes]) -> Iterator[tuple[list[int], list[tuple[bytes, int, bool]]]]:
     """Texts, given as numbers of ``words``, as blocks of stretches for :func:`events_of_texts`, with the place of each one's text."""
     places, pieces, size = [], [], 0
-    for place, codes in enumerate(coded):
-        own = b" ".join([words[c] for c in from_varint(codes).tolist()])
-        own = b" " + own + b" \0" if own else b" \0"
+    closed = pa.array([w + b" " for w in words], pa.large_binary())
+    for place, own in enumerate(_texts(closed, coded)):
         for low in range(0, len(own), BLOCK):
             piece = own[max(low - ORDER, 0) : low + BLOCK]
             places.append(place)
@@ -575,11 +598,12 @@ def score(df: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: str
         unigram, rows = base(times), []
         for group in own.column("docs"):
             coded = group.values.field("codes").to_pylist()
-            scores = [float(bits[from_varint(c)].sum() + end) for c in coded] if not across else text_scores(words, coded, sent)
-            for doc, raw, score in zip(group, coded, scores, strict=True):
-                codes = from_varint(raw)
-                rows.append((doc["doc_id"].as_py(), doc["held_out"].as_py(), len(codes) + 1, int((times[codes] > 0).sum()) + bool(ends), tokens,
-                             math.fsum([unigram[codes].sum(), base(ends)]), score))
+            names, held = (group.values.field(c).to_pylist() for c in ("doc_id", "held_out"))
+            scores = iter(text_scores(words, coded, sent)) if across else None
+            each = (codes[a:b] for codes, begin in _decoded(coded) for a, b in zip(begin, begin[1:], strict=False))
+            for name, out_, codes in zip(names, held, each, strict=True):
+                rows.append((name, out_, len(codes) + 1, int(np.count_nonzero(times[codes])) + bool(ends), tokens,
+                             math.fsum([unigram[codes].sum(), base(ends)]), next(scores) if across else float(bits[codes].sum() + end)))
         return pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), out, strict=True)], schema=out)
 
     if across:
