@@ -149,3 +149,59 @@ def test_blocks_of_rows_change_no_tree(monkeypatch):
     at_once = trees.grown(bins, code, w, y, 2)
     monkeypatch.setattr(trees, "TAKEN", 37)
     assert trees.grown(bins, code, w, y, 2) == at_once
+
+
+@pytest.mark.parametrize("stop", [200, 400, 700])
+def test_open_leaves_grown_on_give_the_whole_tree(stop):
+    """The upper part of a tree, with the subtrees of its open leaves put in their places."""
+    rng = np.random.default_rng(stop)
+    n = 1_500
+    bins, code, w = rng.integers(0, 60, (n, 3)).astype(np.uint8), rng.integers(0, 200, n), np.ones(n, dtype=np.int64)
+    y = np.rint(rng.normal(size=n) * 1_000 + bins[:, 0].astype(int) * 300 + (code < 40) * code * 900).astype(np.int64)
+    whole, upper = trees.grown(bins, code, w, y), trees.grown(bins, code, w, y, stop=stop)
+    opened = [k for k, f in enumerate(upper.feature) if f == trees.OPEN]
+    assert opened and len(upper.feature) < len(whole.feature)
+    tree = trees.Tree(*[[x] for x in (trees.OPEN, 0, 0, 0, 0.0)])
+    opened = tree.graft(0, upper)
+    at = tree.route(bins, code)
+    for leaf in opened:
+        mine = at == leaf
+        assert trees.FEW < mine.sum() <= stop
+        assert not tree.graft(leaf, trees.grown(bins[mine], code[mine], w[mine], y[mine]))
+    assert len(tree.feature) == len(whole.feature)
+    told = [np.asarray(t.value)[t.route(bins, code)] for t in (tree, whole)]
+    assert (told[0] == told[1]).all() and (told[0] == y).mean() > 0.9
+
+
+@pytest.mark.parametrize("own", [1_000, 140])
+def test_subtrees_of_their_own_change_no_tree(points, own):
+    df, _ = points
+    edges = trees.bin_edges(df, COLUMNS)
+    binned = trees.training_rows(df, COLUMNS, edges, "p", KEYS)
+    forest = trees.grow_forest(binned, 2, 3, own=own)
+    assert (len(forest.tops[0].feature) > 1) == (own < 200)
+    whole = trees.grow_forest(binned, 2, 3, whole=1_000)
+    assert told_by(forest, df, edges) == pytest.approx(told_by(whole, df, edges))
+
+
+def test_many_products_are_tried_as_all_are(monkeypatch):
+    rng = np.random.default_rng(9)
+    n = 3_000
+    bins, code, w = rng.integers(0, 9, (n, 2)).astype(np.uint8), rng.integers(0, 900, n), rng.integers(1, 3, n)
+    y = rng.integers(0, 40, n) * 1_000 + code // 9 * 500
+    monkeypatch.setattr(trees, "MANY", 10_000)
+    every = trees.grown(bins, code, w, y)
+    monkeypatch.setattr(trees, "MANY", 1)
+    assert trees.grown(bins, code, w, y) == every
+
+
+def test_products_split_off_are_routed_in_one_step(monkeypatch):
+    """3,000 levels took 3,000 steps over the rows."""
+    n, steps, search = 3_000, [], np.searchsorted
+    y = np.rint(1.004 ** np.arange(n) * 1_000).astype(np.int64)
+    bins, code = np.ones((n, 2), dtype=np.uint8), np.arange(n) * 7
+    tree = trees.grown(bins, code, np.full(n, 1), y)
+    monkeypatch.setattr(np, "searchsorted", lambda *a: steps.append(1) or search(*a))
+    told = np.asarray(tree.value)[tree.route(bins, code)]
+    assert (abs(told - y) <= 0.5).mean() > 0.9
+    assert len(steps) < 100
