@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import re
 import zlib
 from collections import Counter, defaultdict
 
@@ -398,3 +399,21 @@ def test_words_and_their_places():
         text = text or ""
         spans = word_spans(text)
         assert [text[a:b].lower() for a, b in spans.tolist()] == split_words(text)
+
+
+def test_words_of_any_character():
+    """As the regular expression has them, in every script and outside the first plane."""
+    every = [chr(c) for c in range(0x10000) if not 0xD800 <= c < 0xE000]
+    texts = ["".join(f"a{c}b " for c in every), "".join(every), "x\U0001f600y Straße \U00010400\U00010401", "ΣΑΣ ΟΔΟΣ İstanbul_1", "— … 　", "—", "", "é"]
+    for text in texts:
+        found = [(m.start(), m.end()) for m in re.finditer(r"\w+", text)] or [(m.start(), m.end()) for m in re.finditer(r"\S+", text)]
+        assert [tuple(s) for s in word_spans(text).tolist()] == found
+        words = re.findall(r"\w+", text) or text.split()
+        assert split_words(text) == ("\n".join(words).lower().split("\n") if words else [])
+
+
+def test_word_hashes_do_not_depend_on_what_is_remembered():
+    words = [f"w{k % 70}" for k in range(500)]
+    few, many = Hasher(10), Hasher()
+    assert (few.words(words) == many.words(words)).all() and (few.words(words[:3]) == many.words(words[:3])).all()
+    assert len(few.known) == 3 and len(many.known) == 70

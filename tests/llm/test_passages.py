@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tillsight.llm import substring_dedup
@@ -231,3 +232,59 @@ def test_later_passages_are_few_rows(spark, monkeypatch):
     assert [(d, f) for d, f, _, _ in got] == [(k, 1) for k in range(2, 61)]
     assert 0 < rows["later_passages"] <= 2 * 60  # the one that reaches farthest and the one of the first document
     assert "collect_list" not in plans["later_passages"]  # texts of a group meet as rows, not as one value
+
+
+def block_of(texts, asks):
+    """One block for the further search: every document has signature 1, the last asks for it at the tokens ``asks``."""
+    members = [[{"key": 1, "place": -1}] for _ in texts[:-1]] + [[{"key": 1, "place": 2 * at} for at in asks]]
+    n = len(texts)
+    return pa.table({
+        "first_doc_id": [0] * n, "low": [0] * n, "high": [0] * n, "doc_id": list(range(1, n + 1)), "block": [0] * n,
+        "members": pa.array(members, pa.list_(pa.struct([("key", pa.int64()), ("place", pa.int64())]))), "text": texts})
+
+
+def later(table):
+    return list(substring_dedup.later_passages(table, LEAST, 0.8, substring_dedup._extents(LEAST, 4), 1, Hasher()))
+
+
+def test_copies_are_looked_at_once(monkeypatch):
+    """20 equal texts have both halves of a passage, apart: comparing one of them tells that none has the passage."""
+    rng = random.Random(4)
+    one, two, fresh = (prose(rng, n, 10**9, "w") for n in (30, 30, 100))
+    calls, aligned = [], substring_dedup.aligned
+    monkeypatch.setattr(substring_dedup, "aligned", lambda *a: calls.append(1) or aligned(*a))
+    assert later(block_of([f"{one} {fresh} {two}"] * 20 + [f"{one} {two}"], [0])) == []
+    assert len(calls) == 1
+    # a text that has it is still found behind them
+    rows = later(block_of([f"{one} {fresh} {two}"] * 20 + [f"{fresh} {one} {two}", f"{one} {two}"], [0]))
+    assert [(r[0], r[1], r[2], r[5]) for r in rows] == [(22, 0, 60, 21)]
+
+
+def test_common_lines_bring_no_documents_together(monkeypatch):
+    """Texts that share one line of 20 words are told apart by counting, not looked at one by one."""
+    rng = random.Random(5)
+    line = prose(rng, 20, 10**9, "w")
+    looked, bearing = [], substring_dedup._bearing
+    monkeypatch.setattr(substring_dedup, "_bearing", lambda *a: looked.append(1) or bearing(*a))
+    texts = [f"{prose(rng, 60, 10**9, 'w')} {line} {prose(rng, 60, 10**9, 'w')}" for _ in range(40)]
+    passage = prose(rng, 60, 10**9, "w")
+    texts[7] += f" {passage}"
+    rows = later(block_of([*texts, f"{line} {passage}"], [0, 22]))
+    assert [(r[0], r[2], r[5]) for r in rows] == [(41, 80, 8)]
+    assert len(looked) <= 2
+
+
+@pytest.mark.parametrize("seed", range(5))
+def test_nothing_is_returned_only_if_all_is_known(seed):
+    rng = random.Random(seed)
+    words = prose(rng, 400, 10**9, "w").split()
+    a, b, _ = passages_around(rng, words, edited(rng, words, 28))
+    every = substring_dedup.aligned(a, b, LEAST, 0.8)
+    assert every
+    known = np.zeros(len(b.tokens), np.int64)
+    assert substring_dedup.aligned(a, b, LEAST, 0.8, known) == every
+    known[0] = len(known)
+    assert substring_dedup.aligned(a, b, LEAST, 0.8, np.maximum.accumulate(known)) == []
+    last = max(every, key=lambda p: p[3])
+    known[0] = last[3] - 1
+    assert substring_dedup.aligned(a, b, LEAST, 0.8, np.maximum.accumulate(known)) == every

@@ -159,17 +159,17 @@ def _windows(docs: DataFrame, words: int, hashes: int, context: int, batch_token
     return docs.mapInArrow(windows, "key long, doc_id long, place int")
 
 
-def _folded(tokens: np.ndarray, longest: int = 64) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _folded(tokens: np.ndarray, order: np.ndarray, longest: int = 64) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Tokens, first place and place behind the last, where a stretch that repeats every few tokens stands as one period.
 
     Passages are compared as sets, so a period counts once; it begins with its
     smallest token, and each of its tokens has the places of the whole stretch.
     Of a period of more than ``longest`` tokens that comes three times or more,
-    two stay, so that one period is in them wherever it begins.
+    two stay, so that one period is in them wherever it begins. ``order`` sorts
+    the tokens stably.
     """
     n = len(tokens)
     places = np.arange(n)
-    order = np.argsort(tokens, kind="stable")
     before = np.full(n, -1, np.int64)
     again = np.flatnonzero(tokens[order[1:]] == tokens[order[:-1]])
     before[order[again + 1]] = order[again]
@@ -200,8 +200,9 @@ class Sequence:
 
     def __init__(self, tokens: np.ndarray):
         self.tokens = tokens
-        self.folded, self.begin, self.end = _folded(tokens)
-        self.by = np.argsort(self.folded, kind="stable")
+        order = np.argsort(tokens, kind="stable")
+        self.folded, self.begin, self.end = _folded(tokens, order)
+        self.by = order if self.folded is tokens else np.argsort(self.folded, kind="stable")
         self.ranked = self.folded[self.by]
 
 
@@ -279,12 +280,38 @@ def _chains(i: np.ndarray, j: np.ndarray, length: np.ndarray, similarity: float,
     return chains
 
 
-def aligned(one: Sequence, two: Sequence, least: int, similarity: float) -> list[tuple[int, int, int, int, float]]:
+class _Chain:
+    """Equal runs that follow each other, without overlap: their places in one (p, q) and two (s, e), ends exclusive."""
+
+    def __init__(self, c: np.ndarray, i: np.ndarray, j: np.ndarray, length: np.ndarray, one: Sequence, two: Sequence, similarity: float):
+        over = np.maximum(np.maximum(i[c[:-1]] + length[c[:-1]] - i[c[1:]], j[c[:-1]] + length[c[:-1]] - j[c[1:]]), 0)
+        x, y, size = i[c], j[c], length[c].copy()
+        x[1:], y[1:], size[1:] = x[1:] + over, y[1:] + over, size[1:] - over
+        apart = np.append(0, (x[1:] - x[:-1] - size[:-1]) + (y[1:] - y[:-1] - size[:-1]))
+        self.p, self.q, self.s, self.e = one.begin[x], one.end[x + size - 1], two.begin[y], two.end[y + size - 1]
+        # a stretch of runs l..r holds the similarity if upto[r] >= down[l]
+        self.upto = np.cumsum((1 - similarity) * size - similarity * apart)
+        self.down = self.upto - (1 - similarity) * size
+
+    def worth(self, low: int, high: int, least: int) -> tuple[np.ndarray, np.ndarray]:
+        """Runs of low..high from which a stretch may be a passage, the longest first, and the last run of the longest from each run on."""
+        best = np.maximum.accumulate(self.upto[low:high][::-1])[::-1]
+        far = low + np.searchsorted(-best, 1e-9 - self.down[low:high], "right") - 1
+        from_ = np.arange(low, high)
+        wide = self.e[far] - self.s[from_]
+        some = np.flatnonzero((far >= from_) & (wide >= least) & (self.q[far] - self.p[from_] >= least))
+        some = some[np.argsort(-wide[some], kind="stable")]
+        return from_[some], far[some]
+
+
+def aligned(one: Sequence, two: Sequence, least: int, similarity: float, known: np.ndarray | None = None) -> list[tuple[int, int, int, int, float]]:
     """Passages of two that one has too: start and end in one, start and end in two, similarity; ends exclusive.
 
     A passage begins and ends with equal tokens. Along each chain of equal runs
     the longest stretch that holds the similarity as a whole is taken, then what
-    is left on both sides of it.
+    is left on both sides of it. ``known`` is the end of the farthest known
+    passage of two from any place up to each on: if all that is to be found lies
+    inside known passages, none is returned.
     """
     i, j, length, many = _equal_runs(one, two, similarity * least)
     if not many:
@@ -292,32 +319,29 @@ def aligned(one: Sequence, two: Sequence, least: int, similarity: float) -> list
     # no passage bears more different tokens than this share of the equal ones
     gap = int(many * (1 - similarity) / similarity + 1e-9)
     a, b = one.tokens, two.tokens
+    chains, new = [], known is None
+    for chain in _chains(i, j, length, similarity, gap):
+        place = slice(int(two.begin[j[chain[0]]]), int(two.end[j[chain[-1]] + length[chain[-1]] - 1]))
+        if place.stop - place.start < least:
+            continue
+        c = _Chain(np.array(chain), i, j, length, one, two, similarity)
+        chains.append((place, len(chain), c))
+        if not new:
+            l, r = c.worth(0, len(chain), least)
+            new = bool((known[c.s[l]] < c.e[r]).any())
+    if not new:
+        return []
     out: list[tuple[int, int, int, int, float]] = []
     covered = np.zeros(len(b), bool)  # a chain whose place in two is in found passages has nothing to add
-    for chain in _chains(i, j, length, similarity, gap):
-        c = np.array(chain)
-        place = slice(int(two.begin[j[c[0]]]), int(two.end[j[c[-1]] + length[c[-1]] - 1]))
-        if place.stop - place.start < least or covered[place].all():
+    for place, runs, c in chains:
+        if covered[place].all():
             continue
-        over = np.maximum(np.maximum(i[c[:-1]] + length[c[:-1]] - i[c[1:]], j[c[:-1]] + length[c[:-1]] - j[c[1:]]), 0)
-        x, y, size = i[c], j[c], length[c].copy()
-        x[1:], y[1:], size[1:] = x[1:] + over, y[1:] + over, size[1:] - over
-        apart = np.append(0, (x[1:] - x[:-1] - size[:-1]) + (y[1:] - y[:-1] - size[:-1]))
-        p, q, s, e = one.begin[x], one.end[x + size - 1], two.begin[y], two.end[y + size - 1]
-        # a stretch of runs l..r holds the similarity if upto[r] >= down[l]
-        upto = np.cumsum((1 - similarity) * size - similarity * apart)
-        down = upto - (1 - similarity) * size
-        todo = [(0, len(c))]
+        p, q, s, e, upto, down = c.p, c.q, c.s, c.e, c.upto, c.down
+        todo = [(0, runs)]
         while todo:
             low, high = todo.pop()
             found = None
-            best = np.maximum.accumulate(upto[low:high][::-1])[::-1]
-            far = low + np.searchsorted(-best, 1e-9 - down[low:high], "right") - 1
-            from_ = np.arange(low, high)
-            wide = e[far] - s[from_]
-            worth = np.flatnonzero((far >= from_) & (wide >= least) & (q[far] - p[from_] >= least))
-            worth = worth[np.argsort(-wide[worth], kind="stable")]
-            for l, r in zip(from_[worth].tolist(), far[worth].tolist(), strict=True):
+            for l, r in zip(*(x.tolist() for x in c.worth(low, high, least)), strict=True):
                 # all stretches from l on that are long enough and hold the similarity along the chain, longest last
                 ends = np.arange(l, r + 1)
                 ends = ends[np.minimum(q[ends] - p[l], e[ends] - s[l]) >= least]
@@ -447,7 +471,14 @@ def later_passages(table: pa.Table, least: int, similarity: float, lengths: list
     earliest = np.searchsorted(ends, first, side="right")  # the first document that has a token
     _, key = np.unique(key, return_inverse=True)
     holds = np.unique(key * len(ids) + owner)  # key and document, ascending
-    marked, sequences, spans = np.zeros(len(values), bool), {}, {}
+    marked, spans = np.zeros(len(values), bool), {}
+    like: dict[bytes, int] = {}
+    same = [like.setdefault(h.tobytes(), d) for d, h in enumerate(hashed)]  # the first document with the same tokens
+    sequences: dict[int, Sequence] = {}
+    # the documents that have a token, ascending
+    having = np.unique(code * len(ids) + np.repeat(np.arange(len(ids)), [len(h) for h in hashed]))
+    since_code = np.searchsorted(having, np.arange(len(values) + 1) * len(ids))
+    having %= len(ids)
     asks = np.flatnonzero(place >= 0)
     cuts = np.flatnonzero(np.diff(owner[asks], prepend=-1))
     for low, high in zip(cuts, [*cuts[1:], len(asks)], strict=False):
@@ -468,13 +499,22 @@ def later_passages(table: pa.Table, least: int, similarity: float, lengths: list
         if not within:
             apart = block[other] != block[k]
             at, other = at[apart], other[apart]
-        order = np.argsort(other, kind="stable")
-        at, other = at[order], other[order]
         if not len(at):
             continue
+        # passages are sets: of their tokens all but a small share are shared or stood before
+        mine = own[~again]
+        size = since_code[mine + 1] - since_code[mine]
+        both = np.bincount(having[np.repeat(since_code[mine] - (np.cumsum(size) - size), size) + np.arange(size.sum())], minlength=len(ids))
+        enough = both[other] + np.count_nonzero(again) >= similarity * least
+        at, other = at[enough], other[enough]
+        if not len(at):
+            continue
+        order = np.argsort(other, kind="stable")
+        at, other = at[order], other[order]
         runs = np.flatnonzero(np.diff(other, prepend=-1))
         covered = np.zeros(len(own), np.int64)  # end of the farthest passage found from any place up to each on
         found: list[tuple] = []
+        tried: dict[int, set[int]] = {}  # open places, by the tokens that were looked at for them
         for a, b in zip(runs, np.append(runs[1:], len(at)), strict=True):
             before, mine = int(other[a]), at[a:b]
             if agree > 1 and len(np.unique(key[ask[mine]])) < agree:
@@ -482,17 +522,23 @@ def later_passages(table: pa.Table, least: int, similarity: float, lengths: list
             mine = mine[covered[start[mine]] < end[mine]]
             if not len(mine):
                 continue
+            # of documents with the same tokens the first says all
+            looked = tried.setdefault(same[before], set())
+            if looked.issuperset(mine.tolist()):
+                continue
+            looked.update(mine.tolist())
             theirs = code[ends[before] - len(hashed[before]) : ends[before]]
             marked[theirs] = True
             shared = marked[own]
             marked[theirs] = False
-            # passages are sets: of their tokens all but a small share are shared or stood before
-            if np.count_nonzero(shared | again) < similarity * least or not (_bearing(shared, again, least, similarity)[start[mine]] >= end[mine]).any():
+            if not (_bearing(shared, again, least, similarity)[start[mine]] >= end[mine]).any():
                 continue
-            for d in (before, k):
+            pair = same[before], same[k]
+            for d in pair:
                 if d not in sequences:
                     sequences[d] = Sequence(hashed[d])
-            passages = _passages(int(ids[k]), int(ids[before]), sequences[before], sequences[k], texts[k], least, similarity, spans)
+            passages = aligned(*(sequences[d] for d in pair), least, similarity, covered)
+            passages = _rows(int(ids[k]), int(ids[before]), passages, texts[k], spans)
             for _, from_, to, *_ in passages:
                 covered[from_] = max(covered[from_], to - SHINGLE + 1)
             covered = np.maximum.accumulate(covered) if passages else covered
@@ -502,9 +548,8 @@ def later_passages(table: pa.Table, least: int, similarity: float, lengths: list
             yield int(ids[k]), *span
 
 
-def _passages(doc: int, origin: int, one: Sequence, two: Sequence, text: str, least: int, similarity: float, known: dict[int, np.ndarray]) -> list[tuple]:
-    """Rows of ``SPANS``: the passages of document ``origin`` in ``doc``; ``known`` keeps the words' places of ``doc``."""
-    found = aligned(one, two, least, similarity)
+def _rows(doc: int, origin: int, found: list[tuple], text: str, known: dict[int, np.ndarray]) -> list[tuple]:
+    """Rows of ``SPANS``: what :func:`aligned` found of document ``origin`` in ``doc``; ``known`` keeps the words' places of ``doc``."""
     if found and doc not in known:
         known[doc] = word_spans(text)
     spans = known.get(doc)
@@ -530,7 +575,7 @@ def _compared(pairs: DataFrame, texts: DataFrame, least: int, similarity: float)
             tokens = {doc: Sequence(h) for doc, h in zip(known, hashed, strict=True)}
             spans: dict[int, np.ndarray] = {}
             for k, (doc, origin) in enumerate(zip(docs, origins, strict=True)):
-                rows += _passages(doc, origin, tokens[origin], tokens[doc], texts[k], least, similarity, spans)
+                rows += _rows(doc, origin, aligned(tokens[origin], tokens[doc], least, similarity), texts[k], spans)
             yield pa.RecordBatch.from_arrays([pa.array([r[c] for r in rows], t) for c, t in enumerate(types)], names=names)
 
     return both.mapInArrow(verify, SPANS)

@@ -11,24 +11,39 @@ import xxhash
 _WORD = re.compile(r"\w+")
 _SIGNS = {c: " " for c in range(128) if not _WORD.match(chr(c))}
 _ASCII = np.array([c not in _SIGNS for c in range(128)])
+_BASIC = np.array([chr(c).isalnum() or c == 95 for c in range(1 << 16)])  # what \w matches of the first plane
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
 SHINGLE = 5
 
 
+def _inside(text: str) -> tuple[np.ndarray, np.ndarray] | None:
+    """Code of each character and whether a word has it; None if one is outside the first plane."""
+    code = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+    return (code, _BASIC[code]) if code.max(initial=0) < len(_BASIC) else None
+
+
 def split_words(text: str | None) -> list[str]:
     """Lower-case runs of letters, digits and underscores; of a text without any, its white-space tokens."""
     text = text or ""
     if text.isascii():
         return text.lower().translate(_SIGNS).split() or text.lower().split()
+    known = _inside(text)
+    if known:
+        code, inside = known
+        spaced = np.where(inside, code, np.uint32(10)).tobytes().decode("utf-32-le", "surrogatepass")
+        found = spaced.lower().split()
+        if found:
+            return found
     found = _WORD.findall(text) or text.split()
     return "\n".join(found).lower().split("\n") if found else []
 
 
 def word_spans(text: str) -> np.ndarray:
     """First and behind-last character of each word of :func:`split_words`."""
-    if text.isascii():
+    known = _ASCII[np.frombuffer(text.encode(), np.uint8)] if text.isascii() else (_inside(text) or (None, None))[1]
+    if known is not None:
         inside = np.zeros(len(text) + 2, bool)
-        inside[1:-1] = _ASCII[np.frombuffer(text.encode(), np.uint8)]
+        inside[1:-1] = known
         edges = np.flatnonzero(inside[1:] != inside[:-1])
         if len(edges):
             return edges.reshape(-1, 2)
@@ -97,27 +112,26 @@ def remembered(kind: str, make):
     return _remembered[kind]
 
 
+class _Known(dict):
+    """Hashes of words, made as they are asked for."""
+
+    def __missing__(self, word: str) -> int:
+        found = self[word] = xxhash.xxh3_64_intdigest(word)
+        return found
+
+
 class Hasher:
     """Word and shingle hashes; remembers a bounded number of words."""
 
     def __init__(self, most: int = 200_000):
-        self.known: dict[str, int] = {}
+        self.known = _Known()
         self.most = most
 
     def words(self, words: list[str]) -> np.ndarray:
-        """Hash of each word; Arrow numbers them, so that each distinct word is looked up once."""
-        import pyarrow as pa
-
-        known = self.known
-        if len(known) > self.most:
-            known.clear()
-        numbered = pa.array(words, pa.large_string()).dictionary_encode()
-        distinct = numbered.dictionary.to_pylist()
-        for w in distinct:
-            if w not in known:
-                known[w] = xxhash.xxh3_64_intdigest(w)
-        hashes = np.fromiter(map(known.__getitem__, distinct), np.uint64, len(distinct))
-        return hashes[numbered.indices.to_numpy()]
+        """Hash of each word."""
+        if len(self.known) > self.most:
+            self.known.clear()
+        return np.fromiter(map(self.known.__getitem__, words), np.uint64, len(words))
 
     def shingles(self, words: list[str], size: int = SHINGLE) -> np.ndarray:
         """Hash of each run of ``size`` words; fewer words are one shingle, none are none."""
